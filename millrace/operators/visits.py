@@ -65,7 +65,7 @@ def revisit_gate(
         seeded = firsts.withColumn("_last", F.lit(None).cast("bigint"))
     else:
         last = visited.select(F.col("url").alias(key), F.col("last_visited").cast("bigint").alias("_last"))
-        seeded = firsts.join(last, key, "left")
+        seeded = firsts.join(last, key, "left").select(*firsts.columns, "_last")
 
     def gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, last = None, None
