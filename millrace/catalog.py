@@ -12,7 +12,7 @@ from millrace.functions import text as T
 from millrace.functions import tokens as K
 from millrace.functions import urls as U
 from millrace.operators import admission, langid, packing, report, robots, visits
-from millrace.operators.dedup import first_sentences, not_seen
+from millrace.operators.dedup import first_sentences, with_hash
 from millrace.operators.filters import target_sentences
 from millrace.operators.ordering import index_by_file, index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
@@ -53,10 +53,6 @@ def _doc_sentences(spark, sf_dir):
     return explode_sentences(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
-def _hashed(sentences: DataFrame) -> DataFrame:
-    return sentences.withColumn("hash", T.sentence_hash(F.col("sentence")))
-
-
 def _model(spark, sf_dir):
     return langid.profile(langid.fit(_documents(spark, sf_dir)))
 
@@ -85,7 +81,7 @@ def min_length(spark, sf_dir):
 
 
 def sentence_hash(spark, sf_dir):
-    return _hashed(_doc_sentences(spark, sf_dir)).select("doc_id", "pos", "hash")
+    return with_hash(_doc_sentences(spark, sf_dir), "sentence").select("doc_id", "pos", "hash")
 
 
 def script_ratio(spark, sf_dir):
@@ -98,13 +94,13 @@ def script_filter(spark, sf_dir):
 
 
 def dedup_first(spark, sf_dir):
-    return first_sentences(_hashed(_doc_sentences(spark, sf_dir)), ["doc_id", "pos"])
+    return first_sentences(_doc_sentences(spark, sf_dir), ["doc_id", "pos"], text="sentence")
 
 
 def anti_seen(spark, sf_dir):
-    seen = _hashed(explode_sentences(_table(spark, sf_dir, "conversations").select("text")))
-    new = first_sentences(_hashed(_doc_sentences(spark, sf_dir)), ["doc_id", "pos"])
-    return not_seen(new, seen).select("hash", "sentence")
+    seen = with_hash(explode_sentences(_table(spark, sf_dir, "conversations").select("text")), "sentence")
+    new = first_sentences(_doc_sentences(spark, sf_dir), ["doc_id", "pos"], seen, "sentence")
+    return new.select("hash", "sentence")
 
 
 # --- language -------------------------------------------------------------
@@ -362,14 +358,11 @@ def write_sentences(spark, sf_dir):
 # --- tokens ---------------------------------------------------------------
 
 
-def _hex_md5(ids: str):
-    pairs = F.transform(ids, lambda i: F.lpad(F.hex(i), 2, "0"))
-    return F.md5(F.array_join(pairs, ""))
-
-
 def _digest(tokens: DataFrame, *keys: str) -> DataFrame:
+    """Token lists as a length and a hash, which keeps results small and comparable."""
+    joined = F.array_join(F.col("input_ids").cast("array<string>"), " ")
     return tokens.select(
-        *keys, F.size("input_ids").cast("bigint").alias("n"), _hex_md5("input_ids").alias("ids_md5")
+        *keys, F.size("input_ids").cast("bigint").alias("n"), F.md5(joined).alias("ids_md5")
     )
 
 
@@ -444,9 +437,9 @@ def _stream(spark, sf_dir, name):
 
 def stream_distinct(spark, sf_dir):
     path = workspace(spark)
-    found = _hashed(explode_sentences(_stream(spark, sf_dir, "documents").select("doc_id", "text")))
+    found = explode_sentences(_stream(spark, sf_dir, "documents").select("doc_id", "text"))
     query = runs.start_files(
-        runs.distinct_stream(found.select("hash", "sentence")), path, f"{path}-checkpoint", once=True
+        runs.distinct_stream(found.select("sentence"), "sentence"), path, f"{path}-checkpoint", once=True
     )
     query.awaitTermination()
     return spark.read.schema("hash string, sentence string").parquet(path)

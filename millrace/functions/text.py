@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # The code points treated as white space, as members of a regex class.
 # Spelled out because Java's \s is ASCII-only and (?U)\s leaves out U+001C-001F.
-_WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0" + _WIDE
-_WHITESPACE_NOT_SPACE = r"\t-\r\x1c-\x1f\x85\xa0" + _WIDE
+_LOW = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+_HIGH = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WHITESPACE = f"{_LOW} {_HIGH}"
 
 # Marks that end a sentence when white space follows.
 SENTENCE_MARKS = "።.!?፧"
@@ -22,8 +22,12 @@ MIN_CHARS = 20
 MIN_SCRIPT_RATIO = 0.40
 
 # Only runs that are not already one plain space need replacing, so ordinary
-# text passes through without a match per word.
-_RUN = f"[{_WHITESPACE_NOT_SPACE}][{WHITESPACE}]*| [{WHITESPACE}]+"
+# text passes through without a match per word. The rare high characters sit
+# behind one range test, and the low ones are single characters, which Java
+# looks up in a bitmap; a class of many ranges tests them one after the other.
+# The possessive loop keeps long runs off the stack.
+_WIDE = rf"(?=[\x{{1680}}-\x{{3000}}])[{_HIGH}]"
+_RUN = f"(?:[{_LOW}]|{_WIDE}| (?=[{WHITESPACE}]))(?:[{_LOW} ]|{_WIDE})*+"
 
 
 def normalize_text(text: Column) -> Column:
@@ -38,9 +42,13 @@ def split_sentences(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
-def _count_chars(text: Column, outside: str) -> Column:
-    """Characters of ``text`` left once runs matching ``outside`` are deleted."""
-    return F.length(F.regexp_replace(text, outside, ""))
+def _count_chars(text: Column, chars: str) -> Column:
+    """Characters that match: what is gone once runs of them are deleted.
+
+    Deleting the others instead would need a negated class, several times
+    slower in Java where the class has more than one range.
+    """
+    return F.length(text) - F.length(F.regexp_replace(text, f"{chars}+", ""))
 
 
 def script_ratio(text: Column, script: str = ETHIOPIC) -> Column:
@@ -49,9 +57,8 @@ def script_ratio(text: Column, script: str = ETHIOPIC) -> Column:
     Punctuation, digits and marks of the script count above the line only, so
     the value can exceed 1.
     """
-    letters = _count_chars(text, r"\P{L}+")
-    hits = _count_chars(text, f"[^{script}]+")
-    return F.when(letters > 0, hits / letters).otherwise(F.lit(0.0))
+    ratio = F.try_divide(_count_chars(text, f"[{script}]"), _count_chars(text, r"\p{L}"))
+    return F.coalesce(ratio, F.lit(0.0))
 
 
 def long_enough(text: Column, min_chars: int = MIN_CHARS) -> Column:

@@ -91,7 +91,7 @@ def read_tokenizer_file(spark: SparkSession, path: str) -> str:
 
 def attention_mask(ids: Column) -> Column:
     """Ones, as many as there are ids."""
-    return F.transform(ids, lambda _: F.lit(1).cast("tinyint"))
+    return F.array_repeat(F.lit(1).cast("tinyint"), F.size(ids))
 
 
 def truncate_tokens(ids: Column, seq_len: int) -> Column:

@@ -6,6 +6,8 @@ one), so the parts are taken with the generic URI pattern instead.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,6 +49,11 @@ def _encode(part: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def canonical_query(query: Column) -> Column:
     """Pairs decoded, without blank values and tracking keys, sorted and encoded again."""
     pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("(?s)^[^=]*=."))
@@ -64,26 +71,37 @@ def canonical_query(query: Column) -> Column:
     return F.when(query == "", F.lit("")).otherwise(F.array_join(encoded, "&"))
 
 
+def _parts(clean: Column) -> Column:
+    """Parts of a URL; all empty unless it is an http(s) one."""
+    return F.struct(
+        F.lower(F.regexp_extract(clean, _WEB_URL, 1)).alias("scheme"),
+        F.lower(F.regexp_extract(clean, _WEB_URL, 3)).alias("authority"),
+        F.regexp_replace(F.regexp_extract(clean, _WEB_URL, 4), r"(?s);[^/]*\z", "").alias("path"),
+        F.regexp_extract(clean, _WEB_URL, 5).alias("query"),
+    )
+
+
+def _join_parts(parts: Column) -> Column:
+    scheme, authority, path = parts["scheme"], parts["authority"], parts["path"]
+    rooted = F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, r"/\z", ""))
+    slashes = F.when((authority != "") | (path == "") | path.startswith("/"), F.lit("//")).otherwise(F.lit(""))
+    tail = _let(
+        canonical_query(parts["query"]),
+        lambda q: F.when(q == "", F.lit("")).otherwise(F.concat(F.lit("?"), q)),
+    )
+    bad_host = authority.rlike(r"[\[\]]") & ~authority.rlike(_IP_LITERAL)
+    return F.when((scheme == "") | bad_host, F.lit("")).otherwise(
+        F.concat(scheme, F.lit(":"), slashes, authority, rooted, tail)
+    )
+
+
 def canonical_url(url: Column) -> Column:
     """One spelling per http(s) URL; ``""`` for anything else.
 
     A malformed bracketed host gives ``""`` as well, so that one bad link
     cannot fail a job.
     """
-    clean = _clean(url)
-    scheme = F.lower(F.regexp_extract(clean, _WEB_URL, 1))
-    authority = F.lower(F.regexp_extract(clean, _WEB_URL, 3))
-    raw_path = F.regexp_replace(F.regexp_extract(clean, _WEB_URL, 4), r"(?s);[^/]*\z", "")
-    path = F.when(raw_path.isin("", "/"), F.lit("/")).otherwise(
-        F.regexp_replace(raw_path, r"/\z", "")
-    )
-    slashes = F.when((authority != "") | path.startswith("/"), F.lit("//")).otherwise(F.lit(""))
-    query = canonical_query(F.regexp_extract(clean, _WEB_URL, 5))
-    tail = F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
-    bad_host = authority.rlike(r"[\[\]]") & ~authority.rlike(_IP_LITERAL)
-    return F.when((scheme == "") | bad_host, F.lit("")).otherwise(
-        F.concat(scheme, F.lit(":"), slashes, authority, path, tail)
-    )
+    return _let(_clean(url), lambda clean: _let(_parts(clean), _join_parts))
 
 
 def url_domain(url: Column) -> Column:
@@ -117,30 +135,42 @@ def _remove_dots(path: Column) -> Column:
     )
 
 
-def resolve_url(base: Column, ref: Column) -> Column:
-    """Absolute form of ``ref`` as found on the page ``base`` (an http(s) URL)."""
-    ref = _clean(ref)
-    scheme = F.lower(F.regexp_extract(base, _ANY_URL, 1))
-    authority = F.regexp_extract(base, _ANY_URL, 2)
-    base_path = F.regexp_extract(base, _ANY_URL, 4)
-    base_query = F.regexp_extract(base, _ANY_URL, 5)
-    ref_scheme = F.lower(F.regexp_extract(ref, _ANY_URL, 1))
-    ref_authority = F.regexp_extract(ref, _ANY_URL, 2)
-    ref_path = F.regexp_extract(ref, _ANY_URL, 4)
-    ref_query = F.regexp_extract(ref, _ANY_URL, 5)
-    fragment = F.regexp_extract(ref, _ANY_URL, 6)
-    folder = F.regexp_replace(base_path, r"(?s)[^/]*\z", "")
+def _split_reference(url: Column) -> Column:
+    return F.struct(
+        F.lower(F.regexp_extract(url, _ANY_URL, 1)).alias("scheme"),
+        *[
+            F.regexp_extract(url, _ANY_URL, group).alias(name)
+            for name, group in (("authority", 2), ("path", 4), ("query", 5), ("fragment", 6))
+        ],
+        url.alias("whole"),
+    )
+
+
+def _resolve(base: Column, ref: Column) -> Column:
+    scheme = base["scheme"]
+    folder = F.regexp_replace(base["path"], r"(?s)[^/]*\z", "")
     # A path relative to the page's folder loses its empty segments; a rooted one keeps them.
-    merged = F.when(ref_path.startswith("/"), ref_path).otherwise(
-        F.regexp_replace(F.concat(F.lit("/"), folder, ref_path), "/+", "/")
+    merged = F.when(ref["path"].startswith("/"), ref["path"]).otherwise(
+        F.regexp_replace(F.concat(F.lit("/"), folder, ref["path"]), "/+", "/")
     )
-    local = F.when(
-        ref_path == "",
-        F.concat(base_path, F.when(ref_query == "", base_query).otherwise(ref_query)),
-    ).otherwise(F.concat(_remove_dots(merged), ref_query))
-    foreign = (ref_scheme != "") & (ref_scheme != scheme)
+    query = F.when(ref["query"] == "", base["query"]).otherwise(ref["query"])
+    local = F.when(ref["path"] == "", F.concat(base["path"], query)).otherwise(
+        F.concat(_remove_dots(merged), ref["query"])
+    )
+    foreign = (ref["scheme"] != "") & (ref["scheme"] != scheme)
     return (
-        F.when(foreign, ref)
-        .when(ref_authority != "", F.concat(scheme, F.lit(":"), ref_authority, ref_path, ref_query, fragment))
-        .otherwise(F.concat(scheme, F.lit(":"), authority, local, fragment))
+        F.when(foreign, ref["whole"])
+        .when(
+            ref["authority"] != "",
+            F.concat(scheme, F.lit(":"), ref["authority"], ref["path"], ref["query"], ref["fragment"]),
+        )
+        .otherwise(F.concat(scheme, F.lit(":"), base["authority"], local, ref["fragment"]))
+    )
+
+
+def resolve_url(base: Column, ref: Column) -> Column:
+    """Absolute form of ``ref`` as found on the page ``base`` (an http(s) URL)."""
+    return _let(
+        _split_reference(base),
+        lambda b: _let(_clean(ref), lambda r: _let(_split_reference(r), lambda parts: _resolve(b, parts))),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from millrace.operators.sizing import broadcast_if_small, fits_broadcast
 
 REVISIT_AFTER_SECONDS = 86_400
 
+Rule = Callable[..., DataFrame]  # (urls, name of the URL column) -> those allowed
+
 
 def distinct_domains(urls: DataFrame, url: str = "url") -> DataFrame:
     """The domains of ``urls``, once each."""
@@ -29,7 +33,12 @@ def allow_exact(df: DataFrame, allowlist: DataFrame, url: str = "url") -> DataFr
 
 
 def allow_subdomains(df: DataFrame, allowlist: DataFrame, url: str = "url") -> DataFrame:
-    """URLs whose domain is in ``allowlist(domain)`` or below one of its names.
+    """URLs whose domain is in ``allowlist(domain)`` or below one of its names."""
+    return subdomain_rule(allowlist)(df, url)
+
+
+def subdomain_rule(allowlist: DataFrame) -> Rule:
+    """:func:`allow_subdomains` for repeated use: the allowlist is measured once.
 
     "Below" is turned into equality: against names of k labels the last k
     labels of the domain are compared, one join for each k that occurs. A large
@@ -37,42 +46,52 @@ def allow_subdomains(df: DataFrame, allowlist: DataFrame, url: str = "url") -> D
     domain never carry the URLs.
     """
     allowed = allowlist.select("domain").distinct()
-    if fits_broadcast(allowed):
-        domains = allow_all(df, url).withColumn("_domain", url_domain(F.col(url)))
-        return _match_suffix(domains, allowed, F.broadcast).select(df.columns)
-    domains = distinct_domains(df, url).where("domain <> ''").withColumnRenamed("domain", "_domain")
-    matched = _match_suffix(domains, allowed, lambda side: side).withColumnRenamed("_domain", "domain")
-    return allow_exact(df, matched, url)
-
-
-def _match_suffix(domains: DataFrame, allowed: DataFrame, hint) -> DataFrame:
     labels = F.size(F.split("domain", "[.]", -1))
     counts = sorted(r.k for r in allowed.select(labels.alias("k")).distinct().collect())
-    hit = F.lit(False)
-    for k in counts:
-        names = allowed.where(labels == k).select(F.col("domain").alias(f"_in_{k}"))
-        domains = domains.join(
-            hint(names), F.substring_index("_domain", ".", -k) == F.col(f"_in_{k}"), "left"
-        )
-        hit = hit | F.col(f"_in_{k}").isNotNull()
-    return domains.where(hit).drop(*[f"_in_{k}" for k in counts])
+    small = fits_broadcast(allowed)
 
+    def match(domains: DataFrame) -> DataFrame:
+        hit = F.lit(False)
+        for k in counts:
+            names = allowed.where(labels == k).select(F.col("domain").alias(f"_in_{k}"))
+            names = F.broadcast(names) if small else names
+            same = F.substring_index("_domain", ".", -k) == F.col(f"_in_{k}")
+            domains = domains.join(names, same, "left")
+            hit = hit | F.col(f"_in_{k}").isNotNull()
+        return domains.where(hit).drop(*[f"_in_{k}" for k in counts])
 
-def allowed_links(
-    df: DataFrame,
+    def rule(df: DataFrame, url: str = "url") -> DataFrame:
+        if small:
+            placed = allow_all(df, url).withColumn("_domain", url_domain(F.col(url)))
+            return match(placed).select(df.columns)
+        domains = distinct_domains(df, url).where("domain <> ''").withColumnRenamed("domain", "_domain")
+        return allow_exact(df, match(domains).withColumnRenamed("_domain", "domain"), url)
+
+    return rule
+
+
+def link_rule(
     seed_domains: DataFrame,
     allowed_domains: DataFrame | None = None,
     same_domain_only: bool = True,
     subdomains: bool = True,
-    url: str = "url",
-) -> DataFrame:
-    """The allowlist rule with its switches. The list is ``allowed_domains`` if given,
-    else the seeds' domains; without ``same_domain_only`` only a given list restricts,
-    and then by exact domain."""
-    if not same_domain_only:
-        return allow_all(df, url) if allowed_domains is None else allow_exact(df, allowed_domains, url)
+) -> Rule:
+    """The allowlist rule with its switches, as a function of a table of URLs.
+
+    The list is ``allowed_domains`` if given, else the seeds' domains; without
+    ``same_domain_only`` only a given list restricts, and then by exact domain.
+    """
     allowlist = seed_domains if allowed_domains is None else allowed_domains
-    return allow_subdomains(df, allowlist, url) if subdomains else allow_exact(df, allowlist, url)
+    if same_domain_only and subdomains:
+        return subdomain_rule(allowlist)
+    if not same_domain_only and allowed_domains is None:
+        return allow_all
+    return lambda df, url="url": allow_exact(df, allowlist, url)
+
+
+def allowed_links(df: DataFrame, seed_domains: DataFrame, url: str = "url", **switches) -> DataFrame:
+    """:func:`link_rule` applied to ``df``."""
+    return link_rule(seed_domains, **switches)(df, url)
 
 
 def revisit_due(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import sentence_hash
+
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one that comes first in ``order``, which has to be total.
@@ -25,7 +27,20 @@ def not_seen(df: DataFrame, seen: DataFrame, key: str = "hash") -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
-def first_sentences(sentences: DataFrame, order: Sequence[str], seen: DataFrame | None = None) -> DataFrame:
-    """First occurrence of each ``hash``, without hashes an earlier run has stored."""
-    kept = first_by_key(sentences, ["hash"], order)
-    return kept if seen is None else not_seen(kept, seen)
+def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with the ``hash`` of its sentences."""
+    return df.withColumn("hash", sentence_hash(F.col(text)))
+
+
+def first_sentences(
+    df: DataFrame, order: Sequence[str], seen: DataFrame | None = None, text: str = "text"
+) -> DataFrame:
+    """First occurrence of each sentence with its ``hash``, less those in ``seen(hash)``.
+
+    Equal text is equal hash, so without ``seen`` the text itself is the key
+    and only what is kept gets hashed. With ``seen`` the hash is the key, and
+    the anti join reuses the partitions the aggregate made.
+    """
+    if seen is None:
+        return with_hash(first_by_key(df, [text], order), text)
+    return not_seen(first_by_key(with_hash(df, text), ["hash"], order), seen)

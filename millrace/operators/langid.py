@@ -10,31 +10,26 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import broadcast_if_small, store
+from millrace.operators.sizing import store
 
 
 NGRAM = 3
 # Profiles up to this many rows are scored from a table in each task; longer ones by a join.
 PROFILE_ROWS = 2_000_000
 _SCALE = 1_000_000
+# An empty match before each character; the class keeps a match from starting inside a surrogate pair.
+_OVERLAPPING = r"(?s)(?=([^\x{dc00}-\x{dfff}]" + "." * (NGRAM - 1) + "))"
+_CHUNK = 4 << 20  # characters
 _BITS = 21  # enough for a code point; three fit a signed 64-bit key
 
 
-def _ngrams(chars: Column) -> Column:
-    """Overlapping n-grams of an array of characters, in text order."""
-    count = F.size(chars) - F.lit(NGRAM - 1)
-    shifted = [F.slice(chars, F.lit(k + 1), count) for k in range(NGRAM)]
-    grams = F.transform(F.arrays_zip(*shifted), lambda z: F.concat(*[z[str(k)] for k in range(NGRAM)]))
-    return F.when(count > 0, grams).otherwise(F.array().cast("array<string>"))
-
-
 def _explode_ngrams(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    # The characters get a step of their own: inside _ngrams they are used three times.
-    chars = df.select(*keep, F.split(F.col(text), "").alias("_chars"))
-    return chars.select(*keep, F.explode(_ngrams(F.col("_chars"))).alias("gram"))
+    """One row per overlapping n-gram: ``keep`` and ``gram``."""
+    grams = F.regexp_extract_all(F.col(text), F.lit(_OVERLAPPING), F.lit(1))
+    return df.select(*keep, F.explode(grams).alias("gram"))
 
 
 def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
@@ -77,34 +72,46 @@ def _scorer(rows: pd.DataFrame, spark):
 
     @F.pandas_udf("lang string, score bigint")
     def score(texts: pd.Series) -> pd.DataFrame:
-        keys, gain, floor, labels = shared.value
         texts = texts.fillna("")
         sizes = texts.str.len().to_numpy()
         counts = np.maximum(sizes - (NGRAM - 1), 0)
-        totals = counts[:, None] * floor
-        codes = _codes("".join(texts))
-        if len(codes) and len(keys):
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            inside = owner[: len(codes)] == owner[NGRAM - 1 :]
-            owner, codes = owner[: len(codes)][inside], codes[inside]
-            at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
-            known = keys[at] == codes
-            for k in range(len(labels)):  # weights stay below 2**53, so the sums are exact
-                totals[:, k] += np.bincount(
-                    owner[known], gain[at[known], k], len(texts)
-                ).astype(np.int64)
+        totals = counts[:, None] * shared.value[2]
+        # Texts are scored in groups of about _CHUNK characters to bound the arrays.
+        group = np.cumsum(sizes) // _CHUNK
+        for begin, end in _runs(group):
+            _add_gains(texts.iloc[begin:end], sizes[begin:end], totals[begin:end], *shared.value[:2])
         best = totals.argmax(axis=1)  # the first of equals, labels being sorted
         some = counts > 0
         return pd.DataFrame(
             {
-                "lang": np.where(some, labels[best], None),
-                "score": pd.array(np.where(some, totals.max(axis=1), 0), "Int64"),
+                "lang": np.where(some, shared.value[3][best], None),
+                "score": pd.Series(totals.max(axis=1)).astype("Int64").where(some),
             }
-        ).assign(score=lambda d: d.score.where(some))
+        )
 
     return score
 
 
+def _runs(group: np.ndarray) -> list[tuple[int, int]]:
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    return [(b, e) for b, e in zip(edges, edges[1:]) if b < e]
+
+
+def _add_gains(texts: pd.Series, sizes: np.ndarray, totals: np.ndarray, keys: np.ndarray, gain: np.ndarray) -> None:
+    """Add to ``totals`` what each known n-gram gains over an unseen one."""
+    codes = _codes("".join(texts))
+    if not len(codes) or not len(keys):
+        return
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    inside = owner[: len(codes)] == owner[NGRAM - 1 :]
+    owner, codes = owner[: len(codes)][inside], codes[inside]
+    at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
+    known = keys[at] == codes
+    owner, at = owner[known], at[known]
+    for k in range(totals.shape[1]):  # weights stay below 2**53, so the sums are exact
+        totals[:, k] += np.bincount(owner, gain[at, k], len(texts)).astype(np.int64)
+
+
 def _codes(text: str, spaced: bool = False) -> np.ndarray:
     """One integer per n-gram of ``text``; ``spaced`` takes every third position only."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -135,29 +142,25 @@ def predict(
 
 
 def _predict_by_join(df: DataFrame, model: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    floor = model.where("gram = ''").select("label", F.col("score").alias("_floor"))
-    gain = (
+    """The same by joins. N-grams are counted per text first, so a frequent one
+    meets the profile once per text and the profile has one row per n-gram."""
+    floors = {r.label: r.score for r in model.where("gram = ''").collect()}  # one row per label
+    labels = sorted(floors)
+    gains = (
         model.where("gram <> ''")
-        .join(floor, "label")
-        .select("gram", "label", (F.col("score") - F.col("_floor")).alias("_gain"))
-    )
-    per_label = (
-        _explode_ngrams(df, text, keys)
-        .join(gain, "gram")
-        .groupBy(*keys, "label")
-        .agg(F.sum("_gain").alias("_gain"))
-    )
-    ranked = F.max_by(F.col("label"), F.struct("_total", -F.col("_rank"))).alias("lang")
-    ranks = floor.select("label", "_floor").withColumn(
-        "_rank", F.array_position(F.lit(sorted(r.label for r in floor.collect())), F.col("label"))
+        .groupBy("gram")
+        .pivot("label", labels)
+        .agg(F.first("score"))
+        .select("gram", *[(F.col(f"`{n}`") - F.lit(floors[n])).alias(f"_g{i}") for i, n in enumerate(labels)])
     )
-    sized = df.select(*keys, (F.length(text) - F.lit(NGRAM - 1)).alias("_n")).where("_n > 0")
-    return (
-        sized.crossJoin(broadcast_if_small(ranks))
-        .join(per_label, [*keys, "label"], "left")
-        .withColumn("_total", F.col("_n") * F.col("_floor") + F.coalesce("_gain", F.lit(0)))
-        .groupBy(*keys)
-        .agg(ranked, F.max("_total").alias("score"))
+    counts = _explode_ngrams(df, text, keys).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("_n"))
+    totals = [
+        F.sum(F.col("_n") * (F.coalesce(f"_g{i}", F.lit(0)) + F.lit(floors[n])))
+        for i, n in enumerate(labels)
+    ]
+    scored = counts.join(gains, "gram", "left").groupBy(*keys).agg(F.array(*totals).alias("_totals"))
+    best = F.array_max("_totals")
+    place = F.array_position("_totals", best).cast("int")  # the first of equals, labels being sorted
+    return scored.select(
+        *keys, F.element_at(F.lit(labels), place).alias("lang"), best.alias("score")
     )
-
-

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import broadcast_if_small, workspace
+from millrace.operators.sizing import broadcast_if_small, spread, workspace
 
 
 def _number(df: DataFrame, file_key: Column, name: str) -> DataFrame:
@@ -20,7 +20,7 @@ def _number(df: DataFrame, file_key: Column, name: str) -> DataFrame:
     starts = per_file.select(
         F.col("_file"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    placed = df.select("*", path.alias("_file"), row.alias("_row"))
+    placed = spread(df.select("*", path.alias("_file"), row.alias("_row")))
     return (
         placed.join(broadcast_if_small(starts), "_file")
         .withColumn(name, F.col("_start") + F.col("_row"))

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.tokens import attention_mask, full_length
+from millrace.functions.tokens import attention_mask
 from millrace.operators.sizing import first_rows
 
 BATCH_ROWS = 1000
 IGNORED_LABEL = -100
 
 
+def _div(value: Column, by: int) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", value, F.lit(by))
+
+
 def _shard(row: Column, shards: int, total: int | None) -> tuple[Column, Column]:
     """Shard of a row, and its place inside, for contiguous shards of nearly equal size."""
     if shards == 1:
@@ -21,8 +26,8 @@ def _shard(row: Column, shards: int, total: int | None) -> tuple[Column, Column]
     size, longer = divmod(total, min(shards, max(total, 1)))
     split = longer * (size + 1)  # the first ``longer`` shards hold one row more
     in_long = row < split
-    shard = F.when(in_long, F.floor(row / (size + 1))).otherwise(
-        longer + F.floor((row - split) / max(size, 1))
+    shard = F.when(in_long, _div(row, size + 1)).otherwise(
+        longer + _div(row - split, max(size, 1))
     )
     place = F.when(in_long, row % (size + 1)).otherwise((row - split) % max(size, 1))
     return shard.cast("int"), place
@@ -46,7 +51,7 @@ def pack_blocks(
     it touches; tokens are never exploded.
     """
     shard, place = _shard(F.col(row_idx), shards, total)
-    batch = F.floor(place / batch_rows).cast("bigint")
+    batch = _div(place, batch_rows)
     placed = df.select(
         F.col(row_idx).alias("_row"),
         shard.alias("shard"),
@@ -64,17 +69,21 @@ def pack_blocks(
         ids = F.slice("_ids", (begin - start + 1).cast("int"), length.cast("int"))
         return F.struct(block.alias("block_id"), ids.alias("ids"))
 
-    touched = F.sequence(F.floor(start / seq_len), F.floor((end - 1) / seq_len))
+    touched = F.sequence(_div(start, seq_len), _div(end - 1, seq_len))
     pieces = offset.select(
         "shard", "batch_id", "_row", F.explode(F.transform(touched, piece)).alias("_piece")
     )
     blocks = pieces.groupBy("shard", "batch_id", F.col("_piece.block_id").alias("block_id")).agg(
-        F.array_sort(F.collect_list(F.struct("_row", "_piece.ids"))).alias("_pieces")
+        F.array_sort(F.collect_list(F.struct("_row", "_piece.ids"))).alias("_pieces"),
+        F.sum(F.size("_piece.ids")).alias("_length"),
+    )
+    return blocks.where(F.col("_length") == seq_len).select(
+        "shard",
+        "batch_id",
+        "block_id",
+        F.flatten(F.col("_pieces.ids")).alias("input_ids"),
+        F.array_repeat(F.lit(1).cast("tinyint"), seq_len).alias("attention_mask"),
     )
-    ids = blocks.select(
-        "shard", "batch_id", "block_id", F.flatten(F.col("_pieces.ids")).alias("input_ids")
-    ).where(full_length(F.col("input_ids"), seq_len))
-    return ids.withColumn("attention_mask", attention_mask(F.col("input_ids")))
 
 
 def collate(df: DataFrame, batch_size: int, pad_id: int, row_idx: str = "row_idx") -> DataFrame:
@@ -83,7 +92,7 @@ def collate(df: DataFrame, batch_size: int, pad_id: int, row_idx: str = "row_idx
     Labels repeat the ids with every ``pad_id`` ignored, also one that is a
     real token (as when padding falls back to the end-of-text token).
     """
-    batch = F.floor(F.col(row_idx) / batch_size).cast("bigint")
+    batch = _div(F.col(row_idx), batch_size)
     sized = df.select(F.col(row_idx), batch.alias("batch_id"), F.col("input_ids").alias("_ids"))
     widest = F.max(F.size("_ids")).over(Window.partitionBy("batch_id"))
     padded = sized.withColumn("_pad", widest - F.size("_ids")).select(

@@ -47,5 +47,7 @@ def explode_links(df: DataFrame) -> DataFrame:
     """One row per kept link: the other columns, ``pos`` (0-based, gaps where a link
     was dropped) and canonical ``link``."""
     rest = [c for c in df.columns if c not in ("text", "hrefs", "html")]
-    found = df.select(*rest, F.posexplode("hrefs").alias("pos", "_href"))
-    return found.select(*rest, "pos", U.canonical_url(F.col("_href")).alias("link")).where("link <> ''")
+    # Made canonical before the rows are split: a test on a generated column is not
+    # pushed below it, so no later filter or join key computes the URL again.
+    links = F.transform("hrefs", lambda h: U.canonical_url(h))
+    return df.select(*rest, F.posexplode(links).alias("pos", "link")).where("link <> ''")

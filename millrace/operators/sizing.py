@@ -35,12 +35,12 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BR
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Re-split an input that arrives in fewer tasks than there are cores.
+    """Re-split a scan that arrives in fewer tasks than half the cores.
 
     Large inputs come in more splits than that and pass unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if 2 * df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)
 

@@ -150,8 +150,13 @@ _GATE = f"""
 _HEX = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, hex(encode(text)) AS h FROM documents"
 
 
+def _ids_md5(h: str) -> str:
+    """Hash of the bytes written as numbers."""
+    return f"md5(array_to_string(list_transform(regexp_extract_all({h}, '..'), lambda b: CAST('0x' || b AS INTEGER)), ' '))"
+
+
 def _digest(keys: str, source: str) -> str:
-    return f"SELECT {keys}, CAST(length(h) // 2 AS BIGINT) AS n, md5(h) AS ids_md5 FROM ({source})"
+    return f"SELECT {keys}, CAST(length(h) // 2 AS BIGINT) AS n, {_ids_md5('h')} AS ids_md5 FROM ({source})"
 
 
 def _blocks(rows: str, keys: str) -> str:
@@ -263,7 +268,7 @@ def sql() -> dict[str, str]:
         "pack_shards": _digest("shard, batch_id, block_id", _blocks(_shards(3), "shard, batch_id")),
         "build_corpus": blocks,
         "collate": f"""
-            SELECT batch_id, i AS row_idx, kept, widest AS n, md5(p) AS ids_md5,
+            SELECT batch_id, i AS row_idx, kept, widest AS n, {_ids_md5('p')} AS ids_md5,
                    len(list_filter(regexp_extract_all(p, '..'), lambda b: b = '0A')) AS ignored
             FROM (SELECT *, h || repeat('0A', CAST(widest - kept AS INTEGER)) AS p
                   FROM (SELECT i // 16 AS batch_id, i, h, CAST(length(h) // 2 AS BIGINT) AS kept,

@@ -18,8 +18,8 @@ from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators.admission import (
     REVISIT_AFTER_SECONDS,
-    allowed_links,
     distinct_domains,
+    link_rule,
     not_queued,
     revisit_due,
 )
@@ -90,11 +90,7 @@ def run_cycle(
     a level deeper. Each pass stores what it admitted and parsed, so no page is
     parsed twice.
     """
-    def allowed(df: DataFrame) -> DataFrame:
-        return allowed_links(
-            df, seed_domains, allowed_domains, options.same_domain_only, options.subdomains
-        )
-
+    allowed = link_rule(seed_domains, allowed_domains, options.same_domain_only, options.subdomains)
     waiting = frontier.select("url", "depth", F.array(F.col("ord")).alias("ord"))
     left = options.max_pages
     admitted_in, parsed_in, remainder, passes = [], [], None, 0
@@ -108,7 +104,8 @@ def run_cycle(
         )
         if robots is not None:
             due = robots_allowed(due, robots, options.user_agent)
-        due = first_by_key(due, ["url"], ["ord"])
+        if not admitted_in:  # seeds may repeat; links found are distinct
+            due = first_by_key(due, ["url"], ["ord"])
         admitted = store(due if left is None else first_rows(due, left, F.col("ord")))
         taken = admitted.count()
         if taken == 0:
@@ -175,9 +172,9 @@ def _sentences(parsed: list[DataFrame], options: CycleOptions, model, seen, spar
     kept = target_sentences(
         found, ["url", "pos"], options.target, model,
         min_chars=options.min_chars, script=options.script, min_ratio=options.min_ratio,
-    ).withColumn("hash", T.sentence_hash(F.col("sentence")))
+    ).withColumnRenamed("sentence", "text")
     first = first_sentences(kept, ["pass", "ord", "pos"], seen)
-    return first.select(F.col("sentence").alias("text"), "url", "timestamp", "hash")
+    return first.select("text", "url", "timestamp", "hash")
 
 
 def reseed(frontier: DataFrame, seeds: DataFrame) -> DataFrame:

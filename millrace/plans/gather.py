@@ -27,7 +27,7 @@ def page_sentences(
     drop_tags: Sequence[str] = H.DROP_TAGS,
     native: bool = False,
 ) -> DataFrame:
-    """``(order..., pos, text, url, timestamp, hash)`` of all target sentences, copies included.
+    """``(order..., pos, text, url, timestamp)`` of all target sentences, copies included.
 
     ``order`` names the columns that give the crawl order of pages. Response
     tests and the choice of columns come before the HTML is parsed.
@@ -41,7 +41,7 @@ def page_sentences(
         found, [*order, "pos"], target, model,
         min_chars=min_chars, script=script, min_ratio=min_ratio,
     )
-    return kept.withColumnRenamed("sentence", "text").withColumn("hash", T.sentence_hash(F.col("text")))
+    return kept.withColumnRenamed("sentence", "text")
 
 
 def gather(

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.dedup import first_sentences
+from millrace.operators.dedup import first_sentences, with_hash
 from millrace.operators.sizing import store
 from millrace.operators.visits import revisit_gate, upsert_visits
 from millrace.plans.gather import page_sentences
@@ -44,10 +44,10 @@ def start_batches(
     return _trigger(writer, once, interval).start()
 
 
-def distinct_stream(sentences: DataFrame) -> DataFrame:
-    """Each ``hash`` once. State grows with the hashes: keep it in RocksDB (``ROCKSDB``).
+def distinct_stream(sentences: DataFrame, text: str = "text") -> DataFrame:
+    """Each sentence once, with its ``hash``, which is all the state holds. State grows with the hashes: keep it in RocksDB (``ROCKSDB``).
     Which copy of one micro-batch is kept is not fixed; see :func:`start_gather`."""
-    return sentences.dropDuplicates(["hash"])
+    return with_hash(sentences, text).dropDuplicates(["hash"])
 
 
 def start_distinct(

@@ -72,3 +72,8 @@ def test_white_space_class_equals_regex_class(column):
     pattern = re.compile(r"\s")
     odd = [chr(p) for p in range(0x2100) if bool(pattern.match(chr(p))) and not chr(p).isspace()]
     assert odd == []
+
+
+def test_long_runs_do_not_overflow(column):
+    run = "\n \x85" * 200_000 + chr(0x3000) * 200_000
+    assert column([f"a{run}b. {run}", run], T.normalize_text(F.col("c"))) == ["a b.", ""]

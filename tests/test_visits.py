@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from millrace.operators.dedup import first_by_key, first_sentences, not_seen
+from millrace.operators.dedup import first_by_key, first_sentences, not_seen, with_hash
 from millrace.operators.visits import revisit_gate, upsert_visits
 
 
@@ -46,18 +46,25 @@ def test_upsert(spark):
 def test_first_occurrence_wins(spark):
     rng = random.Random(3)
     rows = [(p, s, rng.choice("aaaabcdef"), f"u{p}") for p in range(60) for s in range(10)]
-    df = spark.createDataFrame(rows, "page int, pos int, hash string, url string").repartition(7)
+    df = spark.createDataFrame(rows, "page int, pos int, text string, url string").repartition(7)
     want = {}
     for row in rows:
         want.setdefault(row[2], row)
-    assert sorted(map(tuple, first_by_key(df, ["hash"], ["page", "pos"]).collect())) == sorted(want.values())
-    seen = spark.createDataFrame([("a",), ("a",), ("zz",)], "hash string")
+    assert sorted(map(tuple, first_by_key(df, ["text"], ["page", "pos"]).collect())) == sorted(want.values())
+    whole = first_sentences(df, ["page", "pos"])
+    assert sorted((r.page, r.pos, r.text, r.url) for r in whole.collect()) == sorted(want.values())
+    seen = with_hash(spark.createDataFrame([("a",), ("a",), ("zz",)], "text string"))
     left = first_sentences(df, ["page", "pos"], seen)
-    assert {r.hash for r in left.collect()} == set("bcdef")
-    assert not_seen(df, df).isEmpty()
+    assert sorted(map(tuple, left.select(whole.columns).collect())) == sorted(
+        map(tuple, whole.where("text <> 'a'").collect())
+    )
+    assert not_seen(seen, seen).isEmpty()
 
 
 def test_dedup_combines_before_the_shuffle(spark):
     df = spark.range(10).selectExpr("id", "cast(id % 2 as string) hash")
     plan = first_by_key(df, ["hash"], ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_" in plan
+    seen = with_hash(df.selectExpr("cast(id as string) text"))
+    plan = first_sentences(df.withColumnRenamed("hash", "text"), ["id"], seen.hint("merge"))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one for each side
