@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.urls import url_domain
-from millrace.operators.sizing import broadcast_if_small, fits_broadcast
+from millrace.operators.sizing import broadcast_if_small, fits_broadcast, store
 
 REVISIT_AFTER_SECONDS = 86_400
 
@@ -27,9 +27,18 @@ def allow_all(df: DataFrame, url: str = "url") -> DataFrame:
 
 def allow_exact(df: DataFrame, allowlist: DataFrame, url: str = "url") -> DataFrame:
     """URLs whose domain is in ``allowlist(domain)``."""
-    allowed = broadcast_if_small(allowlist.select(F.col("domain").alias("_domain")).distinct())
-    found = url_domain(F.col(url))
-    return allow_all(df, url).join(allowed, found == F.col("_domain"), "left_semi")
+    return exact_rule(allowlist)(df, url)
+
+
+def exact_rule(allowlist: DataFrame) -> Rule:
+    """:func:`allow_exact` for repeated use: the allowlist is measured once."""
+    allowed = broadcast_if_small(store(allowlist.select(F.col("domain").alias("_domain")).distinct()))
+
+    def rule(df: DataFrame, url: str = "url") -> DataFrame:
+        same = url_domain(F.col(url)) == F.col("_domain")
+        return allow_all(df, url).join(allowed, same, "left_semi")
+
+    return rule
 
 
 def allow_subdomains(df: DataFrame, allowlist: DataFrame, url: str = "url") -> DataFrame:
@@ -45,7 +54,7 @@ def subdomain_rule(allowlist: DataFrame) -> Rule:
     allowlist is first reduced to the domains that match, so that joins on a
     domain never carry the URLs.
     """
-    allowed = allowlist.select("domain").distinct()
+    allowed = store(allowlist.select("domain").distinct())
     labels = F.size(F.split("domain", "[.]", -1))
     counts = sorted(r.k for r in allowed.select(labels.alias("k")).distinct().collect())
     small = fits_broadcast(allowed)
@@ -86,7 +95,7 @@ def link_rule(
         return subdomain_rule(allowlist)
     if not same_domain_only and allowed_domains is None:
         return allow_all
-    return lambda df, url="url": allow_exact(df, allowlist, url)
+    return exact_rule(allowlist)
 
 
 def allowed_links(df: DataFrame, seed_domains: DataFrame, url: str = "url", **switches) -> DataFrame:

@@ -135,8 +135,9 @@ def predict(
     tasks and the data is not shuffled; a longer one is joined.
     """
     model = model.select("label", "gram", "score")
-    if model.limit(max_rows + 1).count() <= max_rows:
-        scored = df.withColumn("_best", _scorer(model.toPandas(), df.sparkSession)(F.col(text)))
+    rows = model.limit(max_rows + 1).toPandas()
+    if len(rows) <= max_rows:
+        scored = df.withColumn("_best", _scorer(rows, df.sparkSession)(F.col(text)))
         return scored.select(*df.columns, "_best.lang", "_best.score")
     return df.join(_predict_by_join(df, model, keys, text), list(keys), "left")
 

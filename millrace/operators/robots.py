@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import WHITESPACE
 from millrace.functions.urls import url_base
-from millrace.operators.sizing import broadcast_if_small
+from millrace.operators.admission import Rule
+from millrace.operators.sizing import broadcast_if_small, store
 
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 _EDGES = rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z"
@@ -80,20 +81,11 @@ def rules_for_agent(robots: DataFrame, user_agent: str) -> DataFrame:
     )
 
 
-def robots_allowed(df: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
-    """URLs the robots table does not forbid to ``user_agent``.
-
-    401 and 403 forbid the host, other 4xx allow it, 5xx forbid it; a failed
-    fetch or an absent host allows it. Otherwise the first rule whose path
-    starts the URL's path decides. Each host has one row of rules, so the join
-    does not multiply URLs.
-    """
+def robots_rule(robots: DataFrame, user_agent: str) -> Rule:
+    """:func:`robots_allowed` for repeated use: rules are read and measured once."""
     rules = robots.select("base", "status").join(rules_for_agent(robots, user_agent), "base", "left")
-    rules = broadcast_if_small(rules.select(F.col("base").alias("_base"), "status", "rules"))
-    path = _path(F.regexp_replace(F.col(url), _BEFORE_PATH, ""))
-    placed = df.withColumn("_base", url_base(F.col(url))).join(rules, "_base", "left").withColumn(
-        "_path", F.when(path == "", F.lit("/")).otherwise(path)
-    )
+    rules = store(rules.select(F.col("base").alias("_base"), "status", "rules"))
+    rules = broadcast_if_small(rules)
     first = F.get(F.filter("rules", lambda r: F.col("_path").startswith(r["path"])), F.lit(0))
     allowed = (
         F.when(F.col("status").isNull(), F.lit(True))
@@ -102,4 +94,22 @@ def robots_allowed(df: DataFrame, robots: DataFrame, user_agent: str, url: str =
         .when(F.col("status") >= 400, F.lit(True))
         .otherwise(F.coalesce(first["allow"], F.lit(True)))
     )
-    return placed.where(allowed).select(df.columns)
+
+    def rule(df: DataFrame, url: str = "url") -> DataFrame:
+        path = _path(F.regexp_replace(F.col(url), _BEFORE_PATH, ""))
+        placed = df.withColumn("_base", url_base(F.col(url))).join(rules, "_base", "left")
+        rooted = placed.withColumn("_path", F.when(path == "", F.lit("/")).otherwise(path))
+        return rooted.where(allowed).select(df.columns)
+
+    return rule
+
+
+def robots_allowed(df: DataFrame, robots: DataFrame, user_agent: str, url: str = "url") -> DataFrame:
+    """URLs the robots table does not forbid to ``user_agent``.
+
+    401 and 403 forbid the host, other 4xx allow it, 5xx forbid it; a failed
+    fetch or an absent host allows it. Otherwise the first rule whose path
+    starts the URL's path decides. Each host has one row of rules, so the join
+    does not multiply URLs.
+    """
+    return robots_rule(robots, user_agent)(df, url)

@@ -15,13 +15,19 @@ BROADCAST_BYTES = 64 << 20
 TOP_N_ROWS = 100_000
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Count at most ``rows`` + 1 rows of ``df`` and the length of their JSON form."""
-    seen = df.limit(rows + 1).agg(
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and the length of their JSON form."""
+    seen = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
     ).head()
-    return seen.n <= rows and seen.bytes <= size
+    return seen.n, seen.bytes
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure at most ``rows`` + 1 rows of ``df`` against both bounds."""
+    n, length = measure(df.limit(rows + 1))
+    return n <= rows and length <= size
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.tokens import Tokenizer, attention_mask, byte_tokens, truncate_tokens
 from millrace.operators.ordering import index_by_file, index_by_key
 from millrace.operators.packing import BATCH_ROWS, pack_blocks
-from millrace.sources.files import read_text_files, reader_options, text_column
+from millrace.sources.files import read_text_column, reader_options, text_column
 
 MIN_SEQ_LEN = 16
 
@@ -82,7 +82,6 @@ def build_corpus(
     on_null: str = "error",
     batch_rows: int = BATCH_ROWS,
     shards: int = 1,
-    schema: str | None = None,
 ) -> DataFrame:
     """Load, reduce to the text column, tokenize, then pack or truncate.
 
@@ -90,15 +89,14 @@ def build_corpus(
     file, so nothing is moved for that; other types are range-partitioned once.
     """
     if not pack:
-        rows = text_column(read_text_files(spark, path, file_type, schema), column)
+        rows = read_text_column(spark, path, file_type, column)
         return tokenize_dataset(rows, seq_len, False, tokenizer, on_null)
     if file_type == "parquet" and on_null == "error":
         options = reader_options(spark, path, file_type)
         indexed = index_by_file(spark, path, **options)
         rows = text_column(indexed, column, keep=("row_idx",))
     else:
-        read = read_text_files(spark, path, file_type, schema, order="_order")
-        rows = text_column(read, column, keep=("_order",))
+        rows = read_text_column(spark, path, file_type, column, order="_order")
         if on_null == "drop":
             rows = rows.where("text is not null")
         rows = index_by_key(rows, "_order").select("row_idx", "text")

@@ -27,9 +27,9 @@ from millrace.operators.dedup import first_by_key, first_sentences
 from millrace.operators.filters import target_sentences
 from millrace.operators.ordering import index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
-from millrace.operators.robots import robots_allowed
+from millrace.operators.robots import robots_rule
 from millrace.operators.report import cycle_report
-from millrace.operators.sizing import broadcast_if_small, first_rows, store
+from millrace.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, first_rows, measure, store
 from millrace.operators.visits import upsert_visits
 from millrace.sources.output import CrawlState, write_sentences
 from millrace.sources.pages import accepted_pages, seed_frontier
@@ -91,9 +91,12 @@ def run_cycle(
     parsed twice.
     """
     allowed = link_rule(seed_domains, allowed_domains, options.same_domain_only, options.subdomains)
+    permitted = None if robots is None else robots_rule(robots, options.user_agent)
+    spark = pages.sparkSession
+    empty = spark.createDataFrame([], "url string, depth int, ord array<bigint>")
     waiting = frontier.select("url", "depth", F.array(F.col("ord")).alias("ord"))
     left = options.max_pages
-    admitted_in, parsed_in, remainder, passes = [], [], None, 0
+    admitted_in, parsed_in, remainder, passes = [], [], empty, 0
 
     while passes <= options.max_depth and (left is None or left > 0):
         done = visited
@@ -102,46 +105,51 @@ def run_cycle(
         due = revisit_due(
             allowed(waiting.where(F.col("depth") <= options.max_depth)), done, now, options.revisit_after
         )
-        if robots is not None:
-            due = robots_allowed(due, robots, options.user_agent)
+        if permitted is not None:
+            due = permitted(due)
         if not admitted_in:  # seeds may repeat; links found are distinct
             due = first_by_key(due, ["url"], ["ord"])
         admitted = store(due if left is None else first_rows(due, left, F.col("ord")))
-        taken = admitted.count()
+        taken, size = measure(admitted)
         if taken == 0:
             break
         admitted_in.append(admitted)
-        parsed = store(_parse(pages, admitted, options.drop_tags))
+        small = taken <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+        # HTML is shuffled only when too many URLs are admitted to send them to the pages.
+        parsed = store(_parse(pages, F.broadcast(admitted) if small else admitted, options.drop_tags))
         parsed_in.append(parsed.withColumn("pass", F.lit(passes)))
         passes += 1
 
+        if left is not None:
+            left -= taken
+            if left == 0:  # the rest of this pass stays ahead of the links found
+                last = F.broadcast(admitted.agg(F.max("ord").alias("_last")))  # one row
+                remainder = waiting.crossJoin(last).where("ord > _last").drop("_last")
+        if passes > options.max_depth:  # every page of this pass was at the last level
+            waiting = empty
+            break
         links = explode_links(parsed.where(F.col("depth") < options.max_depth)).select(
             F.col("link").alias("url"),
             (F.col("depth") + 1).alias("depth"),
             F.array_append("ord", F.col("pos").cast("bigint")).alias("ord"),
         )
         fresh = not_queued(first_by_key(allowed(links), ["url"], ["ord"]), waiting)
-        if left is not None:
-            left -= taken
-            if left == 0:  # the rest of this pass stays ahead of the links found
-                last = F.broadcast(admitted.agg(F.max("ord").alias("_last")))  # one row
-                remainder = waiting.crossJoin(last).where("ord > _last").drop("_last")
-        waiting = store(fresh if options.max_queue is None else first_rows(fresh, options.max_queue, F.col("ord")))
-
-    queue = waiting.where("false") if left != 0 else waiting
-    queue = queue.withColumn("pass", F.lit(1))
-    if remainder is not None:
-        queue = remainder.withColumn("pass", F.lit(0)).unionByName(queue)
-    # Level by level, so that the number of array elements never decides.
-    ordered = index_by_key(queue, "pass", F.size("ord"), "ord", name="_n")
-    spark = pages.sparkSession
-    if not admitted_in:
-        admitted_in = [spark.createDataFrame([], "url string, depth int, ord array<bigint>")]
-    visits = _union([_visits(a, now) for a in admitted_in])
+        if options.max_queue is not None:
+            fresh = first_rows(fresh, options.max_queue, F.col("ord"))
+        waiting = store(fresh)
+
+    if left == 0:
+        queue = remainder.withColumn("pass", F.lit(0)).unionByName(waiting.withColumn("pass", F.lit(1)))
+        # Level by level, so that the number of array elements never decides.
+        ordered = index_by_key(queue, "pass", F.size("ord"), "ord", name="_n")
+        queue = ordered.select("url", "depth", F.col("_n").cast("bigint").alias("ord"))
+    else:
+        queue = spark.createDataFrame([], "url string, depth int, ord bigint")
+    visits = _union([_visits(a, now) for a in admitted_in or [empty]])
     return Cycle(
         sentences=_sentences(parsed_in, options, model, seen, spark),
         visits=visits,
-        frontier=ordered.select("url", "depth", F.col("_n").cast("bigint").alias("ord")),
+        frontier=queue,
         passes=passes,
     )
 
@@ -158,11 +166,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _parse(pages: DataFrame, admitted: DataFrame, drop_tags: Sequence[str]) -> DataFrame:
-    """Admitted URLs with the text and hrefs of their pages. HTML is shuffled only when
-    too many URLs are admitted to send them to the pages."""
+    """Admitted URLs with the text and hrefs of their pages."""
     timestamp = F.col("fetched_at") if "fetched_at" in pages.columns else F.current_timestamp()
     usable = accepted_pages(pages).select("url", timestamp.alias("timestamp"), "html")
-    return extract(usable.join(broadcast_if_small(admitted), "url"), drop_tags)
+    return extract(usable.join(admitted, "url"), drop_tags)
 
 
 def _sentences(parsed: list[DataFrame], options: CycleOptions, model, seen, spark: SparkSession) -> DataFrame:

@@ -33,8 +33,12 @@ def _archive() -> str:
     return shutil.make_archive(target, "zip", os.path.dirname(here), os.path.basename(here))
 
 
+_shipped: set[str] = set()  # application ids
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers of the session, once."""
+    """Send this package to the Python workers of the application, once."""
     context = spark.sparkContext
-    if "millrace.zip" not in context._python_includes:
+    if context.applicationId not in _shipped:
         context.addPyFile(_archive())
+        _shipped.add(context.applicationId)

@@ -17,6 +17,8 @@ EXTENSIONS = {
     "txt": ("txt",),
 }
 
+_LOOK_AHEAD = 1000  # lines
+
 
 def _any_case(extension: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
@@ -72,16 +74,18 @@ def read_text_files(
     file_type: str,
     schema: StructType | str | None = None,
     order: str | None = None,
+    infer: bool = True,
 ) -> DataFrame:
     """Rows of all files. Text files give one row per line in ``text``.
 
     Without ``schema`` the types of JSON and CSV are inferred, which reads the
-    data once more; pass one for large inputs. ``order`` names an extra column
+    data once more; pass one for large inputs, or ``infer=False`` to keep CSV
+    values as strings. ``order`` names an extra column
     that sorts rows by file (part by part of the path), then by place in it.
     """
     source, options = format_options(file_type)
     options = {**options, **reader_options(spark, path, file_type)}
-    if schema is None and file_type == "csv":
+    if schema is None and file_type == "csv" and infer:
         options["inferSchema"] = "true"
     reader = spark.read.format(source).options(**options)
     if schema is not None and file_type != "txt":
@@ -102,6 +106,25 @@ def read_text_files(
     return df.select(*columns)
 
 
+def read_text_column(
+    spark: SparkSession, path: str, file_type: str, column: str = "text", order: str | None = None
+) -> DataFrame:
+    """Only ``column``, as ``text``, without reading the data once more to infer types.
+
+    In JSON the column is looked for in some lines first; only where it is not
+    there are all lines read, to find it or to name the columns there are.
+    """
+    schema = None
+    if file_type == "jsonl":
+        options = reader_options(spark, path, file_type)
+        lines = spark.read.options(**options).text(path).limit(_LOOK_AHEAD)
+        keys = lines.select(F.explode(F.json_object_keys("value")).alias("key"))
+        if not keys.where(F.col("key") == column).isEmpty():
+            schema = StructType().add(column, "string")
+    df = read_text_files(spark, path, file_type, schema, order, infer=False)
+    return text_column(df, column, keep=(order,) if order else ())
+
+
 def stream_text_files(
     spark: SparkSession,
     path: str,

@@ -73,6 +73,18 @@ def test_text_column(spark):
         files.text_column(df, "missing")
 
 
+def test_text_column_without_inference(spark, tree, folder):
+    rows = files.read_text_column(spark, tree, "jsonl", "text", order="o").orderBy("o").collect()
+    assert [r.text for r in rows] == ["one", "two", "three"]
+    assert sorted(r.text for r in files.read_text_column(spark, tree, "csv").collect()) == ['say "hi"', "x\ny"]
+    # Numbers are taken as written; a column that starts late is still found.
+    late = write(folder, "late.jsonl", '{"a": 1}\n' * 1500 + '{"a": 2, "b": "x"}\n')
+    assert files.read_text_column(spark, late, "jsonl", "a").where("text = '2'").count() == 1
+    assert files.read_text_column(spark, late, "jsonl", "b").where("text = 'x'").count() == 1
+    with pytest.raises(ValueError, match="'a', 'b'"):
+        files.read_text_column(spark, late, "jsonl", "c")
+
+
 def test_named_dataset(spark, folder):
     spark.range(3).selectExpr("cast(id as string) text").coalesce(1).write.parquet(f"{folder}/raw")
     for subset, split in (("", "train"), ("sub", "test")):
