@@ -103,6 +103,17 @@ def allowed_links(df: DataFrame, seed_domains: DataFrame, url: str = "url", **sw
     return link_rule(seed_domains, **switches)(df, url)
 
 
+def visits_of(urls: DataFrame, visited: DataFrame) -> DataFrame:
+    """The part of ``visited`` that concerns ``urls(url)``, a stored table.
+
+    Where the URLs are measured to be few they are sent to the visit table;
+    the semi join moves below its aggregate, and the history is read once
+    without a shuffle.
+    """
+    wanted = urls.select("url").distinct()
+    return visited.join(F.broadcast(wanted), "url", "left_semi") if fits_broadcast(wanted) else visited
+
+
 def revisit_due(
     df: DataFrame,
     visited: DataFrame,

@@ -27,6 +27,16 @@ def not_seen(df: DataFrame, seen: DataFrame, key: str = "hash") -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
+def save_hashes(hashes: DataFrame, table: str, buckets: int) -> None:
+    """Append ``hash`` to a bucketed table.
+
+    With as many buckets as shuffle partitions, :func:`not_seen` reads the
+    table where it lies: the history is never shuffled, only what is new.
+    """
+    writer = hashes.select("hash").write.bucketBy(buckets, "hash").sortBy("hash")
+    writer.mode("append").saveAsTable(table)
+
+
 def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the ``hash`` of its sentences."""
     return df.withColumn("hash", sentence_hash(F.col(text)))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,14 +54,36 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+_scratch: ContextVar[str | None] = ContextVar("_scratch", default=None)
+
+
 def workspace(spark: SparkSession) -> str:
-    """A new folder path under ``spark.checkpoint.dir`` for intermediate tables."""
+    """A new folder path for an intermediate table: under ``spark.checkpoint.dir``, and
+    inside the folder of :func:`scratch` where that is open."""
+    return f"{_scratch.get() or _shared_root(spark)}/millrace-{uuid.uuid4().hex}"
+
+
+def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_folder()
-    return f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end, so nothing that still
+    reads them may leave the block."""
+    folder = workspace(spark)
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @cache

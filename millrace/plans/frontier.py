@@ -22,14 +22,15 @@ from millrace.operators.admission import (
     link_rule,
     not_queued,
     revisit_due,
+    visits_of,
 )
-from millrace.operators.dedup import first_by_key, first_sentences
+from millrace.operators.dedup import first_by_key, first_sentences, with_hash
 from millrace.operators.filters import target_sentences
 from millrace.operators.ordering import index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
 from millrace.operators.robots import robots_rule
 from millrace.operators.report import cycle_report
-from millrace.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, first_rows, measure, store
+from millrace.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, first_rows, measure, scratch, store
 from millrace.operators.visits import upsert_visits
 from millrace.sources.output import CrawlState, write_sentences
 from millrace.sources.pages import accepted_pages, seed_frontier
@@ -99,9 +100,9 @@ def run_cycle(
     admitted_in, parsed_in, remainder, passes = [], [], empty, 0
 
     while passes <= options.max_depth and (left is None or left > 0):
-        done = visited
+        done = visits_of(waiting, visited)
         if admitted_in:
-            done = upsert_visits(visited, _union([_visits(a, now) for a in admitted_in]))
+            done = upsert_visits(done, _union([_visits(a, now) for a in admitted_in]))
         due = revisit_due(
             allowed(waiting.where(F.col("depth") <= options.max_depth)), done, now, options.revisit_after
         )
@@ -214,15 +215,17 @@ def run(
     reports = []
     while True:
         cycle = state.last_cycle() + 1
+        folder = f"{output.rstrip('/')}/cycle={cycle}"
         began = clock()
-        result = run_cycle(
-            pages, reseed(state.frontier(), start), state.visited(), domains, int(began), options,
-            model, state.hashes(), robots, allowed_domains,
-        )
-        sentences = store(result.sentences)
-        write_sentences(sentences, f"{output.rstrip('/')}/cycle={cycle}", mode="overwrite")
-        state.commit(cycle, result.visits, sentences.select("hash"), result.frontier)
-        counts = cycle_report(result.visits, sentences, result.frontier).head().asDict()
+        with scratch(spark):
+            result = run_cycle(
+                pages, reseed(state.frontier(), start), state.visited(), domains, int(began), options,
+                model, state.hashes(), robots, allowed_domains,
+            )
+            write_sentences(result.sentences, folder, mode="overwrite")
+            written = with_hash(spark.read.schema("text string").json(folder))
+            state.commit(cycle, result.visits, written.select("hash"), result.frontier)
+            counts = cycle_report(result.visits, written, result.frontier).head().asDict()
         reports.append({"cycle": cycle, **counts, "elapsed": clock() - began})
         if once or (cycles is not None and len(reports) >= cycles):
             return reports

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedup import first_sentences, with_hash
-from millrace.operators.sizing import store
 from millrace.operators.visits import revisit_gate, upsert_visits
 from millrace.plans.gather import page_sentences
 from millrace.sources.output import TIMESTAMP_FORMAT, CrawlState, sentence_records, write_sentences
@@ -66,16 +65,18 @@ def start_gather(
     """Pages to new sentences, the first in crawl order winning inside a micro-batch.
 
     Hashes of earlier batches are a table, not operator state, so history may
-    outgrow the executors. Output goes to ``path/cycle=<batch>``; a repeated
+    outgrow the executors; but each batch reads it, so this suits large batches
+    at long intervals, and :func:`start_distinct` small ones. Output goes to ``path/cycle=<batch>``; a repeated
     batch overwrites its own folder.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= state.last_cycle():
             return  # committed before the checkpoint was
         found = page_sentences(batch, order, target, model, **options)
-        new = store(first_sentences(found, [*order, "pos"], state.hashes()))
-        write_sentences(new, f"{path.rstrip('/')}/cycle={batch_id}", mode="overwrite")
-        state.commit(batch_id, hashes=new.select("hash"))
+        folder = f"{path.rstrip('/')}/cycle={batch_id}"
+        write_sentences(first_sentences(found, [*order, "pos"], state.hashes()), folder, mode="overwrite")
+        written = batch.sparkSession.read.schema("text string").json(folder)
+        state.commit(batch_id, hashes=with_hash(written).select("hash"))
 
     return start_batches(pages, step, checkpoint, once, interval)
 
@@ -95,8 +96,9 @@ def start_revisit_gate(
             return
         last = state.visited()
         keyed = last.withColumn("url", last.url.cast(batch.schema[key].dataType))
-        admitted = store(revisit_gate(batch, key, time, order, every, keyed))
-        admitted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/cycle={batch_id}")
+        folder = f"{path.rstrip('/')}/cycle={batch_id}"
+        revisit_gate(batch, key, time, order, every, keyed).write.mode("overwrite").parquet(folder)
+        admitted = batch.sparkSession.read.schema(batch.schema).parquet(folder)
         visits = admitted.selectExpr(f"cast(`{key}` as string) as url", f"cast(`{time}` as bigint) as last_visited")
         state.commit(batch_id, visited=upsert_visits(visits.where("false"), visits))
 

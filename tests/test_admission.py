@@ -1,3 +1,4 @@
+import os
 from urllib.robotparser import RobotFileParser
 
 import pytest
@@ -113,3 +114,21 @@ def test_first_rows(spark, monkeypatch, limit):
     monkeypatch.setattr(sizing, "TOP_N_ROWS", limit)
     df = spark.range(50).select((F.col("id") * 7 % 50).alias("k"))
     assert sorted(r.k for r in sizing.first_rows(df, 5, F.col("k")).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_visits_of_few_urls_need_no_shuffle_of_the_history(spark, folder):
+    spark.createDataFrame([("a", 1), ("a", 5), ("b", 2)], "url string, t bigint").write.parquet(f"{folder}/v")
+    history = spark.read.parquet(f"{folder}/v")
+    visited = history.groupBy("url").agg(F.max("t").alias("last_visited"))
+    got = A.visits_of(table(spark, ["a", "c"], "url"), visited)
+    assert [tuple(r) for r in got.collect()] == [("a", 5)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the join is below the aggregate
+
+
+def test_scratch_removes_its_tables(spark):
+    with sizing.scratch(spark):
+        stored = sizing.store(spark.range(3))
+        place = stored.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert stored.count() == 3 and os.path.exists(place)
+    assert not os.path.exists(place)

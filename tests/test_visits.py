@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from millrace.operators.dedup import first_by_key, first_sentences, not_seen, with_hash
+from millrace.operators.dedup import first_by_key, first_sentences, not_seen, save_hashes, with_hash
 from millrace.operators.visits import revisit_gate, upsert_visits
 
 
@@ -68,3 +68,16 @@ def test_dedup_combines_before_the_shuffle(spark):
     seen = with_hash(df.selectExpr("cast(id as string) text"))
     plan = first_sentences(df.withColumnRenamed("hash", "text"), ["id"], seen.hint("merge"))
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one for each side
+
+
+def test_bucketed_history_is_not_shuffled(spark):
+    history = with_hash(spark.range(50).selectExpr("cast(id as string) text"))
+    save_hashes(history.where("cast(text as int) < 20"), "seen_hashes", 4)
+    save_hashes(history.where("cast(text as int) >= 20"), "seen_hashes", 4)
+    try:
+        new = spark.range(40, 60).selectExpr("id", "cast(id as string) text")
+        left = first_sentences(new, ["id"], spark.table("seen_hashes").hint("merge"))
+        assert left._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert sorted(int(r.text) for r in left.collect()) == list(range(50, 60))
+    finally:
+        spark.sql("drop table seen_hashes")
