@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.sizing import store
@@ -34,7 +34,9 @@ def _explode_ngrams(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
 
 def fit(df: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
     """``(label, gram, n)``: how often each n-gram occurs under each label."""
-    labelled = df.select(F.col(label).alias("label"), F.col(text).alias("_text"))
+    labelled = df.select(F.col(label).alias("label"), F.col(text).alias("_text")).where(
+        "label is not null"
+    )
     return _explode_ngrams(labelled, "_text", ["label"]).groupBy("label", "gram").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -44,18 +46,24 @@ def profile(counts: DataFrame) -> DataFrame:
     """``(label, gram, score)`` from :func:`fit`; the row with ``gram = ''`` holds the
     score of an n-gram the label has not seen.
 
-    The counts are used three times, so they are stored first.
+    The counts are stored, being used three times. Only one total per label
+    comes to the driver.
     """
     counts = store(counts)
-    size = counts.agg(F.count_distinct("gram").alias("_v"))
-    totals = counts.groupBy("label").agg(F.sum("n").alias("_total")).crossJoin(size)
-    score = F.round(
-        F.log((F.col("n") + 1) / (F.col("_total") + F.col("_v"))) * F.lit(_SCALE)
-    ).cast("bigint")
-    seen = counts.join(totals, "label")
-    unseen = totals.select("label", F.lit("").alias("gram"), F.lit(0).cast("bigint").alias("n"), "_total", "_v")
-    both = seen.select("label", "gram", "n", "_total", "_v").unionByName(unseen)
-    return both.select("label", "gram", score.alias("score"))
+    totals = {r.label: r.n for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        raise ValueError("no labelled text to make a profile of")
+    size = counts.select("gram").distinct().count()
+    mass = F.create_map(*[F.lit(x) for label, n in totals.items() for x in (label, n + size)])
+
+    def score(n: Column) -> Column:
+        share = n / F.element_at(mass, F.col("label"))
+        return F.round(F.log(share) * F.lit(_SCALE)).cast("bigint").alias("score")
+
+    unseen = counts.sparkSession.createDataFrame([(label, "") for label in totals], "label string, gram string")
+    return counts.select("label", "gram", score(F.col("n") + 1)).unionByName(
+        unseen.select("label", "gram", score(F.lit(1)))
+    )
 
 
 def _scorer(rows: pd.DataFrame, spark):

@@ -39,6 +39,27 @@ def admit_run(times: np.ndarray, every: int, last: int | None) -> tuple[list[int
     return picked, last
 
 
+def admit_runs(times: np.ndarray, starts: np.ndarray, every: int, lasts: list[int | None]) -> list[int]:
+    """:func:`admit_run` over many keys, one run of sorted ``times`` each.
+
+    The row that follows each row is looked up for all rows at once; what is
+    left is to walk from one admitted row to the next.
+    """
+    ends = np.append(starts[1:], len(times))
+    low = int(times.min())
+    width = int(times.max()) - low + every + 1  # runs lie further apart than the interval
+    run = np.repeat(np.arange(len(starts)), ends - starts)
+    place = run * width + (times - low)
+    follows = np.searchsorted(place, place + every).tolist()
+    picked: list[int] = []
+    for begin, end, last in zip(starts.tolist(), ends.tolist(), lasts):
+        at = begin if last is None else begin + int(np.searchsorted(times[begin:end], last + every))
+        while at < end:
+            picked.append(at)
+            at = follows[at]
+    return picked
+
+
 def revisit_gate(
     df: DataFrame,
     key: str,
@@ -70,20 +91,20 @@ def revisit_gate(
     def gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, last = None, None
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
             rows = pa.Table.from_batches([batch])
-            keys = rows.column(key).combine_chunks()
-            times = rows.column(time).to_numpy()
-            known = rows.column("_last")
-            changes = pc.not_equal(keys.slice(1), keys.slice(0, max(len(keys) - 1, 0)))
-            starts = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1), len(keys)]
-            picked: list[int] = []
-            for begin, end in zip(starts, starts[1:]):
-                if begin == end:
-                    continue
-                if keys[begin].as_py() != current:
-                    current, last = keys[begin].as_py(), known[begin].as_py()
-                found, last = admit_run(times[begin:end], every, last)
-                picked.extend(begin + f for f in found)
+            keys, times = rows.column(key).combine_chunks(), rows.column(time).to_numpy()
+            changes = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))
+            starts = np.append(0, np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1)
+            first_keys, earlier = keys.take(pa.array(starts)), rows.column("_last").take(pa.array(starts))
+            if first_keys[0].as_py() != current:
+                last = earlier[0].as_py()
+            lasts = [last, *earlier.to_pylist()[1:]]
+            picked = admit_runs(times, starts, every, lasts)
+            current = first_keys[-1].as_py()
+            in_last_run = len(picked) and picked[-1] >= starts[-1]
+            last = int(times[picked[-1]]) if in_last_run else lasts[-1]
             yield from rows.take(pa.array(picked, pa.int64())).drop_columns("_last").to_batches()
 
     sorted_runs = seeded.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, time)
