@@ -33,11 +33,11 @@ QUERIES = {q.__name__: q for q in (op1_minhash, op8_winnowing)}
 _OP1 = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), sets AS (
     SELECT doc_id, list_distinct(CASE
-        WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])
+        WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
         ELSE w END) AS s
     FROM words
 ), shingles AS (
@@ -73,7 +73,7 @@ WITH docs AS (
     FROM benchmark
 ), item_windows AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS n,
-        unnest(list_transform(range(1, greatest(len(w) - 8, 2)), i -> array_to_string(w[i : i + 9], ' '))) AS g
+        unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda i: array_to_string(w[i : i + 9], ' '))) AS g
     FROM items WHERE len(w) > 0
 ), doc_windows AS (
     SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w
