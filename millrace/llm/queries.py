@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, minhash
+from millrace.llm import decontaminate, hyperlang, minhash, packing
+from millrace.llm.shared import held_out
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +19,17 @@ def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op3_hyperlang(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
+    prototypes = hyperlang.train(docs.where("NOT held_out"))
+    return hyperlang.predict(docs, prototypes).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_nnls_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZERS)
+
+
 def op8_winnowing(spark, sf_dir):
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminate(docs, items).select(
@@ -28,7 +42,7 @@ def op8_winnowing(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op8_winnowing)}
+QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op8_winnowing)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (

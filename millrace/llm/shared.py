@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 1 << 20
+BLOCK_ROWS = 4096
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -20,9 +21,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def text_blocks(
-    frames: Iterator[pd.DataFrame], column: str, chars: int = BLOCK_CHARS
+    frames: Iterator[pd.DataFrame], column: str, chars: int = BLOCK_CHARS, rows: int = BLOCK_ROWS
 ) -> Iterator[tuple[pd.DataFrame, list[str]]]:
-    """Frames cut into runs of rows of about ``chars`` characters, each with its texts.
+    """Frames cut into runs of at most ``rows`` rows and about ``chars`` characters, each with its texts.
 
     A null text is empty. A longer text is a run of its own, never cut.
     """
@@ -30,7 +31,7 @@ def text_blocks(
         texts = ["" if t is None else t for t in frame[column]]
         start = size = 0
         for at, text in enumerate(texts):
-            if at > start and size + len(text) > chars:
+            if at > start and (size + len(text) > chars or at - start >= rows):
                 yield frame.iloc[start:at], texts[start:at]
                 start, size = at, 0
             size += len(text)
@@ -38,15 +39,9 @@ def text_blocks(
             yield frame.iloc[start:], texts[start:]
 
 
-def longs(values) -> pd.array:
-    """Nullable 64-bit integers. A column with nulls arrives in pandas as floats; ids
-    beyond 2**53 would suffer, so such columns travel as strings (see :func:`carried`)."""
-    return pd.array(values, dtype="Int64")
-
-
-def carried(df: DataFrame, *ids: str) -> list[Column]:
-    """Id columns as strings, which pandas keeps exact even next to nulls."""
-    return [F.col(c).cast("string").alias(c) for c in ids]
+def held_out(doc_id: str, of: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves the remainder ``part``; false without an id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(of)) == part, F.lit(False))
 
 
 def in_ascii_lower(text: Column) -> Column:
