@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, hyperlang, minhash, packing
+from millrace.llm import decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
 from millrace.llm.shared import held_out
+from millrace.operators.sizing import workspace
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -30,6 +31,29 @@ def op4_nnls_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZERS)
 
 
+def op5_arc_to_warc(spark, sf_dir):
+    """Pages to ARC files, those to WARC files, and these read back."""
+    path, number = workspace(spark), "X-Page-Id"
+    warc.write_arc(warc.page_records(_table(spark, sf_dir, "pages"), number), f"{path}-arc")
+    warc.arc_to_warc(warc.read_arc(spark, f"{path}-arc"), number, f"{path}-warc")
+    return warc.read_warc(spark, f"{path}-warc", number).select(
+        F.col("key").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def op7_noisy_or(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs.where("NOT held_out"), labels.where(~held_out("doc_id", 5, 0)))
+    return toxicity.score(docs, model).select(
+        "doc_id", "held_out", "score", "predicted", "worst_start", "worst_end", "worst_score"
+    )
+
+
 def op8_winnowing(spark, sf_dir):
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.decontaminate(docs, items).select(
@@ -42,7 +66,21 @@ def op8_winnowing(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op8_winnowing)}
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op9_url_filter(spark, sf_dir):
+    model = urlfilter.train(urlfilter.labelled_urls())
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)
+
+
+QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op7_noisy_or, op8_winnowing, op9_url_filter)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
@@ -110,4 +148,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-ORACLES = {"op1_minhash": _OP1, "op8_winnowing": _OP8}
+_OP5 = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+    CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+ORACLES = {"op1_minhash": _OP1, "op5_arc_to_warc": _OP5, "op8_winnowing": _OP8}

@@ -22,12 +22,14 @@ from millrace.llm.shingles import mix
 from millrace.operators.sizing import broadcast_if_small
 
 FEATURE_BITS = 20
-#: Upper bound of the labelled texts that the model is fitted on, chosen by a hash.
-TRAIN_TEXTS = 6000
+#: Letters of a word's beginning that count as a feature beside the word.
+PREFIX = 4
+#: About so many labelled texts at most fit the model; they are chosen by a hash of the id.
+TRAIN_TEXTS = 8000
 #: A feature has to occur in so many training texts.
 LEAST_TEXTS = 8
-EPOCHS = 40
-DECAY = 1.0
+EPOCHS = 60
+DECAY = 4.0
 FIRST_BIAS = -5.0
 STEP = 0.5
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*|[.!?]+")
@@ -35,19 +37,23 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 class Words:
-    """Feature numbers of words, remembered up to a fixed number."""
+    """Feature numbers of words and of their first letters, remembered up to a fixed number of words."""
 
     def __init__(self, most: int = 300_000) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, tuple[int, int]] = {}
         self.most = most
 
-    def features(self, words: list[str]) -> list[int]:
+    def features(self, words: list[str]) -> np.ndarray:
+        """Two rows: the feature of each word, and that of its beginning."""
         fresh = set(words).difference(self.known)
         if fresh:
             if len(self.known) + len(fresh) > self.most:
                 self.known, fresh = {}, set(words)
-            self.known.update(zip(fresh, _hash_all(list(fresh)), strict=True))
-        return [self.known[w] for w in words]
+            fresh = list(fresh)
+            both = zip(_hash_all(fresh), _hash_all([f"{w[:PREFIX]}*" for w in fresh]), strict=True)
+            self.known.update(zip(fresh, both, strict=True))
+        found = np.array([self.known[w] for w in words], np.int64)
+        return found.reshape(-1, 2).T
 
 
 def _hash_all(words: list[str]) -> list[int]:
@@ -72,7 +78,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def bags(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all words, the sentence of each, and the text of each sentence."""
+    """Features of all words, the sentence of each feature, and the text of each sentence."""
     flat, counts, owner = [], [], []
     for i, text in enumerate(texts):
         lowered = text.lower()
@@ -83,8 +89,8 @@ def bags(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.nda
             flat += found
             counts.append(len(found))
             owner.append(i)
-    features = np.array(words.features(flat), np.int64)
-    return features, np.repeat(np.arange(len(counts)), counts), np.array(owner, np.int64)
+    sentence = np.repeat(np.arange(len(counts)), counts)
+    return words.features(flat).reshape(-1), np.tile(sentence, 2), np.array(owner, np.int64)
 
 
 class Model:
@@ -102,11 +108,19 @@ class Model:
 
 
 def fit(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, decay: float = DECAY) -> Model:
-    """Penalized maximum likelihood through the noisy-or, by steps scaled with a
-    bound of the second derivative of each weight, over all texts at once."""
+    """Weights from whole texts and their labels.
+
+    Maximum likelihood through the noisy-or under an absolute penalty, which leaves most
+    words without a weight: proximal steps over all texts at once, each scaled with an
+    estimate of the weight's second derivative."""
     size = 1 << FEATURE_BITS
-    features, sentence, owner = bags(texts, Words())
-    in_text = np.unique(owner[sentence] * size + features) % size if len(features) else features
+    words, parts, n_sentences, n_texts = Words(), [], 0, 0
+    for _, block in text_blocks(iter([pd.DataFrame({"text": texts})]), "text"):
+        found, of, whose = bags(block, words)
+        parts.append((found.astype(np.int32), (of + n_sentences).astype(np.int32), whose + n_texts))
+        n_sentences, n_texts = n_sentences + len(whose), n_texts + len(block)
+    features, sentence, owner = map(np.concatenate, zip(*parts, strict=True)) if parts else (np.zeros(0, int),) * 3
+    in_text = np.unique(owner[sentence].astype(np.int64) * size + features) % size if len(features) else features
     keep = (np.bincount(in_text, minlength=size) >= LEAST_TEXTS)[features]
     features, sentence = features[keep], sentence[keep]
     model = Model(np.zeros(size), FIRST_BIAS)
@@ -115,9 +129,11 @@ def fit(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, decay: float
         whole = np.clip(model.text_scores(p, owner, len(texts)), 1e-9, 1 - 1e-9)
         # d loss / d z of a sentence: p for a clean text; -p (1 - P) / P for a toxic one.
         slope = np.where(toxic, -(1 - whole) / whole, 1.0)[owner] * p
-        gradient = np.bincount(features, slope[sentence], size) + decay * model.weights
-        curve = np.bincount(features, (np.abs(slope) + p * (1 - p))[sentence], size) + decay
-        model.weights -= np.clip(gradient / curve, -STEP, STEP)
+        gradient = np.bincount(features, slope[sentence], size)
+        curve = np.bincount(features, (np.abs(slope) + p * (1 - p))[sentence], size) + 1.0
+        moved = model.weights - gradient / curve
+        moved = np.sign(moved) * np.maximum(np.abs(moved) - decay / curve, 0)
+        model.weights += np.clip(moved - model.weights, -STEP, STEP)
         model.bias -= np.clip(slope.sum() / (np.abs(slope) + p * (1 - p)).sum(), -STEP, STEP) if len(p) else 0.0
     return model
 
@@ -126,18 +142,16 @@ def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
     texts: int = TRAIN_TEXTS,
 ) -> Model:
-    """A model from at most about ``texts`` labelled documents of each label.
+    """A model from at most about ``texts`` labelled documents.
 
     Rows without a text or label teach nothing; a document with several labels
-    counts once for each.
+    counts once for each. Without any label every score is low.
     """
     marked = labels.where(F.col(toxic).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(toxic).alias("_y")).distinct()
-    many = marked.groupBy("_y").agg(F.count(F.lit(1)).alias("_n"))
     place = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
-    chosen = marked.join(F.broadcast(many), "_y").where(place * F.col("_n") < texts * 1_000_000).select("_id", "_y")
+    chosen = marked.where(place * marked.count() < texts * 1_000_000)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_text IS NOT NULL")
-    # The choice is bounded by ``texts``, twice over.
-    sample = rows.join(broadcast_if_small(chosen), "_id").select("_text", "_y").toPandas()
+    sample = rows.join(broadcast_if_small(chosen), "_id").select("_text", "_y").toPandas()  # bounded by the choice
     return fit(sample["_text"].tolist(), sample["_y"].to_numpy() == 1)
 
 
