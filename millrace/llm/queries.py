@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
+from millrace.llm import anntree, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
@@ -45,6 +45,11 @@ def op5_arc_to_warc(spark, sf_dir):
     )
 
 
+def op6_kmeans_tree(spark, sf_dir):
+    rows = anntree.usable(_table(spark, sf_dir, "embeddings"))
+    return anntree.neighbours(rows, rows.where("id % 20 = 0"), 20)
+
+
 def op7_noisy_or(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
     labels = _table(spark, sf_dir, "labels")
@@ -80,7 +85,7 @@ def op9_url_filter(spark, sf_dir):
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op7_noisy_or, op8_winnowing, op9_url_filter)}
+QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
