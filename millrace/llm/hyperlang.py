@@ -93,7 +93,8 @@ class Bundler:
                 grams += codes[place : place + len(grams)] << (21 * place)
             counted.append(np.unique(grams, return_counts=True))
         known = np.unique(np.concatenate([g for g, _ in counted]))
-        vectors = self.bound[self._bind(known.tolist())].astype(np.float32)
+        rows = self._bind(known.tolist())  # first, as it may replace ``bound``
+        vectors = self.bound[rows].astype(np.float32)
         counts = np.zeros((len(texts), len(known)), np.float32)
         for row, (grams, n) in enumerate(counted):
             counts[row, np.searchsorted(known, grams)] = n

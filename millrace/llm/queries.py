@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import anntree, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
+from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
@@ -85,7 +85,24 @@ def op9_url_filter(spark, sf_dir):
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter)}
+def op10_crf(spark, sf_dir):
+    found = crf.find(_table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.concat_ws(
+        ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    )
+
+    def many(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(many, crf.KINDS),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
+QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
