@@ -151,8 +151,23 @@ def train(
     place = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
     chosen = marked.where(place * marked.count() < texts * 1_000_000)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_text IS NOT NULL")
-    sample = rows.join(broadcast_if_small(chosen), "_id").select("_text", "_y").toPandas()  # bounded by the choice
-    return fit(sample["_text"].tolist(), sample["_y"].to_numpy() == 1)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample = pd.concat([pd.DataFrame({"_text": [], "_y": []}), *frames], ignore_index=True)
+        model = fit(sample["_text"].tolist(), sample["_y"].to_numpy() == 1)
+        used = np.flatnonzero(model.weights)
+        yield pd.DataFrame({"feature": [-1, *used], "weight": [model.bias, *model.weights[used]]})
+
+    # One task, for a sample whose size ``texts`` bounds.
+    sample = rows.join(broadcast_if_small(chosen), "_id").select("_text", "_y").repartition(1)
+    found = sample.mapInPandas(run, "feature bigint, weight double").toPandas()
+    weights, bias = np.zeros(1 << FEATURE_BITS), FIRST_BIAS
+    for feature, weight in found.itertuples(index=False):
+        if feature < 0:
+            bias = weight
+        else:
+            weights[feature] = weight
+    return Model(weights, bias)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
