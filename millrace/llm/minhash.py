@@ -5,11 +5,14 @@ circularly by 0, 1, 2, ..., gives every coordinate of the signature. Texts with
 equal sets are one node from the start. Bands of coordinates form buckets, and
 candidate pairs are confirmed on the full sets before they link.
 
-A bucket never emits all its pairs. Its members are ranked once; in each round
-they meet the next few members only (1, 3, 12, 48, ... of them), and after a round
-the members that have come to lie in one component are done with. So a group of
-many near-copies costs a few comparisons a member, and yet every pair of a bucket
-that is not already connected is compared in the end.
+A bucket never emits all its pairs. First every text meets one other, the one of
+its buckets that shares most buckets with others, as a text does from which others
+were copied; that connects most near-copies. Then only those members of a bucket
+matter that are outside its commonest component. Round by round the next few of
+them meet the bucket's members, until each has: so every pair that is not connected
+already is compared in the end. Before texts are fetched, a pair from these rounds
+is compared by two bits each of many more coordinates; what lies 4.5 standard
+deviations below the bound is no link.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components, relabel
@@ -32,6 +35,11 @@ SHINGLE_WORDS = 5
 SIMILARITY = 80  # per cent
 BANDS, ROWS = 32, 5
 SPACE_BITS = 20
+#: Coordinates that the later rounds compare, two bits of each.
+WIDE = 1024
+#: Members of a bucket that the others meet in the first of these rounds; then three times all so far.
+FIRST_STEP = 16
+_MAIN = 1 << 62
 SALT_ROWS = 64
 
 
@@ -87,6 +95,30 @@ def _sketch(words: int, bands: int, rows: int):
     return run
 
 
+def _wide(words: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shifts = 2 * np.arange(32, dtype=np.uint64)
+        for frame, texts in text_blocks(frames, "text"):
+            hashes, bounds = shingles(texts, words)
+            low = np.stack([signature(hashes[a:b], WIDE) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+            two = mix(low.astype(np.uint64)) & np.uint64(3)
+            packed = (two.reshape(len(low), -1, 32) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({"node": frame["id"].to_numpy(), "bits": list(packed)})
+
+    return run
+
+
+def _apart(similarity: int) -> Column:
+    """Whether ``bits`` and ``bits_b`` differ in more places than those of a link can."""
+    odd = F.lit(0x5555555555555555)
+    differ = F.lit(0)
+    for word in range(WIDE // 32):
+        z = F.get("bits", F.lit(word)).bitwiseXOR(F.get("bits_b", F.lit(word)))
+        differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(odd))
+    equal = similarity / 100 + (1 - similarity / 100) / 4
+    return differ > int(WIDE * (1 - equal) + 4.5 * (WIDE * equal * (1 - equal)) ** 0.5)
+
+
 def _confirm(words: int, similarity: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, last_set = None, None
@@ -121,69 +153,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -
     return joined.mapInPandas(_confirm(words, similarity), "a bigint, b bigint").distinct()
 
 
-def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame | None:
-    """(node, root) of the linked nodes, from ``buckets`` (key, node, size, head)."""
-    first = (
-        buckets.where("node != head").groupBy(F.col("node").alias("a")).agg(F.min("head").alias("b"))
-    )
-    pairs = store(first)
+def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+    """(node, root) of the linked nodes, from ``buckets`` (key, node, size, mass)."""
+    heads = buckets.groupBy("key").agg(F.max_by("node", "mass").alias("b"), F.max("mass").alias("mass_b"))
+    meetings = buckets.join(store(heads), "key").where("node != b")
+    pairs = store(meetings.groupBy(F.col("node").alias("a")).agg(F.max_by("b", "mass_b").alias("b")))
     labels = components(store(_verified(pairs, texts, words, similarity)))
-    tested, below, step = pairs, 0, 1
-    left = relabel(buckets.drop("head").withColumn("root", F.col("node")), "root", labels)
-    ranked = _ranked(_mixed(store(left)))
+    members = store(relabel(buckets.select("key", "node", "size", F.col("node").alias("root")), "root", labels))
+    shares = store(members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")))
+    mixed = shares.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.count(F.lit(1)).alias("roots"))
+    left = members.join(store(mixed.where("roots > 1").drop("roots")), "key")
+    left = store(_ranked(store(left)))
+    if left.isEmpty():
+        return labels
+    asked = store(left.select(F.col("node").alias("id")).distinct())
+    # Rows that share an id may have several texts; any of them stands for the id here.
+    wide = store(
+        texts.join(asked, "id").mapInPandas(_wide(words), "node bigint, bits array<bigint>").dropDuplicates(["node"])
+    )
+    tested, below, step = pairs, 0, FIRST_STEP
     while True:
-        left = store(_mixed(ranked))
-        pivots = left.where((F.col("rank") >= below) & (F.col("rank") < below + step))
-        if left.where(F.col("rank") > below).isEmpty():
+        open_keys = store(left.where((F.col("rank") >= below) & (F.col("rank") < _MAIN)).select("key").distinct())
+        left = store(left.join(open_keys, "key"))
+        if left.isEmpty():
             return labels
-        candidates = left.where(F.col("rank") > below).alias("x").join(
-            pivots.select(
-                "key", F.col("node").alias("b"), F.col("root").alias("root_b"),
-                F.col("rank").alias("rank_b"), F.col("size").alias("size_b"),
-            ),
-            "key",
+        pivots = left.where((F.col("rank") >= below) & (F.col("rank") < below + step)).join(wide, "node").select(
+            "key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("rank").alias("rank_b"),
+            F.col("size").alias("size_b"), F.col("bits").alias("bits_b"),
         )
         possible = (
             (F.col("rank") > F.col("rank_b"))
             & (F.col("root") != F.col("root_b"))
             & (100 * F.least("size", "size_b") >= similarity * F.greatest("size", "size_b"))
+            & ~_apart(similarity)
         )
-        fresh = (
-            candidates.where(possible)
-            .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        fresh = store(fresh)
+        # Stored, so that a large bucket can be split.
+        candidates = store(left.join(wide, "node")).join(store(pivots), "key").where(possible)
+        fresh = candidates.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+        fresh = store(fresh.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(fresh)
         below, step = below + step, 3 * (below + step)
-        between = fresh.limit(0) if fresh.isEmpty() else store(_verified(fresh, texts, words, similarity))
-        if between.isEmpty():
-            ranked = left
+        if fresh.isEmpty():
             continue
-        merged = components(store(relabel(relabel(between, "a", labels), "b", labels)))
-        labels = store(_moved(labels, merged))
-        ranked = store(relabel(left, "root", merged))
-
-
-def _moved(labels: DataFrame, merged: DataFrame) -> DataFrame:
-    """``labels`` after its roots, and nodes that were roots, got the roots of ``merged``."""
-    return relabel(labels, "root", merged).unionByName(merged)
-
-
-def _mixed(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component."""
-    roots = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    return members.join(store(roots.where("least < most").select("key")), "key")
-
-
-def _ranked(buckets: DataFrame) -> DataFrame:
-    """Members numbered from 0 in their bucket, however large it is."""
-    placed = store(index_by_key(buckets, "key", "node", name="place"))
+        between = store(_verified(fresh, texts, words, similarity))
+        if not between.isEmpty():
+            merged = components(store(relabel(relabel(between, "a", labels), "b", labels)))
+            labels = store(relabel(labels, "root", merged).unionByName(merged))
+            left = store(relabel(left, "root", merged))
+
+
+def _ranked(members: DataFrame) -> DataFrame:
+    """``rank``: members outside the main component numbered from 0 in their bucket, however
+    many; the others behind them all."""
+    placed = index_by_key(members.where("root != main").select("key", "node"), "key", "node", name="place")
+    placed = store(placed)
     starts = store(placed.groupBy("key").agg(F.min("place").alias("start")))
-    return placed.join(starts, "key").select(
-        "key", "node", "size", "root", (F.col("place") - F.col("start")).alias("rank")
-    )
+    ranks = placed.join(starts, "key").select("key", "node", (F.col("place") - F.col("start")).alias("rank"))
+    ranked = members.where("root != main").join(ranks, ["key", "node"])
+    rest = members.where("root = main").withColumn("rank", F.lit(_MAIN))
+    return ranked.unionByName(rest).drop("main")
 
 
 def near_duplicates(
@@ -219,9 +247,12 @@ def near_duplicates(
     banded = store(
         placed.where("id = node").select("node", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
     )
-    heads = banded.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("_last"))
-    heads = store(heads.where("head < _last").drop("_last"))
-    buckets = store(banded.join(heads, "key").select("key", "node", "size", "head").distinct())
+    many = banded.groupBy("key").agg(
+        F.min("node").alias("_first"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("many")
+    )
+    shared = store(banded.join(store(many.where("_first < _last").select("key", "many")), "key"))
+    mass = shared.groupBy("node").agg(F.sum("many").alias("mass"))
+    buckets = store(shared.join(store(mass), "node").select("key", "node", "size", "mass").distinct())
     own = store(filled.select("id", "set").join(nodes, "set").select(F.col("id").alias("node"), F.col("node").alias("root")).where("node != root"))
     if buckets.isEmpty():
         links = own.limit(0)
