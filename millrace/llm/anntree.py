@@ -137,26 +137,47 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
     in the same order wherever a vector lies, so that equal vectors tie.
     """
     out = []
+    spare = k + 8
     for at in range(0, len(queries), 256):
-        rough = queries[at : at + 256] @ vectors.T
+        asked, own = queries[at : at + 256], query_ids[at : at + 256]
+        rough = asked @ vectors.T
         slack = 1e-9 * (1 + np.abs(rough).max(initial=0))
-        for row, scores in enumerate(rough):
-            query, own = queries[at + row], query_ids[at + row]
-            scores[ids == own] = -np.inf
-            if len(scores) > k:
-                floor = np.partition(scores, len(scores) - k)[len(scores) - k] - slack
-                chosen = np.flatnonzero((scores >= floor) & (scores > -np.inf))
-            else:
-                chosen = np.flatnonzero(scores > -np.inf)
-            exact = (vectors[chosen] * query).sum(axis=1)
+        for row in np.flatnonzero(np.isin(own, ids)):
+            rough[row, ids == own[row]] = -np.inf
+        tied = np.arange(len(asked))
+        if len(ids) > spare:
+            chosen = np.argpartition(-rough, spare - 1, axis=1)[:, :spare]
+            near = np.take_along_axis(rough, chosen, axis=1)
+            # All but the spare ones are safe, if the last of the spare is clearly behind the k-th.
+            floor = -np.partition(-near, k - 1, axis=1)[:, k - 1] - slack
+            clear = near.min(axis=1) < floor
+            exact = (vectors[chosen[clear]] * asked[clear][:, None, :]).sum(axis=2)
+            exact[near[clear] == -np.inf] = -np.inf
+            order = np.lexsort((ids[chosen[clear]], -exact), axis=1)[:, :k]
+            found = np.take_along_axis(exact, order, axis=1)
+            named = np.take_along_axis(ids[chosen[clear]], order, axis=1)
+            kept = found > -np.inf
+            rows = np.repeat(at + np.flatnonzero(clear), kept.sum(axis=1))
+            out.append((rows, named[kept], found[kept]))
+            tied = np.flatnonzero(~clear)
+        for row in tied:
+            scores = rough[row]
+            floor = np.partition(scores, len(scores) - k)[len(scores) - k] - slack if len(scores) > k else -np.inf
+            chosen = np.flatnonzero((scores >= floor) & (scores > -np.inf))
+            exact = (vectors[chosen] * asked[row]).sum(axis=1)
             order = np.lexsort((ids[chosen], -exact))[:k]
             out.append((np.full(len(order), at + row), ids[chosen][order], exact[order]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, int),) * 3
+    if not out:
+        return np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)
+    rows, named, found = (np.concatenate(c) for c in zip(*out, strict=True))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], named[order], found[order]
 
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
-    """The k best of each query from lists (query_id, found), each sorted and at most k long."""
-    merged = lists.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
+    """The k best of each query from lists (query_id, minus, ids), each sorted and at most k long."""
+    pairs = F.zip_with("minus", "ids", lambda m, i: F.struct(m.alias("minus"), i.alias("vec_id")))
+    merged = lists.groupBy("query_id").agg(F.flatten(F.collect_list(pairs)).alias("found"))
     ranked = merged.select(
         "query_id", F.slice(F.array_sort(F.array_distinct("found")), 1, k).alias("found")
     )
@@ -168,16 +189,14 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
     )
 
 
-_LIST = "query_id bigint, found array<struct<minus: double, vec_id: bigint>>"
+_LIST = "query_id bigint, minus array<double>, ids array<bigint>"
 
 
 def _lists(query_ids: np.ndarray, row: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
     bounds = np.searchsorted(row, np.arange(len(query_ids) + 1))
-    found = [
-        [{"minus": -s, "vec_id": int(i)} for s, i in zip(scores[a:b], ids[a:b], strict=True)]
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True)
-    ]
-    return pd.DataFrame({"query_id": query_ids, "found": found})
+    return pd.DataFrame(
+        {"query_id": query_ids, "minus": np.split(-scores, bounds[1:-1]), "ids": np.split(ids, bounds[1:-1])}
+    )
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -263,7 +282,7 @@ class Index:
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
-                return pd.DataFrame({"query_id": np.zeros(0, np.int64), "found": []})
+                return pd.DataFrame({"query_id": np.zeros(0, np.int64), "minus": [], "ids": []})
             ids = left["id"].to_numpy()
             return _lists(ids, *best(_stack(left["v"]), ids, _stack(right["v"]), right["id"].to_numpy(), k))
 
