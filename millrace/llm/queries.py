@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc
+from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc, wrapper
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
@@ -20,6 +20,11 @@ def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op2_wrapper(spark, sf_dir):
+    found = wrapper.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_hyperlang(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
@@ -102,7 +107,7 @@ def op10_crf(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf)}
+QUERIES = {q.__name__: q for q in (op1_minhash, op2_wrapper, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
