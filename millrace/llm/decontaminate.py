@@ -50,6 +50,17 @@ def _fingerprints(text: Column, pad: int, window: int, gram: int, short: list[in
         """Positions at which ``n`` words begin."""
         return F.slice(F.sequence(F.lit(0), F.size(hashes)), 1, F.greatest(F.size(hashes) - n + 1, F.lit(0)))
 
+    def whole(hashes: Column, n: int) -> Column:
+        return F.transform(
+            heads(hashes, n),
+            lambda i: F.struct(
+                i.alias("at"),
+                _whole(F.array(*near(hashes, i, 0, n - 1)), F.lit(n)).alias("gram"),
+                F.lit(n).alias("span"),
+                F.array().cast("array<bigint>").alias("around"),
+            ),
+        )
+
     def picked(hashes: Column) -> Column:
         def of_grams(grams: Column) -> Column:
             lowest = F.transform(grams, lambda g, j: F.least(*near(grams, j, 0, reach)))
@@ -69,19 +80,7 @@ def _fingerprints(text: Column, pad: int, window: int, gram: int, short: list[in
 
         grams = F.transform(heads(hashes, gram), lambda i: F.xxhash64(*near(hashes, i, 0, gram - 1)))
         found = [let(grams, of_grams)]
-        for n in short:
-            found.append(
-                F.transform(
-                    heads(hashes, n),
-                    lambda i, n=n: F.struct(
-                        i.alias("at"),
-                        _whole(F.array(*near(hashes, i, 0, n - 1)), F.lit(n)).alias("gram"),
-                        F.lit(n).alias("span"),
-                        F.array().cast("array<bigint>").alias("around"),
-                    ),
-                )
-            )
-        return F.concat(*found)
+        return F.concat(*found, *(whole(hashes, n) for n in short))
 
     return let(_hashes(text), picked)
 
