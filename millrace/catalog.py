@@ -19,6 +19,7 @@ from millrace.operators.pages import explode_links, explode_sentences, extract
 from millrace.operators.sizing import first_rows, spread, store, workspace
 from millrace.plans import corpus, frontier, gather
 from millrace.sources import files, output
+from millrace.sources import pages as pages_source
 from millrace.sources.pages import accepted_pages, seed_frontier, with_response
 from millrace.streaming import gate, runs
 
@@ -203,6 +204,11 @@ def allow_exact(spark, sf_dir):
     return admission.allow_exact(_page_urls(spark, sf_dir), _french_domains(spark, sf_dir))
 
 
+def allow_mixed_case(spark, sf_dir):
+    names = _french_domains(spark, sf_dir).select(F.concat(F.lit(" "), F.upper("domain")).alias("domain"))
+    return admission.allow_exact(_page_urls(spark, sf_dir), names)
+
+
 def allow_subdomain(spark, sf_dir):
     bare = F.regexp_replace("domain", r"^(m|www|blog)\.", "").alias("domain")
     return admission.allow_subdomains(
@@ -322,6 +328,47 @@ def read_jsonl(spark, sf_dir):
     return files.read_text_files(spark, path, "jsonl")
 
 
+def read_text_column(spark, sf_dir):
+    """JSON lines of which most do not have the column; it holds numbers, and is a string all the same."""
+    path = workspace(spark)
+    number = F.when(F.col("doc_id") % 10 == 9, F.col("n_chars"))
+    _documents(spark, sf_dir).select("doc_id", number.alias("size")).write.json(path)
+    return files.read_text_column(spark, path, "jsonl", "size").where("text IS NOT NULL")
+
+
+def list_files(spark, sf_dir):
+    """Which languages have a file, from documents written in a folder for each."""
+    path = workspace(spark)
+    _documents(spark, sf_dir).select("lang", "text").repartition("lang").write.partitionBy("lang").json(path)
+    found = files.list_text_files(spark, path, "jsonl")
+    names = spark.createDataFrame([(f,) for f in found], "file string")
+    return names.select(F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang")).distinct()
+
+
+def read_seeds(spark, sf_dir):
+    path = workspace(spark)
+    lines = F.explode(F.array(F.lit("# a page"), F.lit(""), F.concat(F.lit(" "), "url")))
+    _pages(spark, sf_dir).select(lines.alias("value")).write.text(path)
+    return seed_frontier(pages_source.read_seeds(spark, path)).select("url", "depth")
+
+
+def crawl_state(spark, sf_dir):
+    """Visits by user, one cycle for each half of the events: what the state says after both."""
+    state = output.CrawlState(spark, f"{workspace(spark)}-state")
+    events = _events(spark, sf_dir)
+    middle = events.agg(F.expr("(min(sec) + max(sec)) div 2").alias("m")).head().m
+    for cycle, part in enumerate((events.where(F.col("sec") <= middle), events.where(F.col("sec") > middle))):
+        last = part.groupBy(F.col("user_id").cast("string").alias("url")).agg(F.max("sec").alias("last_visited"))
+        state.commit(cycle, visited=last)
+    return state.visited()
+
+
+def reseed(spark, sf_dir):
+    """An empty queue gets the seeds again, each once."""
+    seeds = _page_urls(spark, sf_dir).where("url <> ''").select("url", F.lit(0).alias("depth"), F.col("page_id").alias("ord"))
+    return frontier.reseed(seeds.where("false"), seeds)
+
+
 def read_csv(spark, sf_dir):
     path = workspace(spark)
     rows = _documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -456,6 +503,18 @@ def stream_gather(spark, sf_dir):
     return spark.read.schema("text string, url string, timestamp string, cycle bigint").json(path).drop("cycle")
 
 
+def state_resume(spark, sf_dir):
+    """Two streams, each with a checkpoint of its own, share one state: every sentence once."""
+    path = workspace(spark)
+    state = output.CrawlState(spark, f"{path}-state")
+    for number in range(2):
+        runs.start_gather(
+            _stream(spark, sf_dir, "pages").where(F.col("page_id") % 2 == number), ["page_id"], path, state,
+            f"{path}-checkpoint-{number}", None, once=True, script=T.LATIN, timestamp=F.timestamp_seconds(F.lit(NOW)),
+        ).awaitTermination()
+    return spark.read.schema("text string, cycle bigint").json(path).select("text")
+
+
 def stream_tokens(spark, sf_dir):
     path = workspace(spark)
     docs = files.text_column(_stream(spark, sf_dir, "documents"), "text", keep=("doc_id",))
@@ -493,11 +552,11 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     page_source, page_text, page_text_native, page_sentences, gather_pages,
     extract_links, extract_links_native,
     canonical_url, url_domain, distinct_urls, seed_domains,
-    allow_all, allow_exact, allow_subdomain, same_or_subdomain, robots_filter,
+    allow_all, allow_exact, allow_mixed_case, allow_subdomain, same_or_subdomain, robots_filter,
     visited_upsert, revisit_due, revisit_gate, not_queued, depth_cap, page_cap, queue_cap,
     cycle_report, frontier_visits, frontier_sentences,
-    text_column, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
+    text_column, read_text_column, list_files, read_seeds, crawl_state, reseed, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
     tokenize_bytes, tokenize_bytes_native, truncate_tokens, exact_length,
     pack_blocks, pack_shards, build_corpus, collate, shuffle_feed,
-    stream_distinct, stream_gather, stream_tokens, stream_gate, stream_gate_table,
+    stream_distinct, stream_gather, state_resume, stream_tokens, stream_gate, stream_gate_table,
 )

@@ -8,6 +8,7 @@ pages; they decode the entities in ``NATIVE_ENTITIES`` only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from html import unescape
 from html.entities import html5
@@ -127,14 +128,23 @@ class _PageReader(HTMLParser):
     handle_decl = handle_pi = handle_comment
 
 
+_DECLARATION = re.compile(r"<!(?!--|\[CDATA\[)[^>]*(?:>|\Z)")
+
+
+def _read(html: str, drop_tags: Sequence[str]) -> _PageReader:
+    reader = _PageReader(drop_tags)
+    reader.feed(html)
+    reader.close()
+    return reader
+
+
 def read_page(html: str, url: str, drop_tags: Sequence[str] = DROP_TAGS) -> tuple[str, list[str]]:
     """Raw text (not normalized) and absolute hrefs of one page, in page order."""
-    reader = _PageReader(drop_tags)
     try:
-        reader.feed(html)
-        reader.close()
+        reader = _read(html, drop_tags)
     except AssertionError:
-        pass  # a markup declaration the parser gives up on; keep what came before it
+        # A markup declaration that the parser gives up on; browsers pass over it up to ">".
+        reader = _read(_DECLARATION.sub(" ", html), drop_tags)
     links = []
     for href in map(str.strip, reader.hrefs):
         if href:

@@ -30,9 +30,14 @@ def allow_exact(df: DataFrame, allowlist: DataFrame, url: str = "url") -> DataFr
     return exact_rule(allowlist)(df, url)
 
 
+def _names(allowlist: DataFrame) -> DataFrame:
+    """Distinct names as domains are written: trimmed, in lower case, none blank."""
+    return allowlist.select(F.lower(F.trim("domain")).alias("domain")).where("domain <> ''").distinct()
+
+
 def exact_rule(allowlist: DataFrame) -> Rule:
     """:func:`allow_exact` for repeated use: the allowlist is measured once."""
-    allowed = broadcast_if_small(store(allowlist.select(F.col("domain").alias("_domain")).distinct()))
+    allowed = broadcast_if_small(store(_names(allowlist).withColumnRenamed("domain", "_domain")))
 
     def rule(df: DataFrame, url: str = "url") -> DataFrame:
         same = url_domain(F.col(url)) == F.col("_domain")
@@ -54,7 +59,7 @@ def subdomain_rule(allowlist: DataFrame) -> Rule:
     allowlist is first reduced to the domains that match, so that joins on a
     domain never carry the URLs.
     """
-    allowed = store(allowlist.select("domain").distinct())
+    allowed = store(_names(allowlist))
     labels = F.size(F.split("domain", "[.]", -1))
     counts = sorted(r.k for r in allowed.select(labels.alias("k")).distinct().collect())
     small = fits_broadcast(allowed)
@@ -87,9 +92,11 @@ def link_rule(
 ) -> Rule:
     """The allowlist rule with its switches, as a function of a table of URLs.
 
-    The list is ``allowed_domains`` if given, else the seeds' domains; without
+    The list is ``allowed_domains`` if given and not empty, else the seeds' domains; without
     ``same_domain_only`` only a given list restricts, and then by exact domain.
     """
+    if allowed_domains is not None and _names(allowed_domains).isEmpty():
+        allowed_domains = None
     allowlist = seed_domains if allowed_domains is None else allowed_domains
     if same_domain_only and subdomains:
         return subdomain_rule(allowlist)

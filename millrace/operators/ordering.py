@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sizing import broadcast_if_small, spread, workspace
+from millrace.sources.files import decoded
 
 
 def _number(df: DataFrame, file_key: Column, name: str) -> DataFrame:
@@ -35,7 +36,7 @@ def index_by_file(spark: SparkSession, path: str, *columns: str, name: str = "ro
     """
     df = spark.read.options(**options).parquet(path)
     df = df.select(*columns) if columns else df
-    return _number(df, F.split("_file", "/"), name)
+    return _number(df, F.split(decoded(F.col("_file")), "/"), name)
 
 
 def index_by_key(df: DataFrame, *order: Column | str, name: str = "row_idx") -> DataFrame:
@@ -46,7 +47,8 @@ def index_by_key(df: DataFrame, *order: Column | str, name: str = "row_idx") ->
     """
     spark, path = df.sparkSession, workspace(df.sparkSession)
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
-    part = F.regexp_extract("_file", r"part-(\d+)-", 1).cast("bigint")
-    chunk = F.regexp_extract("_file", r"-c(\d+)\.", 1).cast("bigint")
+    base = F.substring_index("_file", "/", -1)
+    part = F.regexp_extract(base, r"part-(\d+)-", 1).cast("bigint")
+    chunk = F.regexp_extract(base, r"-c(\d+)\.", 1).cast("bigint")
     written = spark.read.schema(df.schema).parquet(path)
     return _number(written, F.struct(part, chunk), name)

@@ -81,8 +81,16 @@ def rules_for_agent(robots: DataFrame, user_agent: str) -> DataFrame:
     )
 
 
+def _one_per_base(robots: DataFrame) -> DataFrame:
+    """The newest row of each base by ``fetched_at``, where there is one, else the smallest row."""
+    others = F.struct(*[c for c in robots.columns if c != "base"])
+    one = F.max_by(others, "fetched_at") if "fetched_at" in robots.columns else F.min(others)
+    return robots.groupBy("base").agg(one.alias("_one")).select("base", "_one.*")
+
+
 def robots_rule(robots: DataFrame, user_agent: str) -> Rule:
     """:func:`robots_allowed` for repeated use: rules are read and measured once."""
+    robots = _one_per_base(robots)
     rules = robots.select("base", "status").join(rules_for_agent(robots, user_agent), "base", "left")
     rules = store(rules.select(F.col("base").alias("_base"), "status", "rules"))
     rules = broadcast_if_small(rules)
@@ -109,7 +117,7 @@ def robots_allowed(df: DataFrame, robots: DataFrame, user_agent: str, url: str =
 
     401 and 403 forbid the host, other 4xx allow it, 5xx forbid it; a failed
     fetch or an absent host allows it. Otherwise the first rule whose path
-    starts the URL's path decides. Each host has one row of rules, so the join
+    starts the URL's path decides. Of several rows of a host one is taken, so the join
     does not multiply URLs.
     """
     return robots_rule(robots, user_agent)(df, url)

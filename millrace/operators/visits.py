@@ -72,7 +72,7 @@ def revisit_gate(
 
     ``time`` is in whole seconds; ``order`` ranks rows of one second and has to
     be total. A rejected row does not reset the clock. ``visited(url,
-    last_visited)`` gives times admitted earlier.
+    last_visited)`` gives times admitted earlier. Rows without a key never pass.
 
     At most one row per second of a key can pass, so each second is first
     reduced to its earliest row. What remains of a key is bounded by the time
@@ -80,7 +80,7 @@ def revisit_gate(
     sorted stream of Arrow batches.
     """
     if every <= 0:
-        return df
+        return df.where(F.col(key).isNotNull())
     firsts = first_by_key(df, [key, time], order)
     if visited is None:
         seeded = firsts.withColumn("_last", F.lit(None).cast("bigint"))

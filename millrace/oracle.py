@@ -256,6 +256,17 @@ def sql() -> dict[str, str]:
         ),
         "text_column": "SELECT text FROM conversations",
         "read_parquet": "SELECT doc_id, text FROM documents",
+        "read_text_column": "SELECT CAST(n_chars AS VARCHAR) AS text FROM documents WHERE doc_id % 10 = 9",
+        "list_files": "SELECT DISTINCT lang FROM documents",
+        "read_seeds": f"SELECT url, CAST(0 AS INTEGER) AS depth FROM ({_URLS}) WHERE url <> ''",
+        "crawl_state": """
+            SELECT CAST(user_id AS VARCHAR) AS url, max(CAST(floor(epoch(ts)) AS BIGINT)) AS last_visited
+            FROM events GROUP BY user_id""",
+        "reseed": f"""
+            SELECT url, CAST(0 AS INTEGER) AS depth, min(page_id) AS ord
+            FROM ({_URLS}) WHERE url <> '' GROUP BY url""",
+        "allow_mixed_case": f"SELECT page_id, url FROM ({_URLS}) WHERE {_DOMAIN} IN ({french})",
+        "state_resume": f"SELECT DISTINCT sentence AS text FROM ({_PAGE}) WHERE {long_latin}",
         "read_jsonl": "SELECT doc_id, text, lang FROM documents",
         "read_csv": "SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang FROM documents",
         "read_txt": "SELECT unnest(string_split(text, chr(10))) AS text FROM documents",

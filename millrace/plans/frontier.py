@@ -136,7 +136,8 @@ def run_cycle(
         )
         fresh = not_queued(first_by_key(allowed(links), ["url"], ["ord"]), waiting)
         if options.max_queue is not None:
-            fresh = first_rows(fresh, options.max_queue, F.col("ord"))
+            queued = remainder.count() if left == 0 else 0
+            fresh = first_rows(fresh, max(0, options.max_queue - queued), F.col("ord"))
         waiting = store(fresh)
 
     if left == 0:

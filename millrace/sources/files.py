@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,8 +17,6 @@ EXTENSIONS = {
     "txt": ("txt",),
 }
 
-_LOOK_AHEAD = 1000  # lines
-
 
 def _any_case(extension: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
@@ -56,6 +54,11 @@ def list_text_files(spark: SparkSession, path: str, file_type: str) -> list[str]
     return sorted((unquote(f) for f in found), key=lambda f: f.split("/"))
 
 
+def decoded(path: Column) -> Column:
+    """A file path without percent codes, as :func:`list_text_files` gives it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def format_options(file_type: str) -> tuple[str, dict[str, str]]:
     """Spark source and options of a file type."""
     return {
@@ -98,7 +101,7 @@ def read_text_files(
         start = F.lit(0) if file_type == "parquet" else F.col("_metadata.file_block_start")
         columns.append(
             F.struct(
-                F.split(F.col("_metadata.file_path"), "/").alias("path"),
+                F.split(decoded(F.col("_metadata.file_path")), "/").alias("path"),
                 start.cast("bigint").alias("start"),
                 row.cast("bigint").alias("row"),
             ).alias(order)
@@ -111,16 +114,17 @@ def read_text_column(
 ) -> DataFrame:
     """Only ``column``, as ``text``, without reading the data once more to infer types.
 
-    In JSON the column is looked for in some lines first; only where it is not
-    there are all lines read, to find it or to name the columns there are.
+    In JSON and CSV it is a string, whatever the values. JSON lines are searched for
+    the key until one has it; where none does, the keys there are are named.
     """
     schema = None
     if file_type == "jsonl":
-        options = reader_options(spark, path, file_type)
-        lines = spark.read.options(**options).text(path).limit(_LOOK_AHEAD)
+        lines = spark.read.options(**reader_options(spark, path, file_type)).text(path)
         keys = lines.select(F.explode(F.json_object_keys("value")).alias("key"))
-        if not keys.where(F.col("key") == column).isEmpty():
-            schema = StructType().add(column, "string")
+        if keys.where(F.col("key") == column).isEmpty():
+            names = sorted(r.key for r in keys.distinct().collect())
+            raise ValueError(f"no column '{column}' for the text; there are {names}")
+        schema = StructType().add(column, "string")
     df = read_text_files(spark, path, file_type, schema, order, infer=False)
     return text_column(df, column, keep=(order,) if order else ())
 
@@ -153,17 +157,22 @@ def read_dataset(
     split: str = "train",
     streaming: bool = False,
 ) -> DataFrame:
-    """A named dataset kept as ``<root>/<dataset>[/<subset>]/<split>*.parquet``.
+    """A named dataset kept as ``<root>/<dataset>[/<subset>]``, its split as ``<split>.parquet``,
+    ``<split>-*.parquet`` or a folder ``<split>``.
 
     An empty subset is no subset. Streaming takes the schema from the files
     already there.
     """
     folder = "/".join(p for p in (root.rstrip("/"), dataset, (subset or "").strip()) if p)
-    options = {"pathGlobFilter": f"{split}*.parquet"}
+    options = {"pathGlobFilter": f"{{{split}.parquet,{split}-*.parquet}}"}
     try:
         batch = spark.read.options(**options).parquet(folder)
-    except AnalysisException as e:
-        raise ValueError(f"No split '{split}' under: {folder}") from e
+    except AnalysisException:
+        folder, options = f"{folder}/{split}", {}
+        try:
+            batch = spark.read.parquet(folder)
+        except AnalysisException as e:
+            raise ValueError(f"No split '{split}' under: {folder.removesuffix(f'/{split}')}") from e
     if not streaming:
         return batch
     return spark.readStream.schema(batch.schema).options(**options).parquet(folder)
@@ -172,5 +181,5 @@ def read_dataset(
 def text_column(df: DataFrame, name: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Only column ``name``, called ``text``; ``keep`` lists order or key columns to carry along."""
     if name not in df.columns:
-        raise ValueError(f"text column '{name}' not found. Available columns: {df.columns}")
+        raise ValueError(f"no column '{name}' for the text; there are {df.columns}")
     return df.select(*keep, F.col(f"`{name}`").alias("text"))

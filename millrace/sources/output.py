@@ -23,14 +23,24 @@ def write_sentences(sentences: DataFrame, path: str, fmt: str = "json", mode: st
     writer.save(path)
 
 
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 class CrawlState:
     """Visit times, sentence hashes and the queue, as one table folder each.
 
     A cycle writes its changes to ``<table>/cycle=N`` and then one row to
     ``commits``. Readers take committed cycles only, so a cycle that failed
-    half-way leaves nothing behind and can be run again under its number.
+    half-way leaves nothing behind and can be run again under its number. ``commits``
+    is there before any table, so tables without it are a damaged state and raise.
+
+    A stream commits its query's id and batch number too: a batch is known by these
+    and gets the next cycle number, whatever else used the state before.
     """
 
+    TABLES = ("visited", "hashes", "frontier")
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
@@ -38,19 +48,43 @@ class CrawlState:
     def _read(self, table: str, schema: str) -> DataFrame:
         try:
             stored = self.spark.read.schema(f"{schema}, cycle BIGINT").parquet(f"{self.root}/{table}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
             return self.spark.createDataFrame([], f"{schema}, cycle BIGINT")
         return stored
 
+    def _exists(self, table: str) -> bool:
+        try:
+            self.spark.read.schema("cycle BIGINT").parquet(f"{self.root}/{table}")
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+            return False
+        return True
+
+    def _commits(self) -> DataFrame | None:
+        if not self._exists("commits"):
+            if any(map(self._exists, self.TABLES)):
+                raise ValueError(f"crawl state without its commits: {self.root}")
+            return None
+        return self.spark.read.schema("cycle BIGINT, run STRING, batch BIGINT").parquet(f"{self.root}/commits")
+
+    def _mark(self, cycle: int, run: str | None, batch: int | None) -> None:
+        marker = self.spark.createDataFrame([(cycle, run, batch)], "cycle BIGINT, run STRING, batch BIGINT")
+        marker.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
     def last_cycle(self) -> int:
         """Number of the last committed cycle, -1 before the first."""
-        try:
-            commits = self.spark.read.schema("cycle BIGINT").parquet(f"{self.root}/commits")
-        except AnalysisException:
-            return -1
-        last = commits.agg(F.max("cycle").alias("last")).head().last
+        commits = self._commits()
+        last = None if commits is None else commits.agg(F.max("cycle").alias("last")).head().last
         return -1 if last is None else last
 
+    def has_batch(self, run: str, batch: int) -> bool:
+        """Whether that batch of that stream has been committed."""
+        commits = self._commits()
+        return commits is not None and not commits.where((F.col("run") == run) & (F.col("batch") == batch)).isEmpty()
+
     def visited(self) -> DataFrame:
         """``(url, last_visited)`` over all committed cycles."""
         stored = self._read("visited", "url STRING, last_visited BIGINT")
@@ -73,16 +107,19 @@ class CrawlState:
         visited: DataFrame | None = None,
         hashes: DataFrame | None = None,
         frontier: DataFrame | None = None,
+        run: str | None = None,
+        batch: int | None = None,
     ) -> None:
         """Store what a cycle changed and make it visible. A committed cycle is left alone."""
         if cycle <= self.last_cycle():
             return
+        if self._commits() is None:
+            self._mark(-1, None, None)
         changes = {"visited": visited, "hashes": hashes, "frontier": frontier}
         for table, df in changes.items():
             if df is not None:
                 df.write.mode("overwrite").parquet(f"{self.root}/{table}/cycle={cycle}")
-        marker = self.spark.range(1).select(F.lit(cycle).cast("bigint").alias("cycle"))
-        marker.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self._mark(cycle, run, batch)
 
     def compact(self, root: str) -> CrawlState:
         """The same state in a new folder with one file set per table."""

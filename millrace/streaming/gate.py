@@ -13,13 +13,13 @@ from millrace.operators.visits import admit_run
 
 def revisit_gate_stream(events: DataFrame, key: str, time: str, order: str, every: int) -> DataFrame:
     """Admitted events of a stream, ``time`` in whole seconds and rising from one
-    micro-batch to the next; ``order`` ranks events of one second.
+    micro-batch to the next; ``order`` ranks events of one second. Events without a key never pass.
 
     Inside a micro-batch a key's events arrive in chunks. Only the earliest of
     each second is held, so memory follows the time spanned, not the events.
     """
     if every <= 0:
-        return events
+        return events.where(events[key].isNotNull())
     columns = events.columns
 
     def gate(_, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -43,6 +44,12 @@ def start_batches(
     return _trigger(writer, once, interval).start()
 
 
+def _query_id(batch: DataFrame, checkpoint: str) -> str:
+    """The stream's id, which it keeps in its checkpoint: a new checkpoint is another stream."""
+    written = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").head()
+    return json.loads(written.value)["id"]
+
+
 def distinct_stream(sentences: DataFrame, text: str = "text") -> DataFrame:
     """Each sentence once, with its ``hash``, which is all the state holds. State grows with the hashes: keep it in RocksDB (``ROCKSDB``).
     Which copy of one micro-batch is kept is not fixed; see :func:`start_gather`."""
@@ -66,17 +73,19 @@ def start_gather(
 
     Hashes of earlier batches are a table, not operator state, so history may
     outgrow the executors; but each batch reads it, so this suits large batches
-    at long intervals, and :func:`start_distinct` small ones. Output goes to ``path/cycle=<batch>``; a repeated
-    batch overwrites its own folder.
+    at long intervals, and :func:`start_distinct` small ones. Output goes to ``path/cycle=<number>``, numbered on by
+    whatever shares the state; a repeated batch overwrites its own folder.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= state.last_cycle():
+        run = _query_id(batch, checkpoint)
+        if state.has_batch(run, batch_id):
             return  # committed before the checkpoint was
+        cycle = state.last_cycle() + 1
         found = page_sentences(batch, order, target, model, **options)
-        folder = f"{path.rstrip('/')}/cycle={batch_id}"
+        folder = f"{path.rstrip('/')}/cycle={cycle}"
         write_sentences(first_sentences(found, [*order, "pos"], state.hashes()), folder, mode="overwrite")
         written = batch.sparkSession.read.schema("text string").json(folder)
-        state.commit(batch_id, hashes=with_hash(written).select("hash"))
+        state.commit(cycle, hashes=with_hash(written).select("hash"), run=run, batch=batch_id)
 
     return start_batches(pages, step, checkpoint, once, interval)
 
@@ -92,14 +101,16 @@ def start_revisit_gate(
     event per second before it meets one task.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= state.last_cycle():
+        run = _query_id(batch, checkpoint)
+        if state.has_batch(run, batch_id):
             return
+        cycle = state.last_cycle() + 1
         last = state.visited()
         keyed = last.withColumn("url", last.url.cast(batch.schema[key].dataType))
-        folder = f"{path.rstrip('/')}/cycle={batch_id}"
+        folder = f"{path.rstrip('/')}/cycle={cycle}"
         revisit_gate(batch, key, time, order, every, keyed).write.mode("overwrite").parquet(folder)
         admitted = batch.sparkSession.read.schema(batch.schema).parquet(folder)
         visits = admitted.selectExpr(f"cast(`{key}` as string) as url", f"cast(`{time}` as bigint) as last_visited")
-        state.commit(batch_id, visited=upsert_visits(visits.where("false"), visits))
+        state.commit(cycle, visited=upsert_visits(visits.where("false"), visits), run=run, batch=batch_id)
 
     return start_batches(events, step, checkpoint, once, interval)

@@ -39,6 +39,21 @@ def test_allowlist_rules(spark, monkeypatch, small):
     assert allowed(same_domain_only=False, allowed_domains=given) == ["http://b/", "http://c.d:8/"]
 
 
+def test_names_are_normalized_and_an_empty_list_is_unset(spark):
+    urls = spark.createDataFrame([("http://a.b/x",), ("http://c.d/",)], "url string")
+    names = spark.createDataFrame([(" A.B ",), ("",), (None,)], "domain string")
+    assert A.allow_exact(urls, names).count() == A.allow_subdomains(urls, names).count() == 1
+    rule = A.link_rule(spark.createDataFrame([("c.d",)], "domain string"), names.where("trim(domain) = ''"))
+    assert [r.url for r in rule(urls).collect()] == ["http://c.d/"]
+
+
+def test_several_robots_rows_of_one_host(spark):
+    urls = spark.createDataFrame([("http://h/x",), ("http://h/y",)], "url string")
+    rows = [("http://h", 200, "User-agent: *\nDisallow: /x", 1), ("http://h", 200, "User-agent: *\nDisallow: /y", 2)]
+    robots = spark.createDataFrame(rows, "base string, status int, body string, fetched_at bigint")
+    assert [r.url for r in robots_allowed(urls, robots, "m").collect()] == ["http://h/x"]
+
+
 def test_copies_are_kept(spark):
     urls = table(spark, ["http://s.a.b/", "http://s.a.b/"], "url")
     allow = table(spark, ["a.b", "b", "s.a.b"], "domain")

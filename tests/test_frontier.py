@@ -112,6 +112,15 @@ def test_queue_limit_keeps_the_first_links(spark, pages):
     assert sorted(r.url for r in got.visits.collect()) == ["http://h/a", "http://h/b"]
 
 
+def test_queue_cap_counts_what_is_still_queued(spark, pages):
+    seeds = ["http://h/a", *(f"http://h/x{i}" for i in range(9))]
+    options = CycleOptions(target=None, script="A-Za-z", max_pages=1, max_queue=10)
+    frontier = spark.createDataFrame([(u, 0, n) for n, u in enumerate(seeds)], "url string, depth int, ord bigint")
+    empty = spark.createDataFrame([], "url string, last_visited bigint")
+    got = run_cycle(pages, frontier, empty, distinct_domains(frontier), NOW, options)
+    assert got.frontier.count() == 10
+
+
 def test_reseed(spark):
     seeds = spark.createDataFrame([("a", 0, 0), ("b", 0, 1), ("a", 0, 2)], "url string, depth int, ord bigint")
     queue = spark.createDataFrame([("q", 1, 5)], "url string, depth int, ord bigint")

@@ -43,6 +43,11 @@ def test_visible_text(html, text):
     assert text_of(html) == text
 
 
+def test_unknown_declaration_is_passed_over():
+    text, links = H.read_page("<p>before</p><a href=/x>l</a><![foo bar><p>after</p><!bar baz>end", "http://h/")
+    assert "before" in text and "after" in text and "end" in text and links == ["http://h/x"]
+
+
 def test_links_after_removal_in_order_with_repeats():
     html = (
         "<a href='/x'>1</a><nav><a href='/no'>2</a></nav><a>3</a><a href=''>4</a><a href=' y '>5</a>"

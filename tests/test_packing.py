@@ -154,3 +154,21 @@ def test_training_order(spark):
     assert [k for e, k in longer if e == 0] != [k for e, k in longer if e == 1]
     assert read(30, seed=2) != first
     assert training_order(df.limit(0), "k", 1, 5).count() == 0
+
+
+def test_row_numbers_whatever_the_folder_is_called(spark, folder, monkeypatch):
+    from millrace.operators import ordering
+
+    monkeypatch.setattr(ordering, "workspace", lambda spark: f"{folder}/part-00009-z")
+    df = spark.range(1000).selectExpr("id", "-id AS k")
+    rows = ordering.index_by_key(df, "k").collect()
+    assert all(r.row_idx == 999 - r.id for r in rows)
+
+
+def test_files_in_the_order_of_their_decoded_names(spark, folder):
+    from millrace.operators.ordering import index_by_file
+
+    for n, name in enumerate(["a b", "a!b", "a%b", "a+b"]):
+        spark.range(n, n + 1).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    rows = index_by_file(spark, folder, recursiveFileLookup="true").orderBy("row_idx").collect()
+    assert [r.id for r in rows] == [0, 1, 2, 3]

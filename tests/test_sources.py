@@ -81,6 +81,8 @@ def test_text_column_without_inference(spark, tree, folder):
     late = write(folder, "late.jsonl", '{"a": 1}\n' * 1500 + '{"a": 2, "b": "x"}\n')
     assert files.read_text_column(spark, late, "jsonl", "a").where("text = '2'").count() == 1
     assert files.read_text_column(spark, late, "jsonl", "b").where("text = 'x'").count() == 1
+    for path in (late, write(folder, "early.jsonl", '{"a": 2, "b": "x"}\n')):
+        assert files.read_text_column(spark, path, "jsonl", "a").schema["text"].dataType.simpleString() == "string"
     with pytest.raises(ValueError, match="'a', 'b'"):
         files.read_text_column(spark, late, "jsonl", "c")
 
@@ -97,6 +99,12 @@ def test_named_dataset(spark, folder):
     assert files.read_dataset(spark, folder, "name", " ").count() == 3
     assert files.read_dataset(spark, folder, "name", "sub", "test").count() == 3
     assert files.read_dataset(spark, folder, "name", streaming=True).isStreaming
+    # Another split with the same beginning is another split.
+    spark.range(5).write.parquet(f"{folder}/other/validation")
+    spark.range(2).write.parquet(f"{folder}/other/val")
+    assert files.read_dataset(spark, folder, "other", split="val").count() == 2
+    with pytest.raises(ValueError):
+        files.read_dataset(spark, folder, "name", split="trai")
     with pytest.raises(ValueError):
         files.read_dataset(spark, folder, "name", "other")
 
@@ -149,6 +157,10 @@ def test_crawl_state(spark, folder):
     assert state.frontier().count() == 0  # cycle 1 left nothing queued
     state.commit(1, visits(("z", 99)))  # already committed
     assert state.visited().where("url = 'z'").isEmpty()
+    # Tables without their commits are damage, not a new state.
+    visits(("a", 1)).write.parquet(f"{folder}/damaged/visited/cycle=0")
+    with pytest.raises(ValueError, match="without its commits"):
+        CrawlState(spark, f"{folder}/damaged").last_cycle()
     merged = state.compact(f"{folder}/merged")
     assert sorted(map(tuple, merged.visited().collect())) == [("a", 20), ("b", 10)]
     assert merged.last_cycle() == 1

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -65,10 +66,14 @@ def test_repeated_batch_is_not_written_twice(spark, folder):
     def capture(df, fn, *args):
         step["fn"] = fn
 
+    checkpoint = f"{folder}/checkpoint"
+    os.makedirs(checkpoint)
+    with open(f"{checkpoint}/metadata", "w") as file:
+        file.write('{"id": "one"}')
     original = runs.start_batches
     runs.start_batches = capture
     try:
-        runs.start_gather(pages_of(spark, 0, 3), ["page_id"], f"{folder}/out", state, "", None, script=LATIN,
+        runs.start_gather(pages_of(spark, 0, 3), ["page_id"], f"{folder}/out", state, checkpoint, None, script=LATIN,
                           timestamp=STAMP(F.lit(0)))
     finally:
         runs.start_batches = original
@@ -76,6 +81,11 @@ def test_repeated_batch_is_not_written_twice(spark, folder):
         step["fn"](pages_of(spark, 0, 3), 0)
         seen.append(spark.read.json(f"{folder}/out").count())
     assert seen == [6, 6] and state.hashes().count() == 6
+    # Batch 0 of another stream is another batch, though the state is the same.
+    with open(f"{checkpoint}/metadata", "w") as file:
+        file.write('{"id": "two"}')
+    step["fn"](pages_of(spark, 0, 5), 0)
+    assert state.hashes().count() == spark.read.json(f"{folder}/out").count() > 6 and state.last_cycle() == 1
 
 
 def test_stateful_distinct_survives_restart(spark, folder, arriving):

@@ -36,6 +36,12 @@ def test_gate_without_interval_admits_all(spark):
     assert revisit_gate(df, "key", "sec", ["event"], 0).count() == 2
 
 
+@pytest.mark.parametrize("every", [0, 5])
+def test_rows_without_key_never_pass(spark, every):
+    df = spark.createDataFrame([(None, 1, 0), ("a", 1, 1)], "k string, t bigint, n bigint")
+    assert [r.k for r in revisit_gate(df, "k", "t", ["n"], every).collect()] == ["a"]
+
+
 def test_upsert(spark):
     visited = spark.createDataFrame([("a", 50), ("b", 50)], "url string, last_visited bigint")
     new = spark.createDataFrame([("a", 40, 2), ("a", 60, 1), ("c", 1, 1)], "url string, last_visited bigint, seq int")
