@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sizing import store
@@ -176,17 +176,16 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
     """The k best of each query from lists (query_id, minus, ids), each sorted and at most k long."""
-    pairs = F.zip_with("minus", "ids", lambda m, i: F.struct(m.alias("minus"), i.alias("vec_id")))
-    merged = lists.groupBy("query_id").agg(F.flatten(F.collect_list(pairs)).alias("found"))
-    ranked = merged.select(
-        "query_id", F.slice(F.array_sort(F.array_distinct("found")), 1, k).alias("found")
-    )
-    return ranked.select("query_id", F.posexplode("found").alias("rank", "f")).select(
-        "query_id",
-        (F.col("rank") + 1).cast("int").alias("rank"),
-        F.col("f.vec_id").alias("vec_id"),
-        (-F.col("f.minus")).alias("score"),
+    pairs = lists.select("query_id", F.explode(F.arrays_zip("minus", "ids")).alias("f"))
+    found = (
+        pairs.select("query_id", F.col("f.ids").alias("vec_id"), F.col("f.minus").alias("minus"))
+        .repartition("query_id")  # once, for both steps below
+        .groupBy("query_id", "vec_id")
+        .agg(F.min("minus").alias("minus"))
     )
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("minus", "vec_id"))
+    ranked = found.withColumn("rank", place).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", (-F.col("minus")).alias("score"))
 
 
 _LIST = "query_id bigint, minus array<double>, ids array<bigint>"
@@ -215,7 +214,7 @@ class Index:
     """A fitted tree and the vectors filed under its leaves."""
 
     def __init__(self, rows: DataFrame) -> None:
-        self.rows = rows = store(rows)
+        self.rows = rows = store(rows.distinct())
         seen = rows.agg(
             F.count(F.lit(1)).alias("n"),
             F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("bound"),
@@ -310,7 +309,7 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int, recall: float = RECA
     """The ``k`` nearest found for each of ``queries``, which are some of the ``rows`` (see
     :func:`usable`): (query_id, rank, vec_id, score), ties to the smaller id.
 
-    A query's own id is no candidate. Rows that share an id and a vector count once. If there are
+    A query's own id is no candidate. Rows that share an id count once, by the nearest. If there are
     fewer candidates, all are returned when all leaves are visited; no rows give no rows.
     """
     index = Index(rows)
