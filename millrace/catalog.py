@@ -455,6 +455,29 @@ def build_corpus(spark, sf_dir):
     return _digest(blocks, "batch_id", "block_id")
 
 
+def _dataset(spark, sf_dir):
+    """The documents as split ``train`` of a named dataset, its files in the order of their ids."""
+    root = workspace(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(f"{root}/docs/train")
+    return root
+
+
+def corpus_dataset(spark, sf_dir):
+    root = _dataset(spark, sf_dir)
+    blocks = corpus.build_from_dataset(spark, root, "docs", seq_len=SEQ_LEN, batch_rows=BATCH_ROWS)
+    return _digest(blocks, "batch_id", "block_id")
+
+
+def corpus_stream(spark, sf_dir):
+    path = workspace(spark)
+    tokens = corpus.build_from_dataset(
+        spark, _dataset(spark, sf_dir), "docs", seq_len=SEQ_LEN, pack=False, streaming=True, keep=("doc_id",)
+    )
+    runs.start_files(tokens, path, f"{path}-checkpoint", once=True).awaitTermination()
+    return _digest(spark.read.schema(tokens.schema).parquet(path), "doc_id")
+
+
 def collate(spark, sf_dir):
     docs = index_by_file(spark, f"{sf_dir}/documents.parquet", "text")
     # Padding with a byte that occurs in texts shows that real tokens equal to it are masked too.
@@ -557,6 +580,6 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     cycle_report, frontier_visits, frontier_sentences,
     text_column, read_text_column, list_files, read_seeds, crawl_state, reseed, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
     tokenize_bytes, tokenize_bytes_native, truncate_tokens, exact_length,
-    pack_blocks, pack_shards, build_corpus, collate, shuffle_feed,
+    pack_blocks, pack_shards, build_corpus, corpus_dataset, corpus_stream, collate, shuffle_feed,
     stream_distinct, stream_gather, state_resume, stream_tokens, stream_gate, stream_gate_table,
 )

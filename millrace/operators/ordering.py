@@ -36,6 +36,11 @@ def index_by_file(spark: SparkSession, path: str, *columns: str, name: str = "ro
     """
     df = spark.read.options(**options).parquet(path)
     df = df.select(*columns) if columns else df
+    return index_read(df, name)
+
+
+def index_read(df: DataFrame, name: str = "row_idx") -> DataFrame:
+    """A Parquet read with a dense row number, as :func:`index_by_file` gives it."""
     return _number(df, F.split(decoded(F.col("_file")), "/"), name)
 
 

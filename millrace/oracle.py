@@ -278,6 +278,8 @@ def sql() -> dict[str, str]:
         "pack_blocks": blocks,
         "pack_shards": _digest("shard, batch_id, block_id", _blocks(_shards(3), "shard, batch_id")),
         "build_corpus": blocks,
+        "corpus_dataset": blocks,
+        "corpus_stream": _digest("doc_id", short),
         "collate": f"""
             SELECT batch_id, i AS row_idx, kept, widest AS n, {_ids_md5('p')} AS ids_md5,
                    len(list_filter(regexp_extract_all(p, '..'), lambda b: b = '0A')) AS ignored

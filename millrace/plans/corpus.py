@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.tokens import Tokenizer, attention_mask, byte_tokens, truncate_tokens
-from millrace.operators.ordering import index_by_file, index_by_key
+from millrace.operators.ordering import index_by_file, index_by_key, index_read
 from millrace.operators.packing import BATCH_ROWS, pack_blocks
-from millrace.sources.files import read_text_column, reader_options, text_column
+from millrace.sources.files import read_dataset, read_text_column, reader_options, text_column
 
 MIN_SEQ_LEN = 16
 
@@ -101,3 +101,33 @@ def build_corpus(
             rows = rows.where("text is not null")
         rows = index_by_key(rows, "_order").select("row_idx", "text")
     return tokenize_dataset(rows, seq_len, True, tokenizer, on_null, batch_rows, shards)
+
+
+def build_from_dataset(
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    subset: str | None = None,
+    split: str = "train",
+    column: str = "text",
+    seq_len: int = 512,
+    pack: bool = True,
+    streaming: bool = False,
+    keep: tuple[str, ...] = (),
+    tokenizer: Tokenizer = byte_tokens,
+    on_null: str = "error",
+    batch_rows: int = BATCH_ROWS,
+    shards: int = 1,
+) -> DataFrame:
+    """:func:`build_corpus` from a named dataset (see :func:`read_dataset`), or on its stream.
+
+    A stream cannot be packed. ``keep`` names columns that truncated rows carry along.
+    """
+    rows = read_dataset(spark, root, dataset, subset, split, streaming)
+    _check(rows, seq_len, pack)
+    if not pack:
+        return tokenize_dataset(text_column(rows, column, keep), seq_len, False, tokenizer, on_null)
+    if on_null == "drop":
+        rows = rows.where(F.col(f"`{column}`").isNotNull())
+    rows = text_column(index_read(rows), column, keep=("row_idx",))
+    return tokenize_dataset(rows, seq_len, True, tokenizer, on_null, batch_rows, shards)
