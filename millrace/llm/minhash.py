@@ -95,15 +95,18 @@ def _sketch(words: int, bands: int, rows: int):
     return run
 
 
-def _wide(words: int):
+def _wide(words: int, bands: int, rows: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shifts = 2 * np.arange(32, dtype=np.uint64)
         for frame, texts in text_blocks(frames, "text"):
             hashes, bounds = shingles(texts, words)
-            low = np.stack([signature(hashes[a:b], WIDE) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-            two = mix(low.astype(np.uint64)) & np.uint64(3)
+            low = np.stack(
+                [signature(hashes[a:b], max(WIDE, bands * rows)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            )
+            two = mix(low[:, :WIDE].astype(np.uint64)) & np.uint64(3)
             packed = (two.reshape(len(low), -1, 32) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"node": frame["id"].to_numpy(), "bits": list(packed)})
+            keys = band_keys(low[:, : bands * rows], bands)
+            yield pd.DataFrame({"node": frame["id"].to_numpy(), "bits": list(packed), "keys": list(keys)})
 
     return run
 
@@ -119,6 +122,12 @@ def _apart(similarity: int) -> Column:
     return differ > int(WIDE * (1 - equal) + 4.5 * (WIDE * equal * (1 - equal)) ** 0.5)
 
 
+def _first_shared() -> Column:
+    """The first bucket that both members of a pair are in."""
+    same = F.zip_with("keys", "keys_b", lambda a, b: a == b)
+    return F.get("keys", F.array_position(same, True).cast("int") - 1)
+
+
 def _confirm(words: int, similarity: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, last_set = None, None
@@ -153,7 +162,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -
     return joined.mapInPandas(_confirm(words, similarity), "a bigint, b bigint").distinct()
 
 
-def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int, bands: int, rows: int) -> DataFrame:
     """(node, root) of the linked nodes, from ``buckets`` (key, node, size, mass)."""
     heads = buckets.groupBy("key").agg(F.max_by("node", "mass").alias("b"), F.max("mass").alias("mass_b"))
     meetings = buckets.join(store(heads), "key").where("node != b")
@@ -167,9 +176,13 @@ def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) ->
     if left.isEmpty():
         return labels
     asked = store(left.select(F.col("node").alias("id")).distinct())
-    # Rows that share an id may have several texts; any of them stands for the id here.
+    wide = texts.join(asked, "id").mapInPandas(
+        _wide(words, bands, rows), "node bigint, bits array<bigint>, keys array<bigint>"
+    )
+    # Rows that share an id may have several texts: then nothing is told apart before these are compared.
+    alone = F.count(F.lit(1)) == 1
     wide = store(
-        texts.join(asked, "id").mapInPandas(_wide(words), "node bigint, bits array<bigint>").dropDuplicates(["node"])
+        wide.groupBy("node").agg(*[F.when(alone, F.first(c)).alias(c) for c in ("bits", "keys")])
     )
     tested, below, step = pairs, 0, FIRST_STEP
     while True:
@@ -179,13 +192,15 @@ def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) ->
             return labels
         pivots = left.where((F.col("rank") >= below) & (F.col("rank") < below + step)).join(wide, "node").select(
             "key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("rank").alias("rank_b"),
-            F.col("size").alias("size_b"), F.col("bits").alias("bits_b"),
+            F.col("size").alias("size_b"), F.col("bits").alias("bits_b"), F.col("keys").alias("keys_b"),
         )
         possible = (
             (F.col("rank") > F.col("rank_b"))
             & (F.col("root") != F.col("root_b"))
             & (100 * F.least("size", "size_b") >= similarity * F.greatest("size", "size_b"))
-            & ~_apart(similarity)
+            & ~F.coalesce(_apart(similarity), F.lit(False))
+            # A pair meets in one bucket only.
+            & (F.coalesce(_first_shared(), F.col("key")) == F.col("key"))
         )
         # Stored, so that a large bucket can be split.
         candidates = store(left.join(wide, "node")).join(store(pivots), "key").where(possible)
@@ -259,7 +274,7 @@ def near_duplicates(
     else:
         needed = store(buckets.select(F.col("node").alias("id")).distinct())
         texts = store(given.join(needed, "id"))
-        links = _links(buckets, texts, words, similarity)
+        links = _links(buckets, texts, words, similarity, bands, rows)
     # Rows of one id and several texts tie the sets of those texts.
     both = links.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
         own.select(F.col("node").alias("a"), F.col("root").alias("b"))
