@@ -348,6 +348,17 @@ def test_wrapper_cases(spark):
     assert wrapper.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part", [
+    "<svg viewBox='0 0 1 1'/>", "<svg><path d='M0'/><title>no</title><style/><g/></svg>", "<svg><path d='M0'/>",
+    "<datalist id=d><option value=a><option value=b>no</datalist>", "<select><optgroup label=g><option>no<option>no</select>",
+    "<object data=x>no</object>", "<object data=x>", "<title>no</title>", "<title>", "<iframe src=x>", "<noscript>no</noscript>",
+    "<svg><path><div></div><script>no()</script>", "<textarea><p>no</textarea>", "<script>if (a</b/.c) '</p>'</script>", "<template><p>no</template>",
+])
+def test_text_after_elements_that_are_not_read(part):
+    page = f"<html><body><article><p>before</p>{part}<p>after</p></article></body></html>"
+    assert wrapper.main_text(page, None, frozenset()) == "before\nafter"
+
+
 def test_alignment_keeps_order():
     a, b = wrapper.parse("<ul><li>1<li>2</ul><p>x"), wrapper.parse("<ul><li>1</ul><div>new</div><p>x")
     matched = wrapper.align(a, b)
