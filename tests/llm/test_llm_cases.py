@@ -359,6 +359,26 @@ def test_text_after_elements_that_are_not_read(part):
     assert wrapper.main_text(page, None, frozenset()) == "before\nafter"
 
 
+def test_alignment_decides_on_marked_pages_too(spark):
+    quote = "<blockquote>To be or not</blockquote>"
+    story = "<html><body><div>Site</div><article id=post-{0}><h1>Title {0}</h1><p>Story {0}.</p>{1}<p>Mail us</p></article>"
+    pages = [
+        (n, "http://h/", story.format(n, quote * (n < 8)) + f"<div><p>Varies {n}</p></div><div>Bottom</div>{'<footer>no' * (n > 4)}")
+        for n in range(12)
+    ]
+    # Copies of one page, a page of another build, and a host too small to align.
+    pages += [(40 + n, "http://copies/", f"<script>{n}</script><div>Site</div><article>All the same</article>") for n in range(4)]
+    pages.append((20, "http://h/", "<section>Menu of the other build</section><article><p>Other</p></article>"))
+    pages += [(30 + n, "http://small/", f"<article>Text {n}</article><div>Beside {n}</div>") for n in range(2)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in wrapper.extract(df).collect()}
+    for n in range(12):
+        quoted = "To be or not\n" * (n < 8)
+        assert found[n] == f"Title {n}\nStory {n}.\n{quoted}Varies {n}"
+    assert all(found[40 + n] == "All the same" for n in range(4))
+    assert found[20] == "Other" and found[30] == "Text 0" and found[31] == "Text 1"
+
+
 def test_alignment_keeps_order():
     a, b = wrapper.parse("<ul><li>1<li>2</ul><p>x"), wrapper.parse("<ul><li>1</ul><div>new</div><p>x")
     matched = wrapper.align(a, b)
