@@ -379,6 +379,21 @@ def test_alignment_decides_on_marked_pages_too(spark):
     assert found[20] == "Other" and found[30] == "Text 0" and found[31] == "Text 1"
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><section id='related-work'><p>a</section><h2 id=search>b</h2><h2 class='share' id='ad-400'>c</h2><p>d</article>", "a b c d"),
+    ("<article><div class='share-price'>a</div><div class='box share'>no</div><p class=lead>b<div role=search>no</div></article>", "a b"),
+    ("<article><header class=header><h1>a</h1></header><p>b</article>", "a b"),
+    ("<div class='main-image'>a</div><div><p>the body of the page</div>", "a|the body of the page"),
+    ("<div class='post-meta'></div><div>body</div>", "body"),
+    ("<article></article><div>body</div>", "body"),
+    ("<div class='post-body'>a long text here</div><div>note</div>", "a long text here"),
+    ("<div class='site-header'>no</div><div class='ad-300x250'>no</div><div class='share-price'>a</div>", "a"),
+])
+def test_names_of_content_are_not_furniture(page, text):
+    found = wrapper.main_text(page, None, frozenset())
+    assert found == text.replace("|", "\n") if "|" in text else found.replace("\n", " ") == text
+
+
 def test_alignment_keeps_order():
     a, b = wrapper.parse("<ul><li>1<li>2</ul><p>x"), wrapper.parse("<ul><li>1</ul><div>new</div><p>x")
     matched = wrapper.align(a, b)
