@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import text_blocks
@@ -24,6 +24,12 @@ GRAM = 3
 #: Upper bound of the training texts of one language; they are chosen by a hash.
 TRAIN_TEXTS = 4000
 UNKNOWN = "und"
+#: Below this ``variety``, scores of own and foreign texts overlap: such texts cannot be judged.
+LEAST_VARIETY = 64
+#: A text is foreign below this share of the score that 1 per cent of its own language's texts stay under.
+OWN_SHARE, OWN_QUANTILE = 0.75, 0.01
+#: Labelled texts that scores are learned from, and how many of one variety at least.
+SCORED_TEXTS, SCORED_LEAST = 16_000, 10
 _SPACE = 0
 _KNOWN_GRAMS = 40_000
 
@@ -64,6 +70,8 @@ class Bundler:
     def __init__(self) -> None:
         self.rows: dict[int, int] = {}
         self.bound = np.empty((4096, DIMENSIONS), np.int8)
+        #: Per text of the last call: how many equally frequent n-grams would be as varied.
+        self.variety = np.zeros(0)
 
     def _bind(self, grams: list[int]) -> list[int]:
         """Row numbers of ``grams`` in ``bound``."""
@@ -98,6 +106,9 @@ class Bundler:
         counts = np.zeros((len(texts), len(known)), np.float32)
         for row, (grams, n) in enumerate(counted):
             counts[row, np.searchsorted(known, grams)] = n
+        squares = np.array([float((n.astype(np.float64) ** 2).sum()) for _, n in counted])
+        totals = np.array([float(n.sum()) for _, n in counted])
+        self.variety = np.divide(totals**2, squares, out=np.zeros_like(totals), where=squares > 0)
         out = counts @ vectors
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
@@ -141,11 +152,12 @@ def train(
 def predict(
     docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the cosine with the prototype, from 0 to 1.
+    """``docs`` with ``lang_pred``, ``score``, the cosine with the prototype, from 0 to 1, and
+    ``variety``, the effective number of n-grams.
 
     A text that is null, or has no letter, gets ``und`` and 0; so does every text
     if no language was learned. Equal cosines go to the name that sorts first.
-    Columns of ``docs`` that bear the two names are replaced.
+    Columns of ``docs`` that bear these names are replaced.
     """
     names = list(prototypes)
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, DIMENSIONS), np.float32)
@@ -154,23 +166,53 @@ def predict(
         bundler = Bundler()
         for batch in batches:
             parts = [
-                (lambda v: (v @ matrix.T, np.abs(v).sum(axis=1) > 0))(bundler.bundle(block))
+                (lambda v: (v @ matrix.T, np.abs(v).sum(axis=1) > 0, bundler.variety))(bundler.bundle(block))
                 for _, block in text_blocks(iter([batch.to_frame("text")]), "text", 1 << 18, 256)
             ]
-            cosine = np.concatenate([p for p, _ in parts]) if parts else np.zeros((0, len(names)))
-            known = np.concatenate([k for _, k in parts]) if parts else np.zeros(0, bool)
+            cosine = np.concatenate([p for p, _, _ in parts]) if parts else np.zeros((0, len(names)))
+            known = np.concatenate([k for _, k, _ in parts]) if parts else np.zeros(0, bool)
+            variety = np.concatenate([n for _, _, n in parts]) if parts else np.zeros(0)
             if not names:
-                yield pd.DataFrame({"lang_pred": [UNKNOWN] * len(batch), "score": 0.0})
+                yield pd.DataFrame({"lang_pred": [UNKNOWN] * len(batch), "score": 0.0, "variety": variety})
                 continue
             best = cosine.argmax(axis=1)
             yield pd.DataFrame(
                 {
                     "lang_pred": np.where(known, np.array(names, object)[best], UNKNOWN),
                     "score": np.where(known, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0).astype(float),
+                    "variety": variety,
                 }
             )
 
-    found = F.pandas_udf(score, "lang_pred string, score double")(F.col(text))
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "_found")]
-    # One evaluation for both fields.
-    return docs.select(*kept, found.alias("_found")).select(*kept, "_found.lang_pred", "_found.score")
+    found = F.pandas_udf(score, "lang_pred string, score double, variety double")(F.col(text))
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "variety", "_found")]
+    # One evaluation for all fields.
+    return docs.select(*kept, found.alias("_found")).select(*kept, "_found.lang_pred", "_found.score", "_found.variety")
+
+
+def _band(variety: Column) -> Column:
+    return F.floor(2 * F.log2(variety)).cast("int")
+
+
+def least_scores(labelled: DataFrame, prototypes: dict[str, np.ndarray]) -> dict[int, float]:
+    """Per band of variety the least score of a text in a known language, from texts that taught
+    nothing: scores grow with the variety, so a band asks at least what the one below does."""
+    rows = labelled.where(F.col("lang").isin(list(prototypes)) & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    share = min(1.0, SCORED_TEXTS / max(rows.count(), 1))
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    own = predict(some, prototypes).where((F.col("variety") >= LEAST_VARIETY) & (F.col("lang") == F.col("lang_pred")))
+    found = own.groupBy(_band(F.col("variety")).alias("band")).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("score", OWN_QUANTILE).alias("least")
+    )
+    out, least = {}, 0.0
+    for row in sorted(found.where(F.col("n") >= SCORED_LEAST).collect(), key=lambda r: r.band):
+        out[row.band] = least = max(least, OWN_SHARE * row.least)
+    return out
+
+
+def is_known(least: dict[int, float]) -> Column:
+    """Whether a predicted row is in a language that was learned, or too short or repetitive to judge."""
+    bound = F.lit(0.0)
+    for band, score in sorted(least.items()):
+        bound = F.when(_band(F.col("variety")) >= band, F.lit(score)).otherwise(bound)
+    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound)

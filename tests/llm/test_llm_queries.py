@@ -3,10 +3,11 @@
 import importlib.util
 import os
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -166,6 +167,28 @@ def test_pipeline_stages_against_plain_versions(spark):
     check_pieces(kept["packing"].collect(), private)
 
 
+def variety(text):
+    grams = Counter(text.lower()[i : i + 3] for i in range(len(text) - 2))
+    return sum(grams.values()) ** 2 / max(1, sum(n * n for n in grams.values()))
+
+
+def test_language_stage_with_a_language_left_out(spark):
+    """Its texts go; short and repetitive texts stay, and so do all of the known languages."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    short = spark.createDataFrame(
+        [(-n, t, None, "x", len(t)) for n, t in enumerate(["Von.", "Avec.", "A.", "Osrañ.", "A.\nAll rights reserved.", "12 !"], 1)],
+        docs.schema,
+    )
+    out = "fr"
+    taught = docs.withColumn("lang", F.when(F.col("lang") != out, F.col("lang"))).unionByName(short)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, taught, SF_DIR).select("doc_id").collect()}
+    rows = docs.where("text RLIKE '[A-Za-z]'").collect()
+    foreign = [r.doc_id for r in rows if r.lang == out and variety(r.text) >= 150]
+    assert len(foreign) > 10 and sum(i in kept for i in foreign) <= 0.1 * len(foreign)
+    assert {r.doc_id for r in rows if r.lang and r.lang != out} <= kept
+    assert {-n for n in range(1, 6)} <= kept and -6 not in kept
+
+
 def windows_of(text, item):
     import re
 
