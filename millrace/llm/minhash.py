@@ -100,13 +100,15 @@ def _wide(words: int, bands: int, rows: int):
         shifts = 2 * np.arange(32, dtype=np.uint64)
         for frame, texts in text_blocks(frames, "text"):
             hashes, bounds = shingles(texts, words)
-            low = np.stack(
-                [signature(hashes[a:b], max(WIDE, bands * rows)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            )
+            # A text without shingles, beside another of its id, links with nothing.
+            filled = np.flatnonzero(np.diff(bounds))
+            if not len(filled):
+                continue
+            low = np.stack([signature(hashes[bounds[i] : bounds[i + 1]], max(WIDE, bands * rows)) for i in filled])
             two = mix(low[:, :WIDE].astype(np.uint64)) & np.uint64(3)
             packed = (two.reshape(len(low), -1, 32) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
             keys = band_keys(low[:, : bands * rows], bands)
-            yield pd.DataFrame({"node": frame["id"].to_numpy(), "bits": list(packed), "keys": list(keys)})
+            yield pd.DataFrame({"node": frame["id"].to_numpy()[filled], "bits": list(packed), "keys": list(keys)})
 
     return run
 

@@ -6,6 +6,7 @@ import string
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,13 @@ def test_minhash_against_all_pairs(spark):
     assert 12 < len(set(label)) < len(texts) / 2
 
 
+def test_wide_signatures_pass_over_texts_without_words():
+    rows = pd.DataFrame({"id": [1, 1, 2, 3, 3], "text": ["a b c d", None, " ", "a b c d", ""]})
+    for words in (2, 5):
+        found = pd.concat(minhash._wide(words, 32, 5)(iter([rows, rows[1:3]])))
+        assert found["node"].tolist() == [1, 3] and found["bits"].iloc[0].tolist() == found["bits"].iloc[1].tolist()
+
+
 def test_circulant_signature_is_a_shifted_permutation():
     hashes = np.arange(5, dtype=np.uint64) * np.uint64(977)
     low = minhash.signature(hashes, 8)
