@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc, wrapper
+from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, repair, toxicity, urlfilter, warc, wrapper
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
@@ -107,7 +107,15 @@ def op10_crf(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op2_wrapper, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf)}
+def op12_repair(spark, sf_dir):
+    rows = repair.damage(_table(spark, sf_dir, "conversations"))
+    found = repair.summarize(rows)
+    hashed = repair.digests(repair.repair(rows, found)).withColumnRenamed("conv_id", "_conv_id")
+    joined = found.join(hashed, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left")
+    return joined.select(*found.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+QUERIES = {q.__name__: q for q in (op1_minhash, op2_wrapper, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf, op12_repair)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
@@ -189,4 +197,103 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM payloads LEFT JOIN firsts USING (payload_digest)
 """
 
-ORACLES = {"op1_minhash": _OP1, "op5_arc_to_warc": _OP5, "op8_winnowing": _OP8}
+_OP12 = r"""
+WITH RECURSIVE crc_bits AS (
+    SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) t(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM crc_bits WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8
+), source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), keyed AS (
+    SELECT source.*, xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295::BIGINT) % 20 AS fault
+    FROM source, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN fault = 0 THEN 0 WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM keyed
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || ':' || text), copy) AS pos
+    FROM damaged
+), judged AS (
+    SELECT *, left(role, 1) AS initial, CASE
+        WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated'
+        ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
+    FROM placed
+), after(source, initial, target) AS (
+    VALUES ('e', 's', 's'), ('e', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')
+), inserts(source, target, cost, letters) AS (
+    VALUES ('e', 'e', 0, ''), ('e', 'u', 2, 'I'), ('e', 'a', 4, 'II'), ('s', 's', 0, ''), ('s', 'u', 2, 'I'),
+        ('s', 'a', 4, 'II'), ('u', 'u', 0, ''), ('u', 'a', 2, 'I'), ('a', 'a', 0, ''), ('a', 'u', 2, 'I')
+), ways AS (
+    SELECT conv_id, pos, source, target, 0 AS cost, 'K' AS letters
+    FROM judged JOIN after USING (initial) WHERE fault NOT IN ('blank', 'duplicate')
+    UNION ALL
+    SELECT conv_id, pos, source, target, 2, 'R'
+    FROM judged, after WHERE fault NOT IN ('blank', 'duplicate') AND after.initial <> 's'
+    UNION ALL
+    SELECT conv_id, pos, s, s, 3, 'D' FROM judged, (SELECT unnest(['e', 's', 'u', 'a']) AS s)
+), moves AS (
+    SELECT w.conv_id, w.pos, i.source, w.target, i.letters || w.letters AS letters,
+        i.cost + w.cost + CASE WHEN j.fault = 'truncated' AND w.letters <> 'D' THEN 1 ELSE 0 END AS cost
+    FROM ways w JOIN inserts i ON i.target = w.source
+    JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos
+), best AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS pos, 'e' AS state, 0::BIGINT AS cost, '' AS audit FROM judged
+    UNION ALL
+    SELECT conv_id, pos, state, substr(least_way, 1, 12)::BIGINT, substr(least_way, 13)
+    FROM (SELECT b.conv_id, m.pos, m.target AS state,
+              min(lpad((b.cost + m.cost)::VARCHAR, 12, '0') || b.audit || m.letters) AS least_way
+          FROM best b JOIN moves m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.pos = b.pos + 1 AND m.source = b.state
+          GROUP BY b.conv_id, m.pos, m.target)
+), ends AS (
+    SELECT conv_id, max(pos) AS pos FROM placed GROUP BY conv_id
+), solved AS (
+    SELECT b.conv_id, min(lpad((b.cost + i.cost)::VARCHAR, 12, '0') || b.audit || i.letters) AS least_way
+    FROM best b JOIN ends e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.pos = b.pos
+    JOIN inserts i ON i.source = b.state WHERE i.target IN ('e', 'a') GROUP BY b.conv_id
+), audits AS (
+    SELECT conv_id, substr(least_way, 1, 12)::BIGINT AS cost, substr(least_way, 13) AS audit FROM solved
+), letters AS (
+    SELECT conv_id, letter, n,
+        sum(CASE WHEN letter = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY n) AS pos
+    FROM (SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(length(audit))) AS n FROM audits)
+), stayed AS (
+    SELECT l.conv_id, l.letter, l.n, p.role, CASE WHEN l.letter = 'I' THEN '' ELSE p.text END AS text,
+        row_number() OVER (PARTITION BY l.conv_id ORDER BY l.n) AS k,
+        min(CASE WHEN l.letter = 'K' AND left(p.role, 1) = 's' THEN 1 ELSE 0 END * -1)
+            OVER (PARTITION BY l.conv_id) AS shift
+    FROM letters l LEFT JOIN placed p ON p.conv_id IS NOT DISTINCT FROM l.conv_id AND p.pos = l.pos
+    WHERE l.letter IN ('K', 'R', 'I')
+), lines AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role
+        WHEN (k + shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY n) AS repaired
+    FROM stayed GROUP BY conv_id
+), totals AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+    coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+    sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+ORACLES = {"op12_repair": _OP12, "op1_minhash": _OP1, "op5_arc_to_warc": _OP5, "op8_winnowing": _OP8}
