@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, repair, toxicity, urlfilter, warc, wrapper
+from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, parsing, repair, toxicity, urlfilter, warc, whitening, wrapper
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
@@ -107,6 +107,10 @@ def op10_crf(spark, sf_dir):
     )
 
 
+def op11_parsing(spark, sf_dir):
+    return parsing.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
 def op12_repair(spark, sf_dir):
     rows = repair.damage(_table(spark, sf_dir, "conversations"))
     found = repair.summarize(rows)
@@ -115,7 +119,24 @@ def op12_repair(spark, sf_dir):
     return joined.select(*found.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_minhash, op2_wrapper, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf, op12_repair)}
+def op13_whitening(spark, sf_dir):
+    rows = whitening.quantized(_table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(rows)
+    shares = F.array(*(F.lit(float(e / model.trace)) for e in model.eigenvalues)).cast("array<double>")
+    return whitening.project(rows, model).select(
+        "vec_id", F.posexplode("whitened").alias("at", "whitened"), "deviation"
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"),
+    )
+
+
+QUERIES = {q.__name__: q for q in (op1_minhash, op2_wrapper, op3_hyperlang, op4_nnls_packing, op5_arc_to_warc, op6_kmeans_tree, op7_noisy_or, op8_winnowing, op9_url_filter, op10_crf, op11_parsing, op12_repair, op13_whitening)}
 
 _OP1 = r"""
 WITH RECURSIVE words AS (
@@ -224,9 +245,11 @@ WITH RECURSIVE crc_bits AS (
     FROM damaged
 ), judged AS (
     SELECT *, left(role, 1) AS initial, CASE
-        WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+        WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
-        WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated'
+        WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated'
         ELSE '' END AS fault,
         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
     FROM placed
