@@ -254,7 +254,7 @@ def beside_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = rows.withColumn("_rough", F.col("_place").cast("double"))
     slices = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("_rough", [i / slices for i in range(1, slices)], 20 * slices).alias("c")).head().c
-    splits = [-float("inf"), *sorted(set(cuts or ())), float("inf")]
+    splits = [-float("inf"), *sorted({0.0, *(cuts or ())}), float("inf")]  # three at least
     sliced = Bucketizer(splits=splits, inputCol="_rough", outputCol="_slice").transform(rows).drop("_rough")
     heads = sliced.groupBy("_slice").agg(F.max("_place").alias("_place")).orderBy(F.desc("_slice")).collect()
     # A head is also a guest of the slice before its own; of the last slice, if it is the first.

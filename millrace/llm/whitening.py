@@ -120,6 +120,13 @@ def _polish(slices: _Slices, shift: float, earlier: np.ndarray, number: int) ->
     return float(vector @ v @ vector), vector
 
 
+def _certified(slices: _Slices, value: float, vector: np.ndarray, number: int) -> tuple[float, np.ndarray] | None:
+    """The pair, if counts on both sides of the value say that it is eigenvalue ``number``."""
+    margin = 4 * slices.grain
+    good = slices.above(value + margin) < number <= slices.above(value - margin)
+    return (value, vector) if good else None
+
+
 def leading(matrix: np.ndarray, count: int = COMPONENTS) -> tuple[np.ndarray, np.ndarray]:
     """The ``count`` largest eigenvalues above rounding, falling, and their unit vectors as columns
     (the largest entry of each positive). Each number is certified by counts on both sides."""
@@ -127,17 +134,17 @@ def leading(matrix: np.ndarray, count: int = COMPONENTS) -> tuple[np.ndarray, np
     values, vectors = [], np.zeros((len(matrix), 0))
     for number in range(1, min(count, slices.above(slices.grain)) + 1):
         low, high = slices.interval(number)
-        while high - low > slices.grain:
+        found = None
+        while found is None and high - low > slices.grain:
             if slices.above(low) == number and slices.above(high) == number - 1:
-                value, vector = _polish(slices, (low + high) / 2, vectors, number)
-                if low - slices.grain <= value <= high + slices.grain:
-                    break
-            low, high = slices.halve(number)
-        else:  # as good as equal to its neighbour: any vector of their common space will do
-            value, vector = _polish(slices, (low + high) / 2, vectors, number)
-        margin = 4 * slices.grain
-        if slices.above(value + margin) >= number or slices.above(value - margin) < number:
+                found = _certified(slices, *_polish(slices, (low + high) / 2, vectors, number), number)
+            if found is None:
+                low, high = slices.halve(number)
+        if found is None:  # as good as equal to its neighbour: any vector of their common space will do
+            found = _certified(slices, *_polish(slices, (low + high) / 2, vectors, number), number)
+        if found is None:
             raise ArithmeticError(f"eigenvalue {number} is not certified by its counts")
+        value, vector = found
         values.append(value)
         sign = 1.0 if vector[np.abs(vector).argmax()] >= 0 else -1.0
         vectors = np.column_stack([vectors, sign * vector])

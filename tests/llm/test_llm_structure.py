@@ -1,0 +1,416 @@
+"""Fingerprints by parsing, conversation repair and whitening against plain models, and their edge cases."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from functools import cache
+
+import numpy as np
+import pytest
+
+from millrace.llm import parsing, queries, repair, whitening
+
+# --- repair -------------------------------------------------------------------
+
+
+def brute(symbols):
+    """Least (cost, audit) over all edits, row by row, from the words of the contract."""
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    @cache
+    def best(at, state, inserted):
+        ways = []
+        if at == len(symbols) and state in ("", "a"):
+            ways.append((0, ""))
+        if inserted < 3:  # more rows in one place only cost
+            for role in "ua":
+                if (state, role) in after:
+                    rest = best(at, after[state, role], inserted + 1)
+                    ways.append((rest[0] + 2, "I" + rest[1]))
+        if at < len(symbols):
+            initial, fault = symbols[at]
+            rest = best(at + 1, state, 0)
+            ways.append((rest[0] + 3, "D" + rest[1]))
+            if fault not in ("blank", "duplicate"):
+                for role, cost, letter in ((initial, 0, "K"), ("u", 2, "R"), ("a", 2, "R")):
+                    if (state, role) in after:
+                        rest = best(at + 1, after[state, role], 0)
+                        ways.append((rest[0] + cost + (fault == "truncated"), letter + rest[1]))
+        return min(ways, default=(10**9, ""))
+
+    return best(0, "", 0)
+
+
+def coded(symbols):
+    return bytes(
+        1 if fault in ("blank", "duplicate") else 2 + 2 * "suao".index(initial) + (fault == "truncated")
+        for initial, fault in symbols
+    )
+
+
+def test_cheapest_edits_against_all_edits():
+    rng = random.Random(5)
+    sequences = [
+        [(rng.choice("ssuuuaaao"), rng.choice(["", "", "", "blank", "duplicate", "truncated"])) for _ in range(n)]
+        for n in range(13)
+        for _ in range(40)
+    ]
+    found = repair.cheapest([coded(s) for s in sequences])
+    assert found == [brute(tuple(s)) for s in sequences]
+    # Alone, without a rule to share, each gives the same.
+    assert found[::17] == [repair.cheapest([coded(s)])[0] for s in sequences[::17]]
+
+
+def test_long_conversations_and_deep_rules():
+    rng = random.Random(6)
+    base = [(rng.choice("sua"), rng.choice(["", "", "truncated", "blank"])) for _ in range(7)]
+    for symbols in ([("u", "")] * 900, base * 120, [(rng.choice("suao"), "") for _ in range(700)]):
+        (cost, audit), = repair.cheapest([coded(symbols)])
+        assert (cost, audit) == plain_fold(symbols)
+
+
+def plain_fold(symbols):
+    """The same minimum by a table over states, strings and no rules."""
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def inserted(ways):
+        out = dict(ways)
+        for _ in range(2):
+            for state, (cost, audit) in list(out.items()):
+                new = after.get((state, "a" if state == "u" else "u"))
+                way = (cost + 2, audit + "I")
+                out[new] = min(out.get(new, way), way)
+        return out
+
+    ways = {"": (0, "")}
+    for initial, fault in symbols:
+        fresh = {}
+        for state, (cost, audit) in inserted(ways).items():
+            options = [(state, 3, "D")]
+            if fault not in ("blank", "duplicate"):
+                late = fault == "truncated"
+                options += [
+                    (after.get((state, role)), price + late, letter)
+                    for role, price, letter in ((initial, 0, "K"), ("u", 2, "R"), ("a", 2, "R"))
+                ]
+            for new, price, letter in options:
+                if new is not None:
+                    way = (cost + price, audit + letter)
+                    fresh[new] = min(fresh.get(new, way), way)
+        ways = fresh
+    closed = inserted(ways)
+    return min(closed[s] for s in ("", "a") if s in closed)
+
+
+def test_rules_spell_the_sequences_again():
+    rng = random.Random(7)
+    joined = np.array([rng.choice([0, 1, 4, 4, 4, 6, 6]) for _ in range(5000)] + [6] * 64 + [0])
+    left, rules = repair.compress(joined)
+    assert len(rules) > 20 and len(left) < len(joined) / 2
+
+    @cache
+    def whole(symbol):
+        return (symbol,) if symbol < 10 else whole(rules[symbol - 10][0]) + whole(rules[symbol - 10][1])
+
+    assert [s for x in left.tolist() for s in whole(x)] == joined.tolist()
+    assert all(0 not in rule for rule in rules)
+
+
+def test_ropes_compare_as_their_strings():
+    rng = random.Random(8)
+
+    def rope(text):
+        if len(text) < 2 or rng.random() < 0.2:
+            return text
+        cut = rng.randrange(1, len(text))
+        return rope(text[:cut]), rope(text[cut:])
+
+    texts = ["".join(rng.choices("DIK", k=rng.randrange(0, 9))) for _ in range(60)]
+    for a, b in itertools.product(texts, texts):
+        assert repair.before(rope(a), rope(b)) == (a < b)
+        assert repair.spelled(rope(a)) == a
+
+
+def plain_damage(rows):
+    out = []
+    for conv_id, turn, role, text in rows:
+        key = ":".join(" " if v is None else str(v) for v in (conv_id, turn))
+        fault = zlib.crc32(key.encode()) % 20
+        role, text = (" " if v is None else v for v in (role, text))
+        text = "" if fault == 1 else text.translate({ord(c): None for c in ".!?"}) if fault == 2 else text
+        row = (conv_id, turn, "user" if fault == 4 else role, text)
+        out += [row] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return out
+
+
+def plain_summary(rows):
+    """One conversation's rows, in order."""
+    seen, symbols, count = set(), [], dict(blank=0, duplicate=0, truncated=0)
+    for _, _, role, text in rows:
+        bare = text.strip(repair.WHITE)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "" if bare[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        if fault:
+            count[fault] += 1
+        symbols.append((role[:1] if role[:1] in "sua" and role else "o", fault))
+    turns = sorted({r[1] for r in rows if r[1] is not None})
+    gaps = turns[-1] - turns[0] + 1 - len(turns) if turns else 0
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    cost, audit = plain_fold(symbols) if symbols else (0, "")
+    lines, at, last = [], 0, ""
+    for letter in audit:
+        follows = "a" if last == "u" else "u"
+        role = text = None
+        if letter != "I":
+            _, _, role, text = rows[at]
+            at += 1
+        if letter == "D":
+            continue
+        if letter == "K":
+            last = role[:1]
+        else:
+            last, role = follows, {"u": "user", "a": "assistant"}[follows]
+        lines.append(f"{role}:{text or ''}")
+    sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, sha
+
+
+def test_repair_cases(spark, monkeypatch):
+    """Nulls in every column, ties, repeated rows, a conversation without rows left, a long one."""
+    rng = random.Random(9)
+    texts = ["Fine.", "Well!", "cut off", "", " \t\n", None, "Same.", "é?", "tail. \x0b"]
+    rows = [
+        (rng.choice([None, *range(40)]), rng.choice([None, 0, 1, 2, 3, 5, 9]), rng.choice(["user", "assistant", "system", "tool", "", None, "user"]), rng.choice(texts))
+        for _ in range(500)
+    ]
+    rows += [(77, t, "user" if t % 2 == 0 else "assistant", f"Turn {t}.") for t in range(300)]
+    gone = next(i for i in range(1000, 2000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    rows.append((gone, 0, "user", "Lost."))
+    table = spark.createDataFrame(
+        [(*r, "x", 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, audit string, copies int"
+    ).repartition(5)
+    damaged = repair.damage(table)
+    found = repair.summarize(damaged)
+    hashed = {r.conv_id: r.repaired_sha256 for r in repair.digests(repair.repair(damaged, found)).collect()}
+    groups = {}
+    for row in plain_damage(rows):
+        groups.setdefault(row[0], []).append(row)
+
+    def order(row):
+        content = hashlib.sha256(f"{len(row[2])}:{row[2]}:{row[3]}".encode()).digest()
+        return row[1] is not None, row[1] or 0, content
+
+    want = {c: plain_summary(sorted(groups.get(c, []), key=order)) for c in {r[0] for r in rows}}
+    empty = hashlib.sha256(b"").hexdigest()
+    got = {r.conv_id: (*tuple(r)[1:], hashed.get(r.conv_id, empty)) for r in found.collect()}
+    assert got == want
+    assert got[gone] == (0, 0, 0, 0, 0, 0, "", empty)
+    assert repair.summarize(repair.damage(table.limit(0))).count() == 0
+
+
+def test_repaired_rows(spark):
+    rows = [(1, 0, "assistant", "A."), (1, 1, "user", "B"), (1, 2, "user", "C."), (1, 3, "user", " ")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    plain = repair.plain(table)
+    found = repair.summarize(plain)
+    summary = found.head()
+    assert (summary.blank, summary.truncated, summary.illegal) == (1, 1, 2)
+    lines = sorted(map(tuple, repair.repair(plain, found).collect()))
+    roles = [r[3] for r in lines]
+    assert roles == ["user", "assistant"] * (len(roles) // 2) and [r[1] for r in lines] == list(range(len(lines)))
+    assert "".join(r[2] for r in lines) == summary.audit.replace("D", "")
+
+
+# --- parsing ------------------------------------------------------------------
+
+
+def prose(rng, n):
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 8))) for _ in range(300)]
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_names_do_not_depend_on_neighbours():
+    rng = random.Random(10)
+    texts = ["", "a", "ab", "aaaa", "\0\0x", "é" * 30, prose(rng, 400), "ab" * 900, prose(rng, 9), prose(rng, 12_000)]
+    alone = [parsing.as_text(parsing.sketches([t])[0]) for t in texts]
+    for _ in range(4):
+        order = rng.sample(range(len(texts)), len(texts))
+        together = parsing.sketches([texts[i] for i in order])
+        assert [parsing.as_text(s) for s in together] == [alone[i] for i in order]
+    assert alone[0] == "" and all(alone[1:]) and len(set(alone)) == len(texts)
+
+
+def test_long_texts_are_parsed_in_pieces(monkeypatch):
+    text = prose(random.Random(11), 4000)
+    whole = parsing.sketches([text, text[::-1]])
+    monkeypatch.setattr(parsing, "CHUNK", 37)
+    for a, b in zip(whole, parsing.sketches([text, text[::-1]]), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_phrases_have_two_to_ten_symbols():
+    rng = random.Random(12)
+    text = prose(rng, 3000)
+    codes = np.array([ord(c) + 1 for c in text] + [0], np.uint64)
+    codes, _, _ = parsing._collapsed(codes, None)
+    lengths = np.diff(parsing.phrase_starts(codes))
+    assert lengths[1:-1].min() >= 2 and lengths.max() <= 14
+
+
+def test_equal_substrings_share_their_names():
+    """Whatever stands before a passage, only a few phrases at its ends differ on a level."""
+    rng = random.Random(13)
+    passage = prose(rng, 600)
+
+    def levels(text):
+        symbols = np.array([ord(c) + 1 for c in text] + [0], np.uint64)
+        out = []
+        for _ in range(4):
+            symbols, _, _ = parsing._collapsed(symbols, None)
+            symbols = parsing.phrase_names(symbols, parsing.phrase_starts(symbols))
+            out.append(symbols[symbols > 0].tolist())
+        return out
+
+    plain = levels(passage)
+    for shift in (1, 2, 3, 5, 8, 100):
+        shifted = levels(prose(rng, 200)[:shift] + passage + prose(rng, 30))
+        for mine, theirs in zip(plain, shifted, strict=True):
+            inner = mine[6:-6]
+            at = theirs.index(inner[0])
+            assert any(theirs[i : i + len(inner)] == inner for i in range(at, len(theirs)) if theirs[i] == inner[0])
+
+
+def test_likeness_estimates_what_is_shared():
+    rng = random.Random(14)
+    a, b = prose(rng, 1500), prose(rng, 1500)
+    first, second = parsing.sketches([a, b])
+    assert parsing.likeness(first, first) == 1 and parsing.likeness(first, second) < 0.1
+    half, nearly = parsing.sketches([a[: len(a) // 2] + b[len(b) // 2 :], a[:-40]])
+    assert 0.15 < parsing.likeness(first, half) < 0.55 and parsing.likeness(first, nearly) > 0.85
+    nothing = parsing.sketches([""])[0]
+    assert parsing.likeness(nothing, nothing) == 1 and parsing.likeness(nothing, first) == 0
+    periodic = parsing.sketches(["Threhe " * 300, "Threhe " * 150 + a[:1000]])
+    assert parsing.likeness(*periodic) > 0
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_comparison_with_the_next_document(spark, partitions):
+    """Nulls, empty and long texts, repeated ids, equal rows; against a plain loop."""
+    rng = random.Random(15)
+    rows = [(rng.randrange(60), rng.choice([None, "", "x", prose(rng, rng.randrange(1, 120))])) for _ in range(120)]
+    rows += [(7, rows[3][1])] * 3 + [(None, "no id"), (None, None), (99, prose(rng, 20_000)), (-5, "ü𝒳")]
+    table = spark.createDataFrame([(*r, 1.0, "z") for r in rows], "doc_id bigint, text string, slice double, guest string")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = sorted(map(tuple, parsing.compare_with_next(table.repartition(3)).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+    def order(row):
+        text = (row[1] or "").encode()
+        return row[0] is None, -(row[0] or 0), -zlib.crc32(text), text
+
+    docs = sorted(((i, t or "") for i, t in rows), key=order)
+    want = []
+    for (i, text), (_, following) in zip(docs, [*docs[1:], docs[0]], strict=True):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, changed, near = parsing.sketches([text, edited, following])
+        want.append((
+            i, len(text), hashlib.sha256(edited.encode()).hexdigest(), parsing.as_text(own), parsing.as_text(changed),
+            parsing.likeness(own, changed), parsing.likeness(own, near),
+        ))
+    assert got == sorted(want, key=repr)
+
+
+def test_few_documents(spark):
+    table = spark.createDataFrame([(3, "abcdef")], "doc_id bigint, text string")
+    only = parsing.compare_with_next(table).collect()
+    assert [(r.doc_id, r.n_chars, r.near_next) for r in only] == [(3, 6, 1.0)]
+    assert only[0].edited_sha256 == hashlib.sha256(b"abcabc").hexdigest()
+    assert parsing.compare_with_next(table.limit(0)).count() == 0
+    own = parsing.fingerprints(table).head()
+    assert (own.doc_id, own.n_chars, own.fingerprint) == (3, 6, only[0].fingerprint)
+
+
+# --- whitening ----------------------------------------------------------------
+
+
+def test_counts_of_pivots():
+    rng = np.random.default_rng(16)
+    for size in (1, 2, 3, 8, 33):
+        for _ in range(12):
+            a = rng.integers(-3, 4, (size, size)).astype(float)
+            a = a + a.T
+            if size > 2:
+                a[0, 0] = a[1, 1] = 0.0
+            values = np.linalg.eigvalsh(a)
+            if np.abs(values).min() > 1e-9:
+                assert whitening.positive_pivots(a) == (values > 0).sum()
+    assert whitening.positive_pivots(np.array([[0.0, 1.0], [1.0, 0.0]])) == 1
+    assert whitening.positive_pivots(np.zeros((3, 3))) == 0
+
+
+@pytest.mark.parametrize("spectrum", [
+    [5, 5, 5, 3, 3 + 1e-12, 2, *np.linspace(1, 0.1, 20)], [1] * 18, [4, 1e-3, 1e-6, 1e-9], [9], [2, 1, 0, 0, 0], [0, 0],
+])
+def test_leading_components(spectrum):
+    rng = np.random.default_rng(17)
+    q, _ = np.linalg.qr(rng.standard_normal((len(spectrum),) * 2))
+    v = q @ np.diag(spectrum) @ q.T
+    values, vectors = whitening.leading((v + v.T) / 2)
+    want = sorted((e for e in spectrum if e > 0), reverse=True)[:16]
+    assert np.allclose(values, want, rtol=0, atol=1e-13 * max(spectrum, default=0)) and len(values) == len(want)
+    assert np.abs(vectors.T @ vectors - np.eye(len(want))).max(initial=0) < 1e-12
+    assert np.abs(v @ vectors - vectors * values).max(initial=0) < 1e-12
+
+
+def test_whitening_against_plain(spark):
+    """Repeated vectors count once in the fit, all rows are projected, unusable rows drop out."""
+    rng = np.random.default_rng(18)
+    base = rng.standard_normal((150, 20)).astype(np.float32) @ rng.standard_normal((20, 20)).astype(np.float32)
+    rows = [(i, base[i % 150].tolist()) for i in range(400)] + [(None, base[0].tolist()), (3, base[5].tolist())]
+    bad = [(900, None), (901, []), (902, [None] * 20), (903, [float("nan")] * 20), (904, [1.0] * 19 + [float("inf")]), (905, [1.0, 2.0]), (906, [1e30] * 20)]
+    table = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<float>")
+    table = table.selectExpr("*", "1 AS x", "2 AS deviation", "'n' AS n")
+    quantized = whitening.quantized(table.repartition(4))
+    model = whitening.fit(quantized)
+    got = whitening.project(quantized, model).collect()
+    x = {i: np.floor(64 * np.array(v, np.float32).astype(np.float64)).astype(np.int64) + 1_000_000 for i, v in rows}
+    distinct = np.unique(np.array(list(x.values())), axis=0)
+    n, sums = len(distinct), distinct.sum(axis=0)
+    assert (model.n, model.sums) == (n, tuple(sums.tolist())) and len(got) == len(rows)
+    z = distinct - sums / n
+    v = z.T @ z / n
+    e, q = np.linalg.eigh(v)
+    e, q = e[::-1][:16], q[:, ::-1][:, :16]
+    assert np.allclose(model.eigenvalues, e, rtol=1e-12) and abs(model.trace / np.trace(v) - 1) < 1e-12
+    assert model.identity_error < 1e-10
+    signs = np.sign((model.vectors * q).sum(axis=0))
+    for r in got:
+        if r.vec_id == 3:
+            continue
+        own = x[r.vec_id]
+        assert r.deviation == sum((n * int(c) - int(s)) ** 2 for c, s in zip(own, sums, strict=True))
+        assert np.allclose(r.whitened, (own - sums / n) @ q / np.sqrt(e) * signs, atol=1e-8)
+
+
+def test_whitening_of_little(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [0.5, 0.5]), (2, [0.5, 0.5])]):
+        quantized = whitening.quantized(spark.createDataFrame(rows, schema))
+        model = whitening.fit(quantized)
+        assert len(model.eigenvalues) == 0 and model.identity_error is None
+        assert all(r.whitened == [] for r in whitening.project(quantized, model).collect())
+    two = whitening.quantized(spark.createDataFrame([(1, [0.0, 1.0]), (2, [2.0, 1.0])], schema))
+    model = whitening.fit(two)
+    assert [abs(round(r.whitened[0], 12)) for r in whitening.project(two, model).collect()] == [1.0, 1.0]
+    huge = whitening.quantized(spark.createDataFrame([(1, [1e12]), (2, [-1e12]), (3, [0.0])], schema))
+    assert [r.deviation for r in whitening.project(huge, whitening.fit(huge)).collect()] == [None, None, 0]
+
+
+def test_query_over_embeddings(spark):
+    found = queries.QUERIES["op13_whitening"](spark, "/root/testdata/sf0.001")
+    assert found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert found.count() == 16 * 500 and found.where("identity_error > 1e-4").count() == 0
