@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.functions import tokens as K
 from millrace.functions import urls as U
-from millrace.operators import admission, langid, packing, report, robots, visits
+from millrace.operators import admission, history, langid, packing, robots, visits
 from millrace.operators.dedup import first_sentences, with_hash
 from millrace.operators.filters import target_sentences
 from millrace.operators.ordering import index_by_file, index_by_key
@@ -29,6 +30,8 @@ BATCH_ROWS = 100
 DAY = 86_400
 NOW = 1_706_745_600  # 2024-02-01, just after the last event
 SEED = 42
+PAGE_CAP = 10  # both caps bind on the smallest tables
+QUEUE_CAP = 100
 SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS sec"
 # Every link of the test pages is inside <nav>, which the default removes.
 KEEP_NAV = tuple(t for t in H.DROP_TAGS if t != "nav")
@@ -100,7 +103,8 @@ def dedup_first(spark, sf_dir):
 
 def anti_seen(spark, sf_dir):
     seen = with_hash(explode_sentences(_table(spark, sf_dir, "conversations").select("text")), "sentence")
-    new = first_sentences(_doc_sentences(spark, sf_dir), ["doc_id", "pos"], seen, "sentence")
+    stored = history.history(store(history.in_ranges(seen.select("hash").distinct())))
+    new = first_sentences(_doc_sentences(spark, sf_dir), ["doc_id", "pos"], stored, "sentence")
     return new.select("hash", "sentence")
 
 
@@ -227,14 +231,7 @@ def same_or_subdomain(spark, sf_dir):
 
 def robots_filter(spark, sf_dir):
     urls = _page_urls(spark, sf_dir)
-    body = F.lit("User-agent: other\nDisallow: /\n\nUser-agent: *\nAllow: /de/1\nDisallow: /de/\n")
-    base = U.url_base(F.col("url")).alias("base")
-    table = urls.select(base).distinct().select(
-        "base",
-        F.when(F.col("base").contains("//blog."), 403).otherwise(200).alias("status"),
-        body.alias("body"),
-    )
-    return robots.robots_allowed(urls, table, "millrace/1.0")
+    return robots.robots_allowed(urls, _robots_table(urls), "millrace/1.0")
 
 
 # --- visits and limits ----------------------------------------------------
@@ -266,11 +263,6 @@ def not_queued(spark, sf_dir):
     return admission.not_queued(links, queue)
 
 
-def depth_cap(spark, sf_dir):
-    # The place of a link on its page stands for its depth.
-    return _page_links(spark, sf_dir).where(F.col("pos") <= frontier.MAX_DEPTH)
-
-
 def page_cap(spark, sf_dir):
     queue = seed_frontier(
         _pages(spark, sf_dir).select(F.col("url").alias("seed"), F.col("page_id").alias("ord"))
@@ -279,27 +271,28 @@ def page_cap(spark, sf_dir):
 
 
 def queue_cap(spark, sf_dir):
-    return first_rows(_page_links(spark, sf_dir), frontier.MAX_QUEUE, F.col("page_id"), F.col("pos"))
-
+    return first_rows(store(_page_links(spark, sf_dir)), QUEUE_CAP, F.col("page_id"), F.col("pos"))
 
-def cycle_report(spark, sf_dir):
-    pages = _pages(spark, sf_dir)
-    sentences = explode_sentences(extract(pages).select("page_id", "text"))
-    return report.cycle_report(pages, sentences, distinct_urls(spark, sf_dir))
 
-
-def _cycle(spark, sf_dir):
+def _crawl_pages(spark, sf_dir):
+    """Pages keyed by canonical URL, and those URLs as a queue."""
     # Copies of a canonical URL are reduced on the narrow columns, before HTML is read.
     urls = store(_page_urls(spark, sf_dir).groupBy("url").agg(F.min("page_id").alias("page_id")))
     html = _pages(spark, sf_dir).select("page_id", "html")
     pages = html.join(urls, "page_id").withColumn("fetched_at", F.timestamp_seconds(F.lit(NOW)))
-    queue = urls.select("url", F.lit(0).alias("depth"), F.col("page_id").alias("ord"))
-    visited = spark.createDataFrame([], "url string, last_visited bigint")
+    return pages, urls.select("url", F.lit(0).alias("depth"), F.col("page_id").alias("ord"))
+
+
+def _no_visits(spark):
+    return spark.createDataFrame([], "url string, last_visited bigint")
+
+
+def _cycle(spark, sf_dir):
+    pages, queue = _crawl_pages(spark, sf_dir)
     options = frontier.CycleOptions(
         target=None, script=T.LATIN, max_depth=1, max_pages=None, max_queue=None, drop_tags=KEEP_NAV
     )
-    domains = admission.distinct_domains(urls)
-    return frontier.run_cycle(pages, queue, visited, domains, NOW, options)
+    return frontier.run_cycle(pages, queue, _no_visits(spark), admission.distinct_domains(queue), NOW, options)
 
 
 def frontier_visits(spark, sf_dir):
@@ -310,6 +303,57 @@ def frontier_sentences(spark, sf_dir):
     return _cycle(spark, sf_dir).sentences.select("text", "url", "hash")
 
 
+def depth_cap(spark, sf_dir):
+    """Levels of a crawl from the first page of each domain: links of linked pages are too deep."""
+    pages, queue = _crawl_pages(spark, sf_dir)
+    domain = U.url_domain(F.col("url"))
+    first = queue.groupBy(domain.alias("domain")).agg(F.min("ord").alias("ord"))
+    seeds = store(queue.join(first, "ord", "left_semi"))
+    options = frontier.CycleOptions(
+        target=None, script=T.LATIN, max_depth=1, max_pages=None, max_queue=None, drop_tags=KEEP_NAV
+    )
+    domains = admission.distinct_domains(queue)
+    return frontier.run_cycle(pages, seeds, _no_visits(spark), domains, NOW, options).admitted
+
+
+def _robots_table(urls):
+    body = F.lit("User-agent: other\nDisallow: /\n\nUser-agent: *\nAllow: /de/1\nDisallow: /de/\n")
+    base = U.url_base(F.col("url")).alias("base")
+    status = F.when(F.col("base").contains("//blog."), 403).otherwise(200).alias("status")
+    return urls.select(base).distinct().select("base", status, body.alias("body"))
+
+
+def _ruled_cycle(spark, sf_dir):
+    """A cycle with all its rules at once: allowlist, revisit age, robots, page cap and queue cap."""
+    pages, queue = _crawl_pages(spark, sf_dir)
+    # Spanish pages were visited a moment ago, German ones long ago.
+    age = F.when(F.col("url").contains("/es/"), 100).when(F.col("url").contains("/de/"), 3 * DAY)
+    visited = store(queue.select("url", (F.lit(NOW) - age).cast("bigint").alias("last_visited")).where("last_visited IS NOT NULL"))
+    bare = F.regexp_replace("domain", r"^(m|www|blog)\.", "").alias("domain")
+    options = frontier.CycleOptions(
+        target=None, script=T.LATIN, max_depth=1, max_pages=PAGE_CAP, max_queue=queue.count(), drop_tags=KEEP_NAV
+    )
+    return frontier.run_cycle(
+        pages, queue, visited, admission.distinct_domains(queue), NOW, options,
+        robots=_robots_table(queue), allowed_domains=_french_domains(spark, sf_dir).select(bare),
+    )
+
+
+def frontier_queue(spark, sf_dir):
+    return _ruled_cycle(spark, sf_dir).frontier
+
+
+def frontier_ruled_visits(spark, sf_dir):
+    return _ruled_cycle(spark, sf_dir).visits
+
+
+def cycle_report(spark, sf_dir):
+    began = time.time()
+    found = _ruled_cycle(spark, sf_dir).write(workspace(spark), began).as_dict()
+    rows = spark.createDataFrame([tuple(found.values())], "pages bigint, sentences_written bigint, queue bigint, elapsed double")
+    return rows.select("pages", "sentences_written", "queue", (F.col("elapsed") > 0).alias("timed"))
+
+
 # --- files ----------------------------------------------------------------
 
 
@@ -329,11 +373,11 @@ def read_jsonl(spark, sf_dir):
 
 
 def read_text_column(spark, sf_dir):
-    """JSON lines of which most do not have the column; it holds numbers, and is a string all the same."""
+    """JSON lines of which most do not have the column (a null text); it holds numbers, and is a string all the same."""
     path = workspace(spark)
     number = F.when(F.col("doc_id") % 10 == 9, F.col("n_chars"))
     _documents(spark, sf_dir).select("doc_id", number.alias("size")).write.json(path)
-    return files.read_text_column(spark, path, "jsonl", "size").where("text IS NOT NULL")
+    return files.read_text_column(spark, path, "jsonl", "size")
 
 
 def list_files(spark, sf_dir):
@@ -490,9 +534,9 @@ def collate(spark, sf_dir):
 
 
 def shuffle_feed(spark, sf_dir):
-    docs = _documents(spark, sf_dir).select("doc_id")
+    docs = index_by_file(spark, f"{sf_dir}/documents.parquet", "doc_id")
     rows = docs.count()
-    feed = packing.training_order(docs, "doc_id", SEED, rows + rows // 2, rows)
+    feed = packing.training_order(docs, "row_idx", SEED, rows + rows // 2, rows)
     return feed.select("epoch", "doc_id", "feed_key")
 
 
@@ -577,7 +621,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     canonical_url, url_domain, distinct_urls, seed_domains,
     allow_all, allow_exact, allow_mixed_case, allow_subdomain, same_or_subdomain, robots_filter,
     visited_upsert, revisit_due, revisit_gate, not_queued, depth_cap, page_cap, queue_cap,
-    cycle_report, frontier_visits, frontier_sentences,
+    cycle_report, frontier_visits, frontier_sentences, frontier_queue, frontier_ruled_visits,
     text_column, read_text_column, list_files, read_seeds, crawl_state, reseed, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
     tokenize_bytes, tokenize_bytes_native, truncate_tokens, exact_length,
     pack_blocks, pack_shards, build_corpus, corpus_dataset, corpus_stream, collate, shuffle_feed,

@@ -51,28 +51,34 @@ def allow_subdomains(df: DataFrame, allowlist: DataFrame, url: str = "url") -> D
     return subdomain_rule(allowlist)(df, url)
 
 
+def _suffixes(domain: str) -> Column:
+    """A domain and all it lies below: ``a.b.c``, ``b.c``, ``c``."""
+    labels = F.size(F.split(domain, "[.]", -1))
+    return F.transform(F.sequence(F.lit(1), labels), lambda k: F.call_function("substring_index", F.col(domain), F.lit("."), -k))
+
+
+def _topmost(names: DataFrame) -> DataFrame:
+    """Names that lie below no other of ``names(domain)``: what is below them is allowed anyway."""
+    above = F.explode(F.array_remove(_suffixes("domain"), F.col("domain"))).alias("_above")
+    covered = names.select("domain", above).join(names.select(F.col("domain").alias("_above")), "_above", "left_semi")
+    return names.join(covered.select("domain"), "domain", "left_anti")
+
+
 def subdomain_rule(allowlist: DataFrame) -> Rule:
     """:func:`allow_subdomains` for repeated use: the allowlist is measured once.
 
-    "Below" is turned into equality: against names of k labels the last k
-    labels of the domain are compared, one join for each k that occurs. A large
-    allowlist is first reduced to the domains that match, so that joins on a
-    domain never carry the URLs.
+    "Below" is turned into equality with one of a domain's own suffixes. Of the list only the
+    topmost names are kept, so at most one suffix of a domain is in it, and one semi join finds it,
+    however many labels names have. A large allowlist first meets the distinct domains, so that
+    joins on a domain never carry the URLs.
     """
-    allowed = store(_names(allowlist))
-    labels = F.size(F.split("domain", "[.]", -1))
-    counts = sorted(r.k for r in allowed.select(labels.alias("k")).distinct().collect())
+    allowed = store(_topmost(store(_names(allowlist))).select(F.col("domain").alias("_name")))
     small = fits_broadcast(allowed)
 
     def match(domains: DataFrame) -> DataFrame:
-        hit = F.lit(False)
-        for k in counts:
-            names = allowed.where(labels == k).select(F.col("domain").alias(f"_in_{k}"))
-            names = F.broadcast(names) if small else names
-            same = F.substring_index("_domain", ".", -k) == F.col(f"_in_{k}")
-            domains = domains.join(names, same, "left")
-            hit = hit | F.col(f"_in_{k}").isNotNull()
-        return domains.where(hit).drop(*[f"_in_{k}" for k in counts])
+        names = F.broadcast(allowed) if small else allowed
+        split = domains.select("*", F.explode(_suffixes("_domain")).alias("_suffix"))
+        return split.join(names, F.col("_suffix") == F.col("_name"), "left_semi").drop("_suffix")
 
     def rule(df: DataFrame, url: str = "url") -> DataFrame:
         if small:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.tokens import attention_mask
-from millrace.operators.sizing import first_rows
+from millrace.operators.permute import permuted
 
 BATCH_ROWS = 1000
 IGNORED_LABEL = -100
@@ -111,27 +111,20 @@ def collate(df: DataFrame, batch_size: int, pad_id: int, row_idx: str = "row_idx
 
 
 def training_order(
-    df: DataFrame, id_column: str, seed: int, examples: int, rows: int | None = None
+    df: DataFrame, row_idx: str, seed: int, examples: int, rows: int | None = None
 ) -> DataFrame:
     """The first ``examples`` rows in an order set by ``seed``, epoch after epoch.
 
-    Each epoch holds every row once, in an order of its own. ``rows`` is the
-    row count, if known. Returned columns: those of ``df``, ``epoch`` and
-    ``feed_key``; sort by the last two to read in order.
+    Each epoch holds every row once, in an order of its own: a permutation of the dense row numbers
+    ``row_idx`` (from 0). A row's place follows from its number alone, so the last epoch is cut by
+    a comparison; nothing is sorted, ranked or shuffled. ``rows`` is the row count, if known.
+    Returned columns: those of ``df``, ``epoch`` and ``feed_key``, the place in the epoch.
     """
     rows = df.count() if rows is None else rows
     epochs = -(-examples // rows) if rows else 0
     if epochs == 0:
-        repeated = df.limit(0).withColumn("epoch", F.lit(0))
-    else:
-        repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    keyed = repeated.withColumn(
-        "feed_key", F.md5(F.concat_ws(":", F.lit(str(seed)), "epoch", id_column))
-    )
-    if examples >= rows * epochs:
-        return keyed
-    # Whole epochs need no ranking; only the last one is cut.
-    last, left = epochs - 1, examples - rows * (epochs - 1)
-    whole = keyed.where(F.col("epoch") < last)
-    cut = first_rows(keyed.where(F.col("epoch") == last), left, F.col("feed_key"), F.col(id_column))
-    return cut if last == 0 else whole.unionByName(cut)
+        return df.limit(0).withColumns({"epoch": F.lit(0), "feed_key": F.lit(0).cast("bigint")})
+    repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    keyed = repeated.withColumn("feed_key", permuted(F.col(row_idx), rows, seed, F.col("epoch")))
+    left = examples - rows * (epochs - 1)
+    return keyed if left == rows else keyed.where((F.col("epoch") < epochs - 1) | (F.col("feed_key") < left))

@@ -1,18 +1,33 @@
-"""What a cycle did, in one row."""
+"""What a cycle did, in one row. Rows are counted by the job that writes them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+COUNT = "n"
+
+
+@dataclass(frozen=True)
+class CycleReport:
+    """Pages processed (rejected ones too), sentences written, URLs still queued, seconds taken."""
+
+    pages: int
+    sentences_written: int
+    queue: int
+    elapsed: float
+
+    as_dict = asdict
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a counter that holds its rows once an action has run: no pass of its own."""
+    observation = Observation()
+    return df.observe(observation, F.count(F.lit(1)).alias(COUNT)), observation
+
 
-def cycle_report(pages: DataFrame, sentences: DataFrame, queue: DataFrame) -> DataFrame:
-    """Pages processed (rejected ones too), sentences written, URLs still queued."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias(name))
-        for df, name in ((pages, "pages"), (sentences, "sentences_written"), (queue, "queue"))
-    ]
-    one = counts[0]
-    for other in counts[1:]:
-        one = one.crossJoin(other)  # one row each
-    return one
+def rows_seen(observation: Observation) -> int:
+    """The rows a counter saw; waits for its action."""
+    return observation.get[COUNT]

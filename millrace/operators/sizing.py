@@ -11,11 +11,13 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-# Above this many rows a global "first n" is taken by row number, not by a one-task top-n.
-TOP_N_ROWS = 100_000
+# Keys that one task may sort to find the n-th, and keys sampled to get there.
+SLICE_ROWS = 50_000
+SAMPLE_ROWS = 4_000
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -100,10 +102,54 @@ def store(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def first_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first ``n`` rows in ``order`` (a total order)."""
-    if n <= TOP_N_ROWS:
-        return df.orderBy(*order).limit(n)
-    from millrace.operators.ordering import index_by_key
+def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first ``n`` rows in ascending ``order`` (a total order), as a comparison with the n-th.
 
-    return index_by_key(df, *order, name="_nth").where(F.col("_nth") < n).drop("_nth")
+    The n-th key is selected, not ranked: a sample of the keys that are still in question gives two
+    keys around it, rows up to both are counted exactly, and only keys between them stay in
+    question, until those are few enough for one task. ``df`` is evaluated several times for its
+    order columns, so pass a table or something cheap.
+    """
+    if n <= 0:
+        return df.limit(0)
+    key = F.struct(*((F.col(c) if isinstance(c, str) else c).alias(f"_{i}") for i, c in enumerate(order)))
+    cut = _nth_key(df.select(key.alias("key")), n)
+    return df if cut is None else df.where(key <= cut)
+
+
+def _literal(value, kind: DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, StructType):
+        return F.struct(*(_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields, strict=True)))
+    if isinstance(kind, ArrayType):
+        return F.array(*(_literal(v, kind.elementType) for v in value)).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def _nth_key(keys: DataFrame, n: int) -> Column | None:
+    """The ``n``-th smallest ``key`` as a literal; ``None`` if there are not more than ``n``."""
+    kind, key = keys.schema["key"].dataType, F.col("key")
+    size = keys.count()
+    if size <= n:
+        return None
+    left, seed = n, 0  # the key wanted is the ``left``-th of the ``size`` still in question
+    while size > SLICE_ROWS:
+        seed += 1
+        sample = keys.sample(min(1.0, SAMPLE_ROWS / size), seed).limit(4 * SAMPLE_ROWS).orderBy("key").collect()
+        if not sample:
+            continue
+        middle, margin = left / size * len(sample), 2 * len(sample) ** 0.5
+        edges = [_literal(sample[min(max(int(at), 0), len(sample) - 1)].key, kind) for at in (middle - margin, middle + margin)]
+        upto = [F.count_if(key <= e).alias(f"n{i}") for i, e in enumerate(edges)]
+        low, high = keys.agg(*upto).head()
+        before = size
+        if left <= low:
+            keys, size = keys.where(key <= edges[0]), low
+        elif left <= high:
+            keys, size, left = keys.where((key > edges[0]) & (key <= edges[1])), high - low, left - low
+        else:
+            keys, size, left = keys.where(key > edges[1]), size - high, left - high
+        if size == before:  # equal keys only
+            break
+    return _literal(keys.orderBy("key").limit(left).agg(F.max("key").alias("key")).head().key, kind)

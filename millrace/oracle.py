@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from millrace.catalog import BATCH_ROWS, DAY, NOW, SEED, SEQ_LEN, TARGET
-from millrace.functions.html import DROP_TAGS, NATIVE_ENTITIES
-from millrace.functions.text import LATIN, SENTENCE_MARKS, WHITESPACE
-from millrace.functions.urls import TRACKING_KEYS
-from millrace.plans.frontier import MAX_DEPTH, MAX_PAGES, MAX_QUEUE
+# Parameters of the queries and fixed values, spelled out: a wrong one over there shows here.
+TARGET = "fr"
+SEQ_LEN, BATCH_ROWS = 512, 100
+DAY, NOW = 86_400, 1_706_745_600
+MAX_PAGES, PAGE_CAP, QUEUE_CAP = 200, 10, 100
+DROP_TAGS = ("script", "style", "noscript", "svg", "header", "footer", "nav", "form", "button", "input")
+NATIVE_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0", "copy": "©", "middot": "·", "amp": "&"}
+LATIN = "A-Za-z"
+SENTENCE_MARKS = "።.!?፧"
+WHITESPACE = (
+    r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
+    r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+TRACKING_KEYS = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid")
 
 _KEEP_NAV = [t for t in DROP_TAGS if t != "nav"]
 _STAMP = "2024-02-01T00:00:00.000000+00:00"
@@ -177,6 +186,57 @@ def _shards(count: int) -> str:
               FROM ({_HEX}), (SELECT count(*) // {count} AS size, count(*) % {count} AS longer FROM documents))"""
 
 
+def _ruled(once: str, french: str) -> str:
+    """CTEs of one crawl cycle under all rules: the first admitted pages, and what is queued then."""
+    inside = f"""EXISTS (
+        SELECT 1 FROM names WHERE {_DOMAIN} = base OR ends_with({_DOMAIN}, '.' || base))"""
+    permitted = """NOT contains(url, '//blog.') AND (
+        NOT regexp_matches(url, '^https?://[^/]*/de/') OR regexp_matches(url, '^https?://[^/]*/de/1'))"""
+    return f"""
+      once AS MATERIALIZED ({once}),
+      names AS (SELECT DISTINCT regexp_replace(domain, '^(m|www|blog)[.]', '') AS base FROM ({french})),
+      admitted AS MATERIALIZED (
+        SELECT * FROM once WHERE url <> '' AND NOT contains(url, '/es/') AND {permitted} AND {inside}
+        ORDER BY page_id LIMIT {PAGE_CAP}),
+      remainder AS (SELECT url, page_id FROM once WHERE page_id > (SELECT max(page_id) FROM admitted)),
+      linked AS (
+        SELECT url, page_id, pos FROM (SELECT link AS url, page_id, pos FROM ({_LINKS}))
+        WHERE page_id IN (SELECT page_id FROM admitted) AND url NOT IN (SELECT url FROM once) AND {inside}
+        QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id, pos) = 1),
+      room AS (SELECT (SELECT count(*) FROM once) - (SELECT count(*) FROM remainder) AS n),
+      queue AS (
+        SELECT url, CAST(0 AS INTEGER) AS depth, page_id, CAST(0 AS INTEGER) AS pos FROM remainder
+        UNION ALL
+        SELECT url, CAST(1 AS INTEGER), page_id, pos FROM linked
+        QUALIFY row_number() OVER (ORDER BY page_id, pos) <= (SELECT n FROM room))"""
+
+
+def _feed() -> str:
+    """Six rounds of a Feistel network over row numbers, walked on while a number is beyond the rows."""
+    digits = "CAST('0x' || substr(md5('42:' || n || ':{}'), 1, 7) AS BIGINT) + 1"
+    tossed = "((({v} % 2147483647 * f + s + epoch * e) % 2147483647) * (({v} % 2147483647 * f + s + epoch * e) % 2147483647) % 2147483647)"
+    return f"""
+      WITH RECURSIVE size AS (
+        SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM documents
+      ), factors AS (
+        SELECT n, a, (n + a - 1) // a AS b FROM size
+      ), rounds AS (
+        SELECT n AS round, {digits.format('a')} AS f, {digits.format('b')} AS s, {digits.format('c')} AS e FROM range(6) t(n)
+      ), walk AS (
+        SELECT doc_id, epoch, 0::BIGINT AS round, place % a AS low, place // a AS high
+        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents),
+             (SELECT unnest([0, 1]) AS epoch), factors
+        UNION ALL
+        SELECT doc_id, epoch, CASE WHEN w.round < 6 THEN w.round + 1 ELSE 0 END,
+          CASE WHEN w.round = 6 THEN (high * a + low) % a WHEN w.round % 2 = 0 THEN (low + {tossed.format(v='high')}) % a ELSE low END,
+          CASE WHEN w.round = 6 THEN (high * a + low) // a WHEN w.round % 2 = 1 THEN (high + {tossed.format(v='low')}) % b ELSE high END
+        FROM walk w LEFT JOIN rounds r ON r.round = w.round, factors
+        WHERE w.round < 6 OR high * a + low >= n
+      )
+      SELECT CAST(epoch AS INTEGER) AS epoch, doc_id, high * a + low AS feed_key FROM walk, factors
+      WHERE round = 6 AND high * a + low < n AND (epoch = 0 OR high * a + low < n // 2)"""
+
+
 def sql() -> dict[str, str]:
     """Query name to SQL."""
     french = f"SELECT DISTINCT {_DOMAIN} AS domain FROM ({_URLS}) WHERE contains(url, '/fr/')"
@@ -191,7 +251,16 @@ def sql() -> dict[str, str]:
         f"SELECT p.page_id, o.url, text FROM ({_page_text(_KEEP_NAV)}) p JOIN ({once}) o USING (page_id)",
         "page_id, url",
     )
-    feed = f"SELECT epoch, doc_id, md5('{SEED}:' || epoch || ':' || doc_id) AS feed_key FROM documents, (SELECT unnest([0, 1]) AS epoch)"
+    ruled = _ruled(once, french)
+    levels = f"""
+        WITH once AS ({once}),
+          seeds AS (SELECT url, page_id FROM once WHERE page_id IN (SELECT min(page_id) FROM once GROUP BY {_DOMAIN})),
+          linked AS (SELECT DISTINCT link AS url FROM ({_LINKS}) JOIN seeds USING (page_id))
+        SELECT url, CAST(0 AS INTEGER) AS depth FROM seeds
+        UNION ALL
+        SELECT url, CAST(1 AS INTEGER) AS depth FROM linked
+        WHERE url NOT IN (SELECT url FROM seeds) AND EXISTS (
+          SELECT 1 FROM (SELECT DISTINCT {_DOMAIN} AS base FROM once) WHERE {_DOMAIN} = base OR ends_with({_DOMAIN}, '.' || base))"""
     queries = {
         "norm_text": f"SELECT doc_id, {_norm('text')} AS norm FROM documents",
         "split_sentences": _DOC,
@@ -239,14 +308,19 @@ def sql() -> dict[str, str]:
             JOIN ({_VISITED}) USING (url) WHERE {NOW} - last_visited >= {2 * DAY}""",
         "revisit_gate": _GATE,
         "not_queued": f"SELECT url FROM ({links}) WHERE NOT regexp_matches(url, '/[a-m][^/]*$')",
-        "depth_cap": f"SELECT * FROM ({_LINKS}) WHERE pos <= {MAX_DEPTH}",
+        "depth_cap": levels,
         "page_cap": f"""
             SELECT url, CAST(0 AS INTEGER) AS depth, page_id AS ord FROM ({_URLS}) WHERE url <> ''
             ORDER BY page_id LIMIT {MAX_PAGES}""",
-        "queue_cap": f"SELECT * FROM ({_LINKS}) ORDER BY page_id, pos LIMIT {MAX_QUEUE}",
+        "queue_cap": f"SELECT * FROM ({_LINKS}) ORDER BY page_id, pos LIMIT {QUEUE_CAP}",
         "cycle_report": f"""
-            SELECT (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM ({_PAGE})) AS sentences_written,
-                   (SELECT count(*) FROM ({links})) AS queue""",
+            WITH {ruled}, written AS ({_first(
+                f"SELECT * FROM ({nav_text}) WHERE page_id IN (SELECT page_id FROM admitted) AND {long_latin}",
+                'page_id, pos', 'hash')})
+            SELECT (SELECT count(*) FROM admitted) AS pages, (SELECT count(*) FROM written) AS sentences_written,
+                   (SELECT count(*) FROM queue) AS queue, true AS timed""",
+        "frontier_queue": f"WITH {ruled} SELECT url, depth, row_number() OVER (ORDER BY depth, page_id, pos) - 1 AS ord FROM queue",
+        "frontier_ruled_visits": f"WITH {ruled} SELECT url, CAST({NOW} AS BIGINT) AS last_visited FROM admitted",
         "frontier_visits": f"""
             SELECT url, CAST({NOW} AS BIGINT) AS last_visited
             FROM (SELECT url FROM ({_URLS})
@@ -256,7 +330,7 @@ def sql() -> dict[str, str]:
         ),
         "text_column": "SELECT text FROM conversations",
         "read_parquet": "SELECT doc_id, text FROM documents",
-        "read_text_column": "SELECT CAST(n_chars AS VARCHAR) AS text FROM documents WHERE doc_id % 10 = 9",
+        "read_text_column": "SELECT CASE WHEN doc_id % 10 = 9 THEN CAST(n_chars AS VARCHAR) END AS text FROM documents",
         "list_files": "SELECT DISTINCT lang FROM documents",
         "read_seeds": f"SELECT url, CAST(0 AS INTEGER) AS depth FROM ({_URLS}) WHERE url <> ''",
         "crawl_state": """
@@ -287,10 +361,7 @@ def sql() -> dict[str, str]:
                   FROM (SELECT i // 16 AS batch_id, i, h, CAST(length(h) // 2 AS BIGINT) AS kept,
                                CAST(max(length(h) // 2) OVER (PARTITION BY i // 16) AS BIGINT) AS widest
                         FROM ({short})))""",
-        "shuffle_feed": f"""
-            SELECT epoch, doc_id, feed_key FROM ({feed})
-            QUALIFY epoch = 0 OR row_number() OVER (PARTITION BY epoch ORDER BY feed_key, doc_id)
-                                 <= (SELECT count(*) // 2 FROM documents)""",
+        "shuffle_feed": _feed(),
         "stream_distinct": f"SELECT DISTINCT sha256(sentence) AS hash, sentence FROM ({_DOC})",
         "stream_gather": f"""
             SELECT sentence AS text, url, '{_STAMP}' AS timestamp

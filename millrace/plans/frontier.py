@@ -29,7 +29,8 @@ from millrace.operators.filters import target_sentences
 from millrace.operators.ordering import index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
 from millrace.operators.robots import robots_rule
-from millrace.operators.report import cycle_report
+from millrace.operators.history import History
+from millrace.operators.report import CycleReport, counted, rows_seen
 from millrace.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, first_rows, measure, scratch, store
 from millrace.operators.visits import upsert_visits
 from millrace.sources.output import CrawlState, write_sentences
@@ -65,11 +66,15 @@ class Cycle:
     sentences: DataFrame  # text, url, timestamp, hash
     visits: DataFrame  # url, last_visited: this cycle only
     frontier: DataFrame  # url, depth, ord: what is still queued
+    admitted: DataFrame  # url, depth: the visits and their levels
     passes: int
 
-    def report(self) -> DataFrame:
-        """Pages processed, sentences written, queue length."""
-        return cycle_report(self.visits, self.sentences, self.frontier)
+    def write(self, folder: str, began: float, clock=time.time) -> CycleReport:
+        """Write the sentences; the report counts them on the way."""
+        sentences, written = counted(self.sentences)
+        write_sentences(sentences, folder, mode="overwrite")
+        pages, queue = self.visits.count(), self.frontier.count()  # stored tables: from their metadata
+        return CycleReport(pages, rows_seen(written), queue, clock() - began)
 
 
 def run_cycle(
@@ -80,7 +85,7 @@ def run_cycle(
     now: int,
     options: CycleOptions,
     model: DataFrame | None = None,
-    seen: DataFrame | None = None,
+    seen: DataFrame | History | None = None,
     robots: DataFrame | None = None,
     allowed_domains: DataFrame | None = None,
 ) -> Cycle:
@@ -110,7 +115,7 @@ def run_cycle(
             due = permitted(due)
         if not admitted_in:  # seeds may repeat; links found are distinct
             due = first_by_key(due, ["url"], ["ord"])
-        admitted = store(due if left is None else first_rows(due, left, F.col("ord")))
+        admitted = store(due if left is None else first_rows(store(due), left, F.col("ord")))
         taken, size = measure(admitted)
         if taken == 0:
             break
@@ -137,7 +142,7 @@ def run_cycle(
         fresh = not_queued(first_by_key(allowed(links), ["url"], ["ord"]), waiting)
         if options.max_queue is not None:
             queued = remainder.count() if left == 0 else 0
-            fresh = first_rows(fresh, max(0, options.max_queue - queued), F.col("ord"))
+            fresh = first_rows(store(fresh), max(0, options.max_queue - queued), F.col("ord"))
         waiting = store(fresh)
 
     if left == 0:
@@ -152,6 +157,7 @@ def run_cycle(
         sentences=_sentences(parsed_in, options, model, seen, spark),
         visits=visits,
         frontier=queue,
+        admitted=_union([a.select("url", "depth") for a in admitted_in or [empty]]),
         passes=passes,
     )
 
@@ -221,13 +227,12 @@ def run(
         with scratch(spark):
             result = run_cycle(
                 pages, reseed(state.frontier(), start), state.visited(), domains, int(began), options,
-                model, state.hashes(), robots, allowed_domains,
+                model, state.history(), robots, allowed_domains,
             )
-            write_sentences(result.sentences, folder, mode="overwrite")
+            report = result.write(folder, began, clock)
             written = with_hash(spark.read.schema("text string").json(folder))
             state.commit(cycle, result.visits, written.select("hash"), result.frontier)
-            counts = cycle_report(result.visits, written, result.frontier).head().asDict()
-        reports.append({"cycle": cycle, **counts, "elapsed": clock() - began})
+        reports.append({"cycle": cycle, **report.as_dict()})
         if once or (cycles is not None and len(reports) >= cycles):
             return reports
         time.sleep(pause_seconds)

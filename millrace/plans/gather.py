@@ -11,10 +11,19 @@ from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators.dedup import first_sentences
 from millrace.operators.filters import target_sentences
+from millrace.operators.history import History
+from millrace.operators.packed import can_pack
 from millrace.operators.pages import explode_sentences, extract
 from millrace.sources.pages import accepted_pages
 
 
+def page_time(pages: DataFrame, timestamp: Column | None = None) -> Column:
+    """When a page was fetched: as given, else as its table says, else now."""
+    if timestamp is not None:
+        return timestamp
+    return F.col("fetched_at") if "fetched_at" in pages.columns else F.current_timestamp()
+
+
 def page_sentences(
     pages: DataFrame,
     order: Sequence[str],
@@ -32,10 +41,8 @@ def page_sentences(
     ``order`` names the columns that give the crawl order of pages. Response
     tests and the choice of columns come before the HTML is parsed.
     """
-    if timestamp is None:
-        timestamp = F.col("fetched_at") if "fetched_at" in pages.columns else F.current_timestamp()
     keep = dict.fromkeys([*order, "url"])
-    usable = accepted_pages(pages).select(*keep, timestamp.alias("timestamp"), "html")
+    usable = accepted_pages(pages).select(*keep, page_time(pages, timestamp).alias("timestamp"), "html")
     found = explode_sentences(extract(usable, drop_tags, native))
     kept = target_sentences(
         found, [*order, "pos"], target, model,
@@ -49,9 +56,24 @@ def gather(
     order: Sequence[str],
     target: str | None,
     model: DataFrame | None = None,
-    seen: DataFrame | None = None,
+    seen: DataFrame | History | None = None,
+    timestamp: Column | None = None,
     **options,
 ) -> DataFrame:
-    """New sentences of ``pages``, each at its first place in crawl order and not in ``seen``."""
-    found = page_sentences(pages, order, target, model, **options)
-    return first_sentences(found, [*order, "pos"], seen)
+    """New sentences of ``pages``, each at its first place in crawl order and not in ``seen``.
+
+    Where the order is of whole numbers, sentences go through deduplication with their place alone,
+    and URL and time of the first page are joined to what is left.
+    """
+    found = page_sentences(pages, order, target, model, timestamp, **options)
+    places = [*order, "pos"]
+    carried = [c for c in ("url", "timestamp") if c not in order]
+    if not carried or not can_pack(found, places):
+        return first_sentences(found, places, seen)
+    first = first_sentences(found.select(*places, "text"), places, seen)
+    source = accepted_pages(pages).select(
+        *(F.col(c).alias(f"_{n}") for n, c in enumerate(order)), "url", page_time(pages, timestamp).alias("timestamp")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{n}")) for n, c in enumerate(order)]
+    joined = first.join(source.select(*(f"_{n}" for n in range(len(order))), *carried), same)
+    return joined.select(*found.columns, "hash")

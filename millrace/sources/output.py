@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators import history as H
+
 # Fixed value: ISO 8601 with microseconds and a numeric offset.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -28,7 +30,7 @@ def _absent(error: AnalysisException) -> bool:
 
 
 class CrawlState:
-    """Visit times, sentence hashes and the queue, as one table folder each.
+    """Visit times, sentence hashes (and their filter) and the queue, as one table folder each.
 
     A cycle writes its changes to ``<table>/cycle=N`` and then one row to
     ``commits``. Readers take committed cycles only, so a cycle that failed
@@ -39,7 +41,7 @@ class CrawlState:
     and gets the next cycle number, whatever else used the state before.
     """
 
-    TABLES = ("visited", "hashes", "frontier")
+    TABLES = ("visited", "hashes", "filters", "frontier")
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -96,6 +98,31 @@ class CrawlState:
         stored = self._read("hashes", "hash STRING")
         return stored.where(F.col("cycle") <= self.last_cycle()).select("hash")
 
+    def history(self) -> H.History:
+        """The hashes over all committed cycles, with their filter: what new sentences are compared with.
+
+        Bitmaps of all cycles are made for one number of buckets. The cycle in which the history
+        outgrows it brings bitmaps of the whole history, for more buckets, and earlier ones lapse.
+        """
+        hashes, last = self.hashes(), self.last_cycle()
+        filters = self._read("filters", "buckets INT, bucket BIGINT, bits BINARY").where(F.col("cycle") <= last)
+        buckets = filters.agg(F.max("buckets").alias("most")).head().most
+        if buckets is None:
+            return H.history(hashes)
+        bitmaps = H.merged(filters.where(F.col("buckets") == buckets))
+        return H.History(hashes, bitmaps.select("bucket", "bits"), buckets)
+
+    def _commit_hashes(self, cycle: int, hashes: DataFrame) -> None:
+        folder = f"{self.root}/hashes/cycle={cycle}"
+        H.in_ranges(hashes).write.mode("overwrite").parquet(folder)
+        new, old = self.spark.read.schema("hash STRING").parquet(folder), self.hashes()
+        filters = self._read("filters", "buckets INT").where(F.col("cycle") <= self.last_cycle())
+        buckets, stored = filters.agg(F.max("buckets").alias("most")).head().most, old.count()
+        total = stored + new.count()
+        if buckets is None or total > buckets * H.FULL:
+            buckets, new = H.buckets_for(total), new.unionByName(old) if stored else new
+        H.bloom(new, buckets).write.mode("overwrite").parquet(f"{self.root}/filters/cycle={cycle}")
+
     def frontier(self) -> DataFrame:
         """``(url, depth, ord)`` left by the last committed cycle."""
         stored = self._read("frontier", "url STRING, depth INT, ord BIGINT")
@@ -115,7 +142,9 @@ class CrawlState:
             return
         if self._commits() is None:
             self._mark(-1, None, None)
-        changes = {"visited": visited, "hashes": hashes, "frontier": frontier}
+        if hashes is not None:
+            self._commit_hashes(cycle, hashes)
+        changes = {"visited": visited, "frontier": frontier}
         for table, df in changes.items():
             if df is not None:
                 df.write.mode("overwrite").parquet(f"{self.root}/{table}/cycle={cycle}")

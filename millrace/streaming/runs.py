@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedup import first_sentences, with_hash
@@ -16,6 +17,28 @@ from millrace.sources.output import TIMESTAMP_FORMAT, CrawlState, sentence_recor
 INTERVAL = "20 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, on disk beside the heap, and write only its
+    changes to the checkpoint. A stream keeps the choice of its first start in its checkpoint."""
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
 
 def _trigger(writer, once: bool, interval: str):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
@@ -24,11 +47,13 @@ def _trigger(writer, once: bool, interval: str):
 def start_files(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False, interval: str = INTERVAL
 ) -> StreamingQuery:
-    """Write a stream to files, each row exactly once; ``once`` stops after what is there."""
+    """Write a stream to files, each row exactly once; ``once`` stops after what is there. State is
+    kept in RocksDB."""
     writer = df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
     if fmt == "json":
         writer = writer.option("timestampFormat", TIMESTAMP_FORMAT).option("timeZone", "UTC")
-    return _trigger(writer.outputMode("append"), once, interval).start()
+    with state_in_rocksdb(df.sparkSession):
+        return _trigger(writer.outputMode("append"), once, interval).start()
 
 
 def start_batches(
@@ -50,18 +75,33 @@ def _query_id(batch: DataFrame, checkpoint: str) -> str:
     return json.loads(written.value)["id"]
 
 
-def distinct_stream(sentences: DataFrame, text: str = "text") -> DataFrame:
-    """Each sentence once, with its ``hash``, which is all the state holds. State grows with the hashes: keep it in RocksDB (``ROCKSDB``).
-    Which copy of one micro-batch is kept is not fixed; see :func:`start_gather`."""
-    return with_hash(sentences, text).dropDuplicates(["hash"])
+def distinct_stream(
+    sentences: DataFrame, text: str = "text", time: str | None = None, forget_after: str | None = None
+) -> DataFrame:
+    """Each sentence once, with its ``hash``, which is all the state holds.
+
+    Without an end the state grows with the hashes. With ``forget_after`` (such as ``"30 days"``, by
+    the event time ``time``) a hash expires that long after its first occurrence, and the state is
+    what such a time brings; a later copy is then a new sentence. Which copy of one micro-batch is
+    kept is not fixed; see :func:`start_gather`.
+    """
+    hashed = with_hash(sentences, text)
+    if forget_after is None:
+        return hashed.dropDuplicates(["hash"])
+    if time is None:
+        raise ValueError("forget_after needs the column of the event time")
+    return hashed.withWatermark(time, forget_after).dropDuplicatesWithinWatermark(["hash"])
 
 
 def start_distinct(
     pages: DataFrame, order: Sequence[str], path: str, checkpoint: str, target: str | None,
-    model: DataFrame | None = None, fmt: str = "json", once: bool = False, interval: str = INTERVAL, **options,
+    model: DataFrame | None = None, fmt: str = "json", once: bool = False, interval: str = INTERVAL,
+    forget_after: str | None = None, **options,
 ) -> StreamingQuery:
-    """Pages to distinct sentences with the state kept by Spark."""
-    found = distinct_stream(page_sentences(pages, order, target, model, **options))
+    """Pages to distinct sentences with the state kept by Spark, in RocksDB; ``forget_after`` bounds it
+    by the time pages were fetched."""
+    sentences = page_sentences(pages, order, target, model, **options)
+    found = distinct_stream(sentences, time="timestamp", forget_after=forget_after)
     return start_files(sentence_records(found), path, checkpoint, fmt, once, interval)
 
 
@@ -71,9 +111,9 @@ def start_gather(
 ) -> StreamingQuery:
     """Pages to new sentences, the first in crawl order winning inside a micro-batch.
 
-    Hashes of earlier batches are a table, not operator state, so history may
-    outgrow the executors; but each batch reads it, so this suits large batches
-    at long intervals, and :func:`start_distinct` small ones. Output goes to ``path/cycle=<number>``, numbered on by
+    Hashes of earlier batches are a table with a filter beside it, not operator state, so history
+    may outgrow the executors: a batch meets the filter, and the history only with what the filter
+    lets through. Output goes to ``path/cycle=<number>``, numbered on by
     whatever shares the state; a repeated batch overwrites its own folder.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -83,7 +123,7 @@ def start_gather(
         cycle = state.last_cycle() + 1
         found = page_sentences(batch, order, target, model, **options)
         folder = f"{path.rstrip('/')}/cycle={cycle}"
-        write_sentences(first_sentences(found, [*order, "pos"], state.hashes()), folder, mode="overwrite")
+        write_sentences(first_sentences(found, [*order, "pos"], state.history()), folder, mode="overwrite")
         written = batch.sparkSession.read.schema("text string").json(folder)
         state.commit(cycle, hashes=with_hash(written).select("hash"), run=run, batch=batch_id)
 

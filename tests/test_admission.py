@@ -124,13 +124,6 @@ def test_broadcast_needs_a_measured_size(spark):
     assert "broadcast" not in plan
 
 
-@pytest.mark.parametrize("limit", [100, 2])
-def test_first_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr(sizing, "TOP_N_ROWS", limit)
-    df = spark.range(50).select((F.col("id") * 7 % 50).alias("k"))
-    assert sorted(r.k for r in sizing.first_rows(df, 5, F.col("k")).collect()) == [0, 1, 2, 3, 4]
-
-
 def test_visits_of_few_urls_need_no_shuffle_of_the_history(spark, folder):
     spark.createDataFrame([("a", 1), ("a", 5), ("b", 2)], "url string, t bigint").write.parquet(f"{folder}/v")
     history = spark.read.parquet(f"{folder}/v")

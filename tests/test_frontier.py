@@ -89,19 +89,19 @@ def cycle(spark, pages, frontier, visited, limit, **more):
 
 
 @pytest.mark.parametrize("limit", [None, 1, 3, 5])
-def test_cycle_equals_a_plain_queue(spark, pages, limit):
+def test_cycle_equals_a_plain_queue(spark, pages, folder, limit):
     visited = [("http://h/c", NOW - 100), ("http://s.h/e", NOW - 99)]
     seeds = ["http://h/a", "http://h/c", "http://h/a"]
     order, written, waiting = brute_crawl(seeds, visited, limit)
     got = cycle(spark, pages, [(u, 0, n) for n, u in enumerate(seeds)], visited, limit)
     assert sorted(r.url for r in got.visits.collect()) == sorted(order)
-    assert sorted((r.text, r.url) for r in got.sentences.collect()) == written
+    report = got.write(f"{folder}/out", NOW, clock=lambda: NOW + 2.5)
+    assert sorted((r.text, r.url) for r in spark.read.schema("text string, url string").json(f"{folder}/out").collect()) == written
     queue = [(r.url, r.depth) for r in got.frontier.orderBy("ord").collect()]
     known = {u for u, _ in waiting}
     assert [q for q in queue if q[0] in known] == list(dict.fromkeys(waiting))
     assert [r.ord for r in got.frontier.orderBy("ord").collect()] == list(range(len(queue)))
-    report = got.report().head()
-    assert (report.pages, report.sentences_written, report.queue) == (len(order), len(written), len(queue))
+    assert report.as_dict() == {"pages": len(order), "sentences_written": len(written), "queue": len(queue), "elapsed": 2.5}
 
 
 def test_queue_limit_keeps_the_first_links(spark, pages):
