@@ -1,10 +1,10 @@
 """A growing history of hashes that is never shuffled.
 
-Beside the hashes lies a Bloom filter: each hash belongs to one of a number of buckets, and sets a
-few bits in the bucket's bitmap, a binary of 4 KB. New rows meet the bitmap of their bucket, fifty
-times smaller than the hashes it stands for, and most are told at once to be new. Only the hashes
-of the others go to the history, as broadcast slices of bounded size, each to the range of hashes
-it covers; files are sorted by hash, so other row groups are skipped by their statistics.
+Beside the hashes lies a Bloom filter in blocks: each hash belongs to one block of 512 bits (eight
+numbers) and sets a few of them. New rows meet their block, some forty times smaller than the hashes
+it stands for, and most are told at once to be new. Only the hashes of the others go to the
+history, as broadcast slices of bounded size, each to the range of hashes it covers; files are
+sorted by hash, so other row groups are skipped by their statistics.
 """
 
 from __future__ import annotations
@@ -14,60 +14,64 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import broadcast_if_small, store
+from millrace.operators.sizing import BROADCAST_ROWS, broadcast_if_small, store
 
-#: Fixed value: bits of a bitmap as the SQL function ``bitmap_construct_agg`` makes it.
-BITS = 32_768
+WORDS = [f"w{n}" for n in range(8)]
+BITS = 64 * len(WORDS)
 PROBES = 4
-#: Hashes a bitmap holds at about one false alarm in a hundred.
-FULL = 3_400
-LEAST_BUCKETS = 64
+#: Hashes a block holds at two or three false alarms in a hundred.
+FULL = 53
+LEAST_BLOCKS = 4_096
 #: Hashes of 64 characters that one broadcast carries.
 SLICE_ROWS = 200_000
 
 
-def buckets_for(hashes: int) -> int:
-    """How many bitmaps a history of that size needs, with room to grow."""
-    buckets = LEAST_BUCKETS
-    while buckets * FULL < 4 * hashes:
-        buckets *= 4
-    return buckets
+def blocks_for(hashes: int) -> int:
+    """How many blocks a history of that size needs, with room to grow."""
+    blocks = LEAST_BLOCKS
+    while blocks * FULL < 4 * hashes:
+        blocks *= 4
+    return blocks
 
 
-def _bucket(key: str, buckets: int | Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets) if isinstance(buckets, int) else buckets)
+def _block(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
 
 
 def _positions(key: str) -> list[Column]:
     second = F.xxhash64(key, F.lit(1))
-    return [F.shiftright(second, 15 * probe).bitwiseAND(F.lit(BITS - 1)) for probe in range(PROBES)]
+    return [F.shiftright(second, 9 * probe).bitwiseAND(F.lit(BITS - 1)).cast("int") for probe in range(PROBES)]
 
 
-def bloom(hashes: DataFrame, buckets: int, key: str = "hash") -> DataFrame:
-    """``(buckets, bucket, bits)``: the bitmaps of the buckets that hold a hash."""
-    bits = hashes.select(_bucket(key, buckets).alias("bucket"), F.explode(F.array(*_positions(key))).alias("position"))
-    made = bits.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits"))
-    return made.select(F.lit(buckets).alias("buckets"), "bucket", "bits")
+def _or(word: str) -> Column:
+    return F.bit_or(word).alias(word)
 
 
-def merged(filters: DataFrame) -> DataFrame:
-    """One bitmap a bucket, from those of several cycles."""
-    return filters.groupBy("buckets", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+def bloom(hashes: DataFrame, blocks: int, key: str = "hash") -> DataFrame:
+    """``(blocks, block, w0, ..., w7)``: the blocks that hold a hash, of a filter of ``blocks``."""
+    placed = hashes.select(_block(key, blocks).alias("block"), F.explode(F.array(*_positions(key))).alias("at"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at") % 64)
+    split = placed.select(
+        "block", *(F.when(F.shiftright("at", 6) == n, bit).otherwise(F.lit(0).cast("bigint")).alias(w) for n, w in enumerate(WORDS))
+    )
+    return split.groupBy("block").agg(*map(_or, WORDS)).select(F.lit(blocks).cast("bigint").alias("blocks"), "block", *WORDS)
 
 
-def _is_set(bits: str, position: Column) -> Column:
-    byte = F.col(bits).substr(F.call_function("div", position, F.lit(8)).cast("int") + 1, F.lit(1))
-    number = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.call_function("shiftright", number, (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+def merged(filters: DataFrame) -> DataFrame:
+    """Each block once, from the filters of several cycles."""
+    return filters.groupBy("blocks", "block").agg(*map(_or, WORDS))
 
 
-def perhaps_seen(df: DataFrame, filters: DataFrame, buckets: int, key: str = "hash") -> DataFrame:
+def perhaps_seen(df: DataFrame, filters: DataFrame, blocks: int, key: str = "hash") -> DataFrame:
     """``df`` with ``_perhaps``: false only where the key is surely not in the history."""
-    small = filters.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
-    joined = df.join(broadcast_if_small(small, rows=4_000), _bucket(key, buckets) == F.col("_bucket"), "left")
-    hit = F.col("_bits").isNotNull()
-    for position in _positions(key):
-        hit = hit & _is_set("_bits", position)
+    known = filters.select(F.col("block").alias("_block"), F.array(*WORDS).alias("_words"))
+    # A filter has at most ``blocks`` rows of 72 bytes: its size is known without a count.
+    known = F.broadcast(known) if blocks <= BROADCAST_ROWS else known
+    hit = F.col("_words").isNotNull()
+    for at in _positions(key):
+        word = F.get("_words", F.shiftright(at, 6))
+        hit = hit & (F.call_function("shiftright", word, at % 64).bitwiseAND(F.lit(1)) == 1)
+    joined = df.join(known, _block(key, blocks) == F.col("_block"), "left")
     return joined.select(*df.columns, F.coalesce(hit, F.lit(False)).alias("_perhaps"))
 
 
@@ -76,8 +80,9 @@ class History:
     """Stored hashes (hexadecimal digests, as :func:`sentence_hash` makes them) and their filter."""
 
     hashes: DataFrame  # hash
-    filters: DataFrame  # bucket, bits
-    buckets: int
+    size: int  # how many, as counted
+    filters: DataFrame | None = None  # block, w0, ..., w7; none needed up to SLICE_ROWS hashes
+    blocks: int = 0
 
     def known(self, wanted: DataFrame, n: int) -> DataFrame:
         """Which of ``wanted(hash)``, a stored table of ``n`` rows, the history holds. The history is
@@ -92,8 +97,13 @@ class History:
         return found
 
     def unseen(self, df: DataFrame, key: str = "hash") -> DataFrame:
-        """Rows of ``df`` whose hash is not in the history. ``df`` is evaluated once, and stored."""
-        told = store(perhaps_seen(df, self.filters, self.buckets, key))
+        """Rows of ``df`` whose hash is not in the history. ``df`` is evaluated once, and stored; a
+        history counted to fit one broadcast is sent to ``df`` instead."""
+        if self.filters is None:
+            seen = self.hashes.select(F.col("hash").alias("_known"))
+            seen = F.broadcast(seen) if self.size <= SLICE_ROWS else seen
+            return df.join(seen, F.col(key) == F.col("_known"), "left_anti")
+        told = store(perhaps_seen(df, self.filters, self.blocks, key))
         doubtful = told.where("_perhaps").select(F.col(key).alias("hash")).distinct()
         n = doubtful.count()
         rows = told.drop("_perhaps")
@@ -107,9 +117,12 @@ class History:
 
 
 def history(hashes: DataFrame) -> History:
-    """The history of a table of hashes, with a filter made now and stored."""
-    buckets = buckets_for(hashes.count())
-    return History(hashes.select("hash"), store(bloom(hashes, buckets)).select("bucket", "bits"), buckets)
+    """The history of a stored table of hashes; where it is large, with a filter made now and stored."""
+    hashes, size = hashes.select("hash"), hashes.count()
+    if size <= SLICE_ROWS:
+        return History(hashes, size)
+    blocks = blocks_for(size)
+    return History(hashes, size, store(bloom(hashes, blocks)), blocks)
 
 
 def in_ranges(hashes: DataFrame) -> DataFrame:

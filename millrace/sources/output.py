@@ -101,27 +101,32 @@ class CrawlState:
     def history(self) -> H.History:
         """The hashes over all committed cycles, with their filter: what new sentences are compared with.
 
-        Bitmaps of all cycles are made for one number of buckets. The cycle in which the history
-        outgrows it brings bitmaps of the whole history, for more buckets, and earlier ones lapse.
+        Filters of all cycles are made for one number of blocks. The cycle in which the history
+        outgrows it brings a filter of the whole history, of more blocks, and earlier ones lapse.
         """
         hashes, last = self.hashes(), self.last_cycle()
-        filters = self._read("filters", "buckets INT, bucket BIGINT, bits BINARY").where(F.col("cycle") <= last)
-        buckets = filters.agg(F.max("buckets").alias("most")).head().most
-        if buckets is None:
+        size = hashes.count()  # from the metadata of its files
+        if size <= H.SLICE_ROWS:
+            return H.History(hashes, size)
+        words = ", ".join(f"{w} BIGINT" for w in H.WORDS)
+        filters = self._read("filters", f"blocks BIGINT, block BIGINT, {words}").where(F.col("cycle") <= last)
+        blocks = filters.agg(F.max("blocks").alias("most")).head().most
+        if blocks is None:
             return H.history(hashes)
-        bitmaps = H.merged(filters.where(F.col("buckets") == buckets))
-        return H.History(hashes, bitmaps.select("bucket", "bits"), buckets)
+        return H.History(hashes, size, H.merged(filters.where(F.col("blocks") == blocks)), blocks)
 
     def _commit_hashes(self, cycle: int, hashes: DataFrame) -> None:
         folder = f"{self.root}/hashes/cycle={cycle}"
-        H.in_ranges(hashes).write.mode("overwrite").parquet(folder)
+        hashes.select("hash").sortWithinPartitions("hash").write.mode("overwrite").parquet(folder)
         new, old = self.spark.read.schema("hash STRING").parquet(folder), self.hashes()
-        filters = self._read("filters", "buckets INT").where(F.col("cycle") <= self.last_cycle())
-        buckets, stored = filters.agg(F.max("buckets").alias("most")).head().most, old.count()
-        total = stored + new.count()
-        if buckets is None or total > buckets * H.FULL:
-            buckets, new = H.buckets_for(total), new.unionByName(old) if stored else new
-        H.bloom(new, buckets).write.mode("overwrite").parquet(f"{self.root}/filters/cycle={cycle}")
+        total = old.count() + new.count()
+        if total <= H.SLICE_ROWS:
+            return
+        filters = self._read("filters", "blocks BIGINT").where(F.col("cycle") <= self.last_cycle())
+        blocks = filters.agg(F.max("blocks").alias("most")).head().most
+        if blocks is None or total > blocks * H.FULL:
+            blocks, new = H.blocks_for(total), new.unionByName(old)
+        H.bloom(new, blocks).write.mode("overwrite").parquet(f"{self.root}/filters/cycle={cycle}")
 
     def frontier(self) -> DataFrame:
         """``(url, depth, ord)`` left by the last committed cycle."""

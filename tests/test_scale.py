@@ -80,7 +80,7 @@ def hashes(spark, low, high):
     return with_hash(spark.range(low, high).selectExpr("concat('sentence ', id) AS text")).select("hash")
 
 
-@pytest.mark.parametrize("slice_rows", [100_000, 40])
+@pytest.mark.parametrize("slice_rows", [100_000, 2000, 40])
 def test_unseen_rows_of_a_history(spark, monkeypatch, slice_rows):
     monkeypatch.setattr(history, "SLICE_ROWS", slice_rows)
     known = history.history(sizing.store(history.in_ranges(hashes(spark, 0, 3000))))
@@ -92,21 +92,21 @@ def test_unseen_rows_of_a_history(spark, monkeypatch, slice_rows):
 
 def test_filter_lets_few_new_rows_through_and_every_known_one(spark):
     stored = hashes(spark, 0, 20_000)
-    buckets = 6  # about as full as a bitmap may be
-    bits = history.bloom(stored, buckets)
-    assert bits.count() == buckets and bits.agg(F.max(F.length("bits"))).head()[0] == history.BITS // 8
-    told = history.perhaps_seen(hashes(spark, 0, 40_000), bits, buckets).join(stored.withColumn("known", F.lit(True)), "hash", "left")
+    blocks = 20_000 // history.FULL  # as full as blocks may be
+    bits = history.bloom(stored, blocks)
+    assert bits.count() == blocks
+    told = history.perhaps_seen(hashes(spark, 0, 40_000), bits, blocks).join(stored.withColumn("known", F.lit(True)), "hash", "left")
     counts = {(r.known, r._perhaps): r["count"] for r in told.groupBy("known", "_perhaps").count().collect()}
     assert counts[True, True] == 20_000 and (True, False) not in counts
-    assert counts[None, True] < 800
-    halves = [history.bloom(stored.where(f"hash {side} '8'"), buckets) for side in ("<", ">=")]
+    assert counts[None, True] < 1_000
+    halves = [history.bloom(stored.where(f"hash {side} '8'"), blocks) for side in ("<", ">=")]
     merged = history.merged(halves[0].unionByName(halves[1]))
-    assert sorted(map(tuple, merged.select("bucket", "bits").collect())) == sorted(map(tuple, bits.select("bucket", "bits").collect()))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, bits.collect()))
 
 
 def test_history_is_not_shuffled(spark):
     stored = sizing.store(history.in_ranges(hashes(spark, 0, 500)))
-    known = history.history(stored)
+    known = history.History(stored, 500, history.bloom(stored, 16), 16)
     wanted = sizing.store(hashes(spark, 400, 600))
     text = plan(known.known(wanted, 200))
     assert "BroadcastHashJoin" in text and text.replace("BroadcastExchange", "").count("Exchange") == 0
@@ -116,16 +116,17 @@ def test_history_is_not_shuffled(spark):
 
 def test_state_keeps_a_filter_that_grows(spark, folder, monkeypatch):
     monkeypatch.setattr(history, "FULL", 2)
-    monkeypatch.setattr(history, "LEAST_BUCKETS", 4)
+    monkeypatch.setattr(history, "SLICE_ROWS", 5)
+    monkeypatch.setattr(history, "LEAST_BLOCKS", 4)
     state = CrawlState(spark, f"{folder}/state")
     sizes = []
     for cycle, (low, high) in enumerate([(0, 3), (3, 30), (30, 31), (31, 31), (31, 400)]):
         state.commit(cycle, hashes=hashes(spark, low, high))
         known = CrawlState(spark, f"{folder}/state").history()
-        sizes.append(known.buckets)
+        sizes.append(known.blocks)
         probe = with_hash(spark.range(0, high + 20).selectExpr("id", "concat('sentence ', id) AS text"))
         assert sorted(r.id for r in known.unseen(probe).collect()) == list(range(high, high + 20))
-    assert sizes[0] < sizes[-1] and sizes == sorted(sizes)
+    assert sizes[0] == 0 and 0 < sizes[1] < sizes[-1] and sizes == sorted(sizes)
 
 
 # --- permutation ------------------------------------------------------------------

@@ -159,3 +159,74 @@ def test_distinct_stream_hashes_equal_batch(spark, folder):
     found = runs.distinct_stream(live.select("sentence"), "sentence")
     runs.start_files(found, f"{folder}/out", f"{folder}/check", once=True).awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
+def test_gate_reduces_a_hot_key_before_the_shuffle(spark):
+    """Most events are of one key and a few seconds: one row a second leaves a batch."""
+    import pyarrow as pa
+
+    from millrace.streaming.gate import earliest_a_second
+
+    rng = random.Random(21)
+    rows = [("hot" if rng.random() < 0.9 else f"k{n % 5}", rng.randrange(6), n) for n in range(5000)]
+    rng.shuffle(rows)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["k", "t", "n"]
+    )
+    out = list(earliest_a_second("k", "t", "n")(iter([batch, batch.slice(0, 0)])))
+    got = sorted((r["k"], r["t"], r["n"]) for b in out for r in b.to_pylist())
+    assert got == sorted(min(r for r in rows if r[:2] == key) for key in {r[:2] for r in rows})
+
+
+def test_gate_stream_with_a_hot_key(spark, folder):
+    rng = random.Random(22)
+    batches = []
+    for n in range(3):
+        rows = [("hot" if rng.random() < 0.8 else rng.choice(["a", "b", None]), 100 * n + rng.randrange(100), 1000 * n + i) for i in range(600)]
+        batches.append(rows)
+        spark.createDataFrame(rows, "k string, t bigint, n bigint").repartition(4).write.parquet(f"{folder}/in/batch={n}")
+    events = spark.readStream.schema("k string, t bigint, n bigint").option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+    gate = revisit_gate_stream(events, "k", "t", "n", 7)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    query = runs.start_files(gate, f"{folder}/out", f"{folder}/check", once=True)
+    query.awaitTermination()
+    assert spark.conf.get(provider) == before  # the session's own choice is left as it was
+    got = sorted(r.n for r in spark.read.parquet(f"{folder}/out").collect())
+    assert got == brute_gate([r for rows in batches for r in rows if r[0]], 7)
+
+
+def test_distinct_stream_restarts_and_keeps_its_state_in_rocksdb(spark, folder, arriving):
+    def once():
+        query = runs.start_distinct(
+            stream(spark, arriving), ["page_id"], f"{folder}/out", f"{folder}/check", None, once=True,
+            script=LATIN, timestamp=STAMP(F.lit(0)),
+        )
+        query.awaitTermination()
+        return sorted(r.text for r in spark.read.json(f"{folder}/out").collect())
+
+    first = once()
+    assert len(first) == len(set(first)) == 15  # 12 of their own and 3 shared
+    pages_of(spark, 10, 14).coalesce(1).write.parquet(f"{arriving}/batch=3")
+    assert len(once()) == len(set(once())) == 17
+    states = [f for _, _, files in os.walk(f"{folder}/check/state") for f in files]
+    assert any(f.endswith(".changelog") for f in states)
+    with open(f"{folder}/check/offsets/0") as offsets:
+        assert "RocksDBStateStoreProvider" in offsets.read()
+
+
+def test_distinct_stream_forgets(spark, folder):
+    """A copy is dropped for as long as its sentence is remembered, and new again after that."""
+    given = spark.readStream.schema("text string, timestamp timestamp").option("recursiveFileLookup", "true")
+    os.makedirs(f"{folder}/in")
+    sentences = given.parquet(f"{folder}/in")
+    for n, second in enumerate([0, 30, 10_000, 20_000, 20_030]):
+        rows = [("same words", second), (f"own {n}", second)]
+        df = spark.createDataFrame(rows, "text string, s bigint").selectExpr("text", "timestamp_seconds(s) AS timestamp")
+        df.coalesce(1).write.parquet(f"{folder}/in/batch={n}")
+        found = runs.distinct_stream(sentences, time="timestamp", forget_after="60 seconds")
+        runs.start_files(found, f"{folder}/out", f"{folder}/check", once=True).awaitTermination()
+    texts = [r.text for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert sorted(texts) == sorted([*(f"own {n}" for n in range(5)), *["same words"] * 3])
+    with pytest.raises(ValueError):
+        runs.distinct_stream(sentences, forget_after="60 seconds")
