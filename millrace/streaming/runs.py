@@ -81,8 +81,8 @@ def distinct_stream(
     """Each sentence once, with its ``hash``, which is all the state holds.
 
     Without an end the state grows with the hashes. With ``forget_after`` (such as ``"30 days"``, by
-    the event time ``time``) a hash expires that long after its first occurrence, and the state is
-    what such a time brings; a later copy is then a new sentence. Which copy of one micro-batch is
+    the event time ``time``) a hash expires once the stream has seen times that much later than its
+    first occurrence, and the state is what such a time brings; a later copy is then a new sentence. Which copy of one micro-batch is
     kept is not fixed; see :func:`start_gather`.
     """
     hashed = with_hash(sentences, text)
