@@ -35,9 +35,16 @@ def _archive() -> str:
 
 _shipped: set[str] = set()  # application ids
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows go to Python in batches of about this size: ten thousand long texts would not fit a worker.
+ARROW_BATCH_BYTES = 16 << 20
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers of the application, once."""
+    """Send this package to the Python workers of the application, once, and bound the batches they
+    get in bytes unless the session does."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(ARROW_BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         context.addPyFile(_archive())
