@@ -32,6 +32,7 @@ OWN_SHARE, OWN_QUANTILE = 0.75, 0.01
 SCORED_TEXTS, SCORED_LEAST = 16_000, 10
 _SPACE = 0
 _KNOWN_GRAMS = 40_000
+_SLICE = 2_048
 
 
 @cache
@@ -102,14 +103,17 @@ class Bundler:
             counted.append(np.unique(grams, return_counts=True))
         known = np.unique(np.concatenate([g for g, _ in counted]))
         rows = self._bind(known.tolist())  # first, as it may replace ``bound``
-        vectors = self.bound[rows].astype(np.float32)
         counts = np.zeros((len(texts), len(known)), np.float32)
         for row, (grams, n) in enumerate(counted):
             counts[row, np.searchsorted(known, grams)] = n
         squares = np.array([float((n.astype(np.float64) ** 2).sum()) for _, n in counted])
         totals = np.array([float(n.sum()) for _, n in counted])
         self.variety = np.divide(totals**2, squares, out=np.zeros_like(totals), where=squares > 0)
-        out = counts @ vectors
+        # A few n-grams at a time: all their vectors as floats would be larger than the texts. Sums are
+        # of whole numbers, so their order does not matter.
+        out = np.zeros((len(texts), DIMENSIONS), np.float32)
+        for at in range(0, len(rows), _SLICE):
+            out += counts[:, at : at + _SLICE] @ self.bound[rows[at : at + _SLICE]].astype(np.float32)
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
 

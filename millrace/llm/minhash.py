@@ -5,14 +5,14 @@ circularly by 0, 1, 2, ..., gives every coordinate of the signature. Texts with
 equal sets are one node from the start. Bands of coordinates form buckets, and
 candidate pairs are confirmed on the full sets before they link.
 
-A bucket never emits all its pairs. First every text meets one other, the one of
-its buckets that shares most buckets with others, as a text does from which others
-were copied; that connects most near-copies. Then only those members of a bucket
-matter that are outside its commonest component. Round by round the next few of
-them meet the bucket's members, until each has: so every pair that is not connected
-already is compared in the end. Before texts are fetched, a pair from these rounds
-is compared by two bits each of many more coordinates; what lies 4.5 standard
-deviations below the bound is no link.
+A bucket never emits its pairs. First every text meets one other, the one of its buckets that shares
+most buckets with others, as a text does from which others were copied; that connects most
+near-copies. Then only those members of a bucket matter that are outside its commonest component.
+All buckets with the same commonest component make one cluster, and the cluster's outer members
+meet all of its members in blocks of bounded size, inside tasks: a row stands for a text in a block,
+never for a pair, and only links leave a task. There a pair is first compared by two bits each of
+many more coordinates; what lies 4.5 standard deviations below the bound (a chance of 3e-6 for a
+pair at the bound) is no link, and the rest are compared by their full sets.
 """
 
 from __future__ import annotations
@@ -28,18 +28,16 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components, relabel
 from millrace.llm.shared import text_blocks
 from millrace.llm.shingles import mix, shingles
-from millrace.operators.ordering import index_by_key
 from millrace.operators.sizing import store
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # per cent
 BANDS, ROWS = 32, 5
 SPACE_BITS = 20
-#: Coordinates that the later rounds compare, two bits of each.
+#: Coordinates that members of a cluster compare, two bits of each.
 WIDE = 1024
-#: Members of a bucket that the others meet in the first of these rounds; then three times all so far.
-FIRST_STEP = 16
-_MAIN = 1 << 62
+#: Texts, and shingles of texts, in a block of a cluster.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
 SALT_ROWS = 64
 
 
@@ -95,7 +93,7 @@ def _sketch(words: int, bands: int, rows: int):
     return run
 
 
-def _wide(words: int, bands: int, rows: int):
+def _wide(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shifts = 2 * np.arange(32, dtype=np.uint64)
         for frame, texts in text_blocks(frames, "text"):
@@ -104,30 +102,59 @@ def _wide(words: int, bands: int, rows: int):
             filled = np.flatnonzero(np.diff(bounds))
             if not len(filled):
                 continue
-            low = np.stack([signature(hashes[bounds[i] : bounds[i + 1]], max(WIDE, bands * rows)) for i in filled])
-            two = mix(low[:, :WIDE].astype(np.uint64)) & np.uint64(3)
+            sets = [np.unique(hashes[bounds[i] : bounds[i + 1]]) for i in filled]
+            low = np.stack([signature(s, WIDE) for s in sets])
+            two = mix(low.astype(np.uint64)) & np.uint64(3)
             packed = (two.reshape(len(low), -1, 32) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
-            keys = band_keys(low[:, : bands * rows], bands)
-            yield pd.DataFrame({"node": frame["id"].to_numpy()[filled], "bits": list(packed), "keys": list(keys)})
+            ids = frame["id"].to_numpy()[filled]
+            yield pd.DataFrame({"node": ids, "bits": list(packed), "set": [s.view(np.int64) for s in sets]})
 
     return run
 
 
-def _apart(similarity: int) -> Column:
-    """Whether ``bits`` and ``bits_b`` differ in more places than those of a link can."""
-    odd = F.lit(0x5555555555555555)
-    differ = F.lit(0)
-    for word in range(WIDE // 32):
-        z = F.get("bits", F.lit(word)).bitwiseXOR(F.get("bits_b", F.lit(word)))
-        differ = differ + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(odd))
+def _most_apart(similarity: int) -> int:
+    """In how many coordinates the bits of a link can differ."""
     equal = similarity / 100 + (1 - similarity / 100) / 4
-    return differ > int(WIDE * (1 - equal) + 4.5 * (WIDE * equal * (1 - equal)) ** 0.5)
+    return int(WIDE * (1 - equal) + 4.5 * (WIDE * equal * (1 - equal)) ** 0.5)
+
+
+def similar(one: np.ndarray, other: np.ndarray, similarity: int) -> bool:
+    """Whether two sets, sorted, have a Jaccard similarity of that many per cent."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return common > 0 and 100 * common >= similarity * (len(one) + len(other) - common)
+
+
+def _met(similarity: int):
+    """Links (a, b) between the outer members and all members of a block of a cluster."""
+    odd, most = np.uint64(0x5555555555555555), _most_apart(similarity)
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        ours, theirs = block[block["outer"]], block[~block["outer"]]
+        links, above = [], {}
+
+        def top(root: int) -> int:
+            while root in above:
+                root = above[root]
+            return root
+
+        if len(ours) and len(theirs):
+            nodes, roots, mains = (theirs[c].to_numpy() for c in ("node", "root", "main"))
+            bits = np.stack(theirs["bits"].to_list()).view(np.uint64)
+            sets = theirs["set"].to_list()
+            sizes = np.array([len(x) for x in sets])
+            for node, root, own, mine in zip(ours["node"], ours["root"], ours["bits"], ours["set"], strict=True):
+                near = (roots != root) & (100 * np.minimum(sizes, len(mine)) >= similarity * np.maximum(sizes, len(mine)))
+                near &= (roots == mains) | (nodes < node)  # two outer members meet once
+                at = np.flatnonzero(near)
+                z = bits[at] ^ own.view(np.uint64)
+                apart = np.bitwise_count((z | (z >> np.uint64(1))) & odd).sum(axis=1, dtype=np.int64)
+                for i in at[np.argsort(apart, kind="stable")][: int((apart <= most).sum())].tolist():
+                    if top(root) != top(int(roots[i])) and similar(mine, sets[i], similarity):
+                        links.append((node, int(nodes[i])))
+                        above[top(root)] = top(int(roots[i]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-
-def _first_shared() -> Column:
-    """The first bucket that both members of a pair are in."""
-    same = F.zip_with("keys", "keys_b", lambda a, b: a == b)
-    return F.get("keys", F.array_position(same, True).cast("int") - 1)
+    return run
 
 
 def _confirm(words: int, similarity: int):
@@ -138,9 +165,7 @@ def _confirm(words: int, similarity: int):
             for i, (one, other) in enumerate(zip(frame["text_a"], frame["text_b"], strict=True)):
                 if other != last:
                     last, last_set = other, np.unique(shingles([other], words)[0])
-                mine = np.unique(shingles([one], words)[0])
-                common = len(np.intersect1d(mine, last_set, assume_unique=True))
-                keep[i] = common > 0 and 100 * common >= similarity * (len(mine) + len(last_set) - common)
+                keep[i] = similar(np.unique(shingles([one], words)[0]), last_set, similarity)
             yield frame.loc[keep, ["a", "b"]]
 
     return run
@@ -164,7 +189,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -
     return joined.mapInPandas(_confirm(words, similarity), "a bigint, b bigint").distinct()
 
 
-def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int, bands: int, rows: int) -> DataFrame:
+def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
     """(node, root) of the linked nodes, from ``buckets`` (key, node, size, mass)."""
     heads = buckets.groupBy("key").agg(F.max_by("node", "mass").alias("b"), F.max("mass").alias("mass_b"))
     meetings = buckets.join(store(heads), "key").where("node != b")
@@ -173,62 +198,38 @@ def _links(buckets: DataFrame, texts: DataFrame, words: int, similarity: int, ba
     members = store(relabel(buckets.select("key", "node", "size", F.col("node").alias("root")), "root", labels))
     shares = store(members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")))
     mixed = shares.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.count(F.lit(1)).alias("roots"))
-    left = members.join(store(mixed.where("roots > 1").drop("roots")), "key")
-    left = store(_ranked(store(left)))
-    if left.isEmpty():
+    open_keys = store(mixed.where("roots > 1").select("key", "main"))
+    clusters = store(members.join(open_keys, "key").select("main", "node", "root", "size").distinct())
+    if clusters.isEmpty():
         return labels
-    asked = store(left.select(F.col("node").alias("id")).distinct())
-    wide = texts.join(asked, "id").mapInPandas(
-        _wide(words, bands, rows), "node bigint, bits array<bigint>, keys array<bigint>"
-    )
-    # Rows that share an id may have several texts: then nothing is told apart before these are compared.
-    alone = F.count(F.lit(1)) == 1
-    wide = store(
-        wide.groupBy("node").agg(*[F.when(alone, F.first(c)).alias(c) for c in ("bits", "keys")])
-    )
-    tested, below, step = pairs, 0, FIRST_STEP
-    while True:
-        open_keys = store(left.where((F.col("rank") >= below) & (F.col("rank") < _MAIN)).select("key").distinct())
-        left = store(left.join(open_keys, "key"))
-        if left.isEmpty():
-            return labels
-        pivots = left.where((F.col("rank") >= below) & (F.col("rank") < below + step)).join(wide, "node").select(
-            "key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("rank").alias("rank_b"),
-            F.col("size").alias("size_b"), F.col("bits").alias("bits_b"), F.col("keys").alias("keys_b"),
-        )
-        possible = (
-            (F.col("rank") > F.col("rank_b"))
-            & (F.col("root") != F.col("root_b"))
-            & (100 * F.least("size", "size_b") >= similarity * F.greatest("size", "size_b"))
-            & ~F.coalesce(_apart(similarity), F.lit(False))
-            # A pair meets in one bucket only.
-            & (F.coalesce(_first_shared(), F.col("key")) == F.col("key"))
-        )
-        # Stored, so that a large bucket can be split.
-        candidates = store(left.join(wide, "node")).join(store(pivots), "key").where(possible)
-        fresh = candidates.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        fresh = store(fresh.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(fresh)
-        below, step = below + step, 3 * (below + step)
-        if fresh.isEmpty():
-            continue
-        between = store(_verified(fresh, texts, words, similarity))
-        if not between.isEmpty():
-            merged = components(store(relabel(relabel(between, "a", labels), "b", labels)))
-            labels = store(relabel(labels, "root", merged).unionByName(merged))
-            left = store(relabel(left, "root", merged))
-
-
-def _ranked(members: DataFrame) -> DataFrame:
-    """``rank``: members outside the main component numbered from 0 in their bucket, however
-    many; the others behind them all."""
-    placed = index_by_key(members.where("root != main").select("key", "node"), "key", "node", name="place")
-    placed = store(placed)
-    starts = store(placed.groupBy("key").agg(F.min("place").alias("start")))
-    ranks = placed.join(starts, "key").select("key", "node", (F.col("place") - F.col("start")).alias("rank"))
-    ranked = members.where("root != main").join(ranks, ["key", "node"])
-    rest = members.where("root = main").withColumn("rank", F.lit(_MAIN))
-    return ranked.unionByName(rest).drop("main")
+    between = store(_clustered(clusters, texts, words, similarity))
+    if between.isEmpty():
+        return labels
+    merged = components(store(relabel(relabel(between, "a", labels), "b", labels)))
+    return store(relabel(labels, "root", merged).unionByName(merged))
+
+
+def _clustered(clusters: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Links (a, b) between the members of ``clusters`` (main, node, root, size) that are outside the
+    main component and all members, each pair of a block of one with a block of the other in a task."""
+    asked = store(clusters.select(F.col("node").alias("id")).distinct())
+    wide = texts.join(asked, "id").mapInPandas(_wide(words), "node bigint, bits array<bigint>, set array<bigint>")
+    outer = F.col("root") != F.col("main")
+
+    def blocks(chosen: Column, name: str) -> Column:
+        """Enough blocks that none holds too many texts or shingles."""
+        texts, sizes = F.count_if(chosen), F.sum(F.when(chosen, F.col("size")).otherwise(0))
+        most = F.greatest(texts / BLOCK_TEXTS, sizes / BLOCK_SHINGLES, F.lit(1.0))
+        return F.ceil(most).cast("int").alias(name)
+
+    many = store(clusters.groupBy("main").agg(blocks(outer, "outers"), blocks(F.lit(True), "alls")))
+    placed = clusters.join(many, "main").join(store(wide), "node")
+    seat = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["main", "node", "root", "bits", "set"]
+    ours = placed.where(outer).select(*columns, F.lit(True).alias("outer"), seat("outers").alias("i"), every("alls").alias("j"))
+    theirs = placed.select(*columns, F.lit(False).alias("outer"), seat("alls").alias("j"), every("outers").alias("i"))
+    return ours.unionByName(theirs).groupBy("main", "i", "j").applyInPandas(_met(similarity), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -276,7 +277,7 @@ def near_duplicates(
     else:
         needed = store(buckets.select(F.col("node").alias("id")).distinct())
         texts = store(given.join(needed, "id"))
-        links = _links(buckets, texts, words, similarity, bands, rows)
+        links = _links(buckets, texts, words, similarity)
     # Rows of one id and several texts tie the sets of those texts.
     both = links.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
         own.select(F.col("node").alias("a"), F.col("root").alias("b"))

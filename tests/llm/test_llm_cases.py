@@ -40,8 +40,11 @@ def test_minhash_cases(docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_minhash_against_all_pairs(spark):
-    """Families of copies of copies, so that links form chains and buckets hold several components."""
+@pytest.mark.parametrize("block", [minhash.BLOCK_TEXTS, 5])
+def test_minhash_against_all_pairs(spark, monkeypatch, block):
+    """Families of copies of copies, so that links form chains and buckets hold several components; and
+    a large group most of whose pairs are a little below the bound."""
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", block)
     rng = random.Random(4)
     words = ["".join(rng.choices(string.ascii_lowercase, k=4)) for _ in range(400)]
     texts = []
@@ -54,6 +57,12 @@ def test_minhash_against_all_pairs(spark):
             texts.append(" ".join(copy))
             if rng.random() < 0.3:
                 base = copy
+    base = rng.choices(words, k=100)
+    for _ in range(120):
+        copy = list(base)
+        for at in rng.sample(range(100), rng.choice([5, 6, 7])):
+            copy[at] = rng.choice(words[:30])
+        texts.append(" ".join(copy))
     rows = list(enumerate(texts))
     rng.shuffle(rows)
     found = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()}
@@ -66,13 +75,13 @@ def test_minhash_against_all_pairs(spark):
                 old, new = max(label[a], label[b]), min(label[a], label[b])
                 label = [new if x == old else x for x in label]
     assert found == dict(enumerate(label))
-    assert 12 < len(set(label)) < len(texts) / 2
+    assert 60 < len(set(label)) < len(texts) - 60
 
 
 def test_wide_signatures_pass_over_texts_without_words():
     rows = pd.DataFrame({"id": [1, 1, 2, 3, 3], "text": ["a b c d", None, " ", "a b c d", ""]})
     for words in (2, 5):
-        found = pd.concat(minhash._wide(words, 32, 5)(iter([rows, rows[1:3]])))
+        found = pd.concat(minhash._wide(words)(iter([rows, rows[1:3]])))
         assert found["node"].tolist() == [1, 3] and found["bits"].iloc[0].tolist() == found["bits"].iloc[1].tolist()
 
 
