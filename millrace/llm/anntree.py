@@ -33,6 +33,8 @@ BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 2048
 RECALL = 0.95
 CALIBRATION = 200
+#: What the calibration asks of its sample above the recall wanted.
+MARGIN = 0.01
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -55,12 +57,12 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
 class Tree:
     """Centres of a hierarchical k-means, and the path of a vector through them."""
 
-    def __init__(self, points: np.ndarray, branches: int = BRANCHES, leaf: int = LEAF_SAMPLE) -> None:
+    def __init__(self, points: np.ndarray, branches: int = BRANCHES, leaf: int | None = None) -> None:
         self.centres: list[np.ndarray] = []
         self.children: list[list[int]] = []  # below 0: -1 - leaf number
         self.leaves = 0
         self.rng = np.random.default_rng(3)
-        self.root = self._grow(points, branches, leaf)
+        self.root = self._grow(points, branches, leaf or LEAF_SAMPLE)
 
     def _grow(self, points: np.ndarray, branches: int, leaf: int) -> int:
         centres, label = (None, None) if len(points) < leaf else self._means(points, branches)
@@ -97,10 +99,11 @@ class Tree:
                 todo += [(c, rows[label == i]) for i, c in enumerate(self.children[node])]
         return out
 
-    def visits(self, point: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order."""
-        queue, order, out = [(0.0, 0, self.root)], 1, []
-        while queue and len(out) < most:
+    def visits(self, point: np.ndarray, enough: int, held: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """Leaves in best-bin-first order: ``enough`` of them, and more until those visited hold
+        ``least`` vectors, by the counts ``held``."""
+        queue, order, out, many = [(0.0, 0, self.root)], 1, [], 0
+        while queue and (len(out) < enough or many < least):
             _, _, node = heapq.heappop(queue)
             while node >= 0:
                 distance = nearest(point[None], self.centres[node])[0]
@@ -111,6 +114,7 @@ class Tree:
                         order += 1
                 node = self.children[node][best]
             out.append(-1 - node)
+            many += (held or {}).get(out[-1], 0)
         return out
 
 
@@ -217,9 +221,11 @@ class Index:
         self.rows = rows = store(rows.distinct())
         seen = rows.agg(
             F.count(F.lit(1)).alias("n"),
+            F.count_distinct("id").alias("ids"),
             F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("bound"),
         ).head()
         self.n, self.bound = seen.n, seen.bound or 0.0
+        self.again = seen.n - seen.ids  # rows that bear the id of another
         place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
         sample = rows.where(place * self.n < SAMPLE * 1_000_000).select("v").toPandas()  # bounded by SAMPLE
         points = _stack(sample["v"]) if len(sample) else np.zeros((0, 1))
@@ -235,6 +241,7 @@ class Index:
 
         self.filed = store(rows.mapInPandas(file, "id bigint, v binary, leaf bigint"))
         many = self.filed.groupBy("leaf").count().collect()  # a row a leaf, whose number SAMPLE bounds
+        self.held = {r.leaf: r["count"] for r in many}
         self.blocks = {r.leaf: -(-r["count"] // BLOCK_VECTORS) for r in many}
 
     def exact(self, queries: DataFrame, k: int) -> DataFrame:
@@ -250,14 +257,15 @@ class Index:
         return _merged(self.rows.mapInPandas(run, _LIST), k)
 
     def search(self, queries: DataFrame, k: int, leaves: int) -> DataFrame:
-        """(query_id, rank, vec_id, score) from the first ``leaves`` leaves of each query."""
-        tree, blocks = self.tree, self.blocks
+        """(query_id, rank, vec_id, score) from the first ``leaves`` leaves of each query, and more where
+        those hold too few vectors for ``k`` besides its own."""
+        tree, blocks, held, least = self.tree, self.blocks, self.held, k + 1 + self.again
 
         def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 if len(frame):
                     points = _stack(frame["v"])
-                    order = [tree.visits(p, leaves) for p in _asking(points)]
+                    order = [tree.visits(p, leaves, held, least) for p in _asking(points)]
                     yield pd.DataFrame({"id": frame["id"], "v": _packed(points), "leaf": order})
 
         routed = queries.select("id", "v").mapInPandas(route, "id bigint, v binary, leaf array<bigint>")
@@ -290,7 +298,7 @@ class Index:
 
     def calibrate(self, k: int, recall: float = RECALL, queries: int = CALIBRATION) -> int:
         """The number of leaves, widened one by one until a bounded sample of rows, asked as
-        queries, finds at least ``recall`` of its true neighbours."""
+        queries, finds ``recall`` of its true neighbours and a margin, as it is only a sample."""
         place = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(1_000_000))
         asked = store(self.rows.where(place * self.n < queries * 1_000_000))
         truth = self.exact(asked, k).select("query_id", F.col("vec_id").alias("id"))
@@ -302,15 +310,15 @@ class Index:
         } if len(sample) else {}
         needed = np.sort([visit[q][leaf] for q, leaf in zip(found["query_id"], found["leaf"], strict=True)])
         # Without a sample every leaf is visited.
-        return int(needed[int(np.ceil(recall * len(needed))) - 1]) if len(needed) else self.tree.leaves
+        return int(needed[int(np.ceil(min(1, recall + MARGIN) * len(needed))) - 1]) if len(needed) else self.tree.leaves
 
 
 def neighbours(rows: DataFrame, queries: DataFrame, k: int, recall: float = RECALL) -> DataFrame:
     """The ``k`` nearest found for each of ``queries``, which are some of the ``rows`` (see
     :func:`usable`): (query_id, rank, vec_id, score), ties to the smaller id.
 
-    A query's own id is no candidate. Rows that share an id count once, by the nearest. If there are
-    fewer candidates, all are returned when all leaves are visited; no rows give no rows.
+    A query's own id is no candidate. Rows that share an id count once, by the nearest. Fewer than ``k``
+    are returned only if there are fewer candidates; no rows give no rows.
     """
     index = Index(rows)
     return index.search(queries, k, index.calibrate(k, recall))

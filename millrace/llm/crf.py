@@ -4,6 +4,10 @@ The field labels tokens by what they look like (word shapes in a window of two
 tokens), is trained from a small labelled table of sentences, and is decoded by
 Viterbi over many chains at once in numpy. It finds what the patterns cannot
 name: secrets behind a key word, and numbers written in other ways.
+
+Every token of a text is decoded. Long texts are cut only where the best path is sure to
+pass through O whatever stands on either side, which is worked out from the scores
+around the cut, so the labels are those of the whole chain.
 """
 
 from __future__ import annotations
@@ -79,8 +83,6 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
 # --- features -------------------------------------------------------------
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
-#: Words without any of these are plain.
-_ODD = re.compile(r"[0-9=@:]+")
 #: Words that announce a secret.
 KEY_WORDS = frozenset("password passwd pwd token secret key apikey api auth bearer credential passphrase pin".split())
 WINDOW = 2
@@ -102,8 +104,21 @@ def shape(token: str) -> int:
     return 19 + (len(token) > 6) + (len(token) > 12) + 2 * (digits * 8 > len(token) * 2)
 
 
+class _Shapes(dict):
+    """Shapes of tokens met before, up to a fixed number."""
+
+    def __missing__(self, token: str) -> int:
+        value = shape(token)
+        if len(self) < 500_000:
+            self[token] = value
+        return value
+
+
+_shapes = _Shapes()
+
+
 def shapes(tokens: list[str]) -> np.ndarray:
-    return np.fromiter(map(shape, tokens), np.int64, len(tokens))
+    return np.fromiter(map(_shapes.__getitem__, tokens), np.int64, len(tokens))
 
 
 def emissions(marks: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -114,7 +129,9 @@ def emissions(marks: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 #: Tokens, with padding, that are decoded at once.
-_CELLS = 1 << 20
+_CELLS = 1 << 17
+#: Chains are cut about every so many tokens, where ``_AROUND`` tokens on each side settle the label.
+LONG, _AROUND = 1024, 8
 
 # --- the field ------------------------------------------------------------
 
@@ -133,39 +150,81 @@ class Field:
         self.moves = np.where(_ALLOWED, moves, -1e9)
 
     def viterbi(self, chains: list[np.ndarray]) -> list[np.ndarray]:
-        """The likeliest labels of each chain of shapes; chains of like lengths are decoded side by side."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(chains)
-        order = np.argsort([-len(c) for c in chains], kind="stable")
+        """The likeliest labels of each chain of shapes. Pieces of like lengths are decoded side by side."""
+        pieces, owner = [], []
+        for number, chain in enumerate(chains):
+            scores = emissions(chain, self.weights)
+            cuts = [0, *self.cuts(scores), len(chain)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                # A piece before a cut ends in O, and the next one begins after an O.
+                pieces.append((scores[a:b], a > 0, b < len(chain)))
+                owner.append(number)
+        labels: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pieces)
+        order = np.argsort([-len(p[0]) for p in pieces], kind="stable")
         at = 0
         while at < len(order):
-            some = order[at : at + max(1, _CELLS // len(chains[order[at]]))]
-            for i, labels in zip(some, self._decode([chains[i] for i in some]), strict=True):
-                out[i] = labels
+            some = order[at : at + max(1, _CELLS // max(len(pieces[order[at]][0]), 1))]
+            for i, found in zip(some, self._decode([pieces[i] for i in some]), strict=True):
+                labels[i] = found
             at += len(some)
-        return out
-
-    def _decode(self, chains: list[np.ndarray]) -> list[np.ndarray]:
-        """Chains from the longest to the shortest."""
-        order = np.arange(len(chains))
-        lengths = np.array([len(chains[i]) for i in order])
-        longest = int(lengths[0])
-        scores = [emissions(chains[i], self.weights) for i in order]
-        back = np.zeros((longest, len(order), len(LABELS)), np.int8)
-        best = np.stack([s[0] for s in scores]) + np.where(_START, 0, -1e9)
-        alive = len(order)
+        out: list[list[np.ndarray]] = [[] for _ in chains]
+        for number, found in zip(owner, labels, strict=True):
+            out[number].append(found)
+        return [np.concatenate(parts) for parts in out]
+
+    def cuts(self, scores: np.ndarray) -> list[int]:
+        """Places of a long chain behind a token that is O on the best path, whatever the labels are
+        some tokens before and after it."""
+        n = len(scores)
+        if n <= LONG:
+            return []
+        aims = np.arange(LONG, n - LONG // 2, LONG)
+        tried = (aims[:, None] + 8 * np.arange(32)).ravel()
+        tried = tried[tried < n - _AROUND]
+        sure = tried[self._settled(scores, tried)]
+        at = np.searchsorted(sure, aims)
+        found = {int(sure[i]) for i, aim in zip(at, aims, strict=True) if i < len(sure) and sure[i] < aim + 256}
+        return [c + 1 for c in sorted(found)]
+
+    def _settled(self, scores: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        def through(first: int, last: int) -> np.ndarray:
+            """The best way from each label before the first token to each of the last token's."""
+            ways = self.moves + scores[centres + first][:, None, :]
+            for t in range(first + 1, last + 1):
+                ways = (ways[:, :, :, None] + self.moves).max(axis=2) + scores[centres + t][:, None, :]
+            return ways
+
+        before, after = through(1 - _AROUND, 0), through(1, _AROUND)
+        plain = before[:, :, :1] + after[:, :1, :]
+        other = (before[:, :, 1:, None] + after[:, None, 1:, :]).max(axis=2)
+        return (plain > other + 1e-6).all(axis=(1, 2))
+
+    def _decode(self, pieces: list[tuple[np.ndarray, bool, bool]]) -> list[np.ndarray]:
+        """Labels of pieces (scores, after an O, ends in O), from the longest to the shortest."""
+        lengths = np.array([len(p[0]) for p in pieces])
+        longest, many = int(lengths[0]), int((lengths > 0).sum())
+        scores = np.zeros((many, longest, len(LABELS)))
+        for i in range(many):
+            scores[i, : lengths[i]] = pieces[i][0]
+        follows = np.array([p[1] for p in pieces[:many]], bool)
+        back = np.zeros((longest, many, len(LABELS)), np.int8)
+        ends = np.zeros((many, len(LABELS)))
+        best = np.where(follows[:, None], self.moves[0], np.where(_START, 0, -1e9)) + scores[:, :1].sum(axis=1)
+        alive = many
         for t in range(1, longest):
-            alive = int(np.searchsorted(-lengths, -t, side="left"))
+            left = int(np.searchsorted(-lengths[:many], -t, side="left"))
+            ends[left:alive], alive = best[left:alive], left
             step = best[:alive, :, None] + self.moves
             back[t, :alive] = step.argmax(axis=1)
-            best[:alive] = step.max(axis=1) + np.stack([scores[i][t] for i in range(alive)])
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(order)
-        for place, i in enumerate(order):
-            labels = np.zeros(lengths[place], np.int64)
-            labels[-1] = best[place].argmax()
-            for t in range(lengths[place] - 1, 0, -1):
-                labels[t - 1] = back[t, place, labels[t]]
-            out[i] = labels
-        return out
+            best = step.max(axis=1) + scores[:alive, t]
+        ends[:alive] = best[:alive]
+        labels = np.zeros((many, longest), np.int8)
+        last = np.where([p[2] for p in pieces[:many]], 0, ends.argmax(axis=1)) if many else np.zeros(0, int)
+        labels[np.arange(many), lengths[:many] - 1] = last
+        for t in range(longest - 1, 0, -1):
+            alive = int(np.searchsorted(-lengths[:many], -t, side="left"))
+            labels[:alive, t - 1] = back[t, np.arange(alive), labels[:alive, t]]
+        return [labels[i, : lengths[i]] if i < many else np.zeros(0, np.int8) for i in range(len(pieces))]
 
 
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
@@ -253,62 +312,19 @@ def default_field() -> Field:
 # --- finding --------------------------------------------------------------
 
 
-def chains(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the stretches that are decoded.
-
-    A chain is cut where eight words in a row are plain: labels depend on shapes within a
-    window of two, and among plain words alone the field never leaves O (tested).
-    """
-    start = end = None
-    for odd in _ODD.finditer(text):
-        a, b = _words_back(text, odd.start(), 4), _words_on(text, odd.end(), 4)
-        if end is not None and a <= end:
-            end = max(end, b)
-        else:
-            if start is not None:
-                yield start, end
-            start, end = a, b
-    if start is not None:
-        yield start, end
-
-
-def _words_back(text: str, at: int, n: int) -> int:
-    for _ in range(n + 1):
-        at = max(text.rfind(" ", 0, at), text.rfind("\n", 0, at))
-        if at < 0:
-            return 0
-    return at + 1
-
-
-_GAP = re.compile(r"\s+")
-
-
-def _words_on(text: str, at: int, n: int) -> int:
-    for _ in range(n + 1):
-        gap = _GAP.search(text, at)
-        if gap is None:
-            return len(text)
-        at = gap.end()
-    return at
-
-
 def added_spans(texts: list[str], found: list[list[tuple[str, int, int]]], field: Field) -> list[list[tuple[str, int, int]]]:
     """Spans of the field that touch none of the ``found`` ones."""
-    jobs = [(i, a, b) for i, t in enumerate(texts) for a, b in chains(t)]
-    tokens = [[(m.group(), *m.span()) for m in _TOKEN.finditer(texts[i], a, b)] for i, a, b in jobs]
-    jobs, tokens = [j for j, t in zip(jobs, tokens, strict=True) if t], [t for t in tokens if t]
-    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    for (i, _, _), chain, labels in zip(jobs, tokens, field.viterbi([shapes([w for w, _, _ in t]) for t in tokens]), strict=True):
+    out: list[list[tuple[str, int, int]]] = []
+    for text, known, labels in zip(texts, found, field.viterbi([shapes(_TOKEN.findall(t)) for t in texts]), strict=True):
         spans: list[list] = []
-        for (_, a, b), label in zip(chain, labels.tolist(), strict=True):
-            name = LABELS[label]
-            if name[0] == "B":
-                spans.append([name[2:], a, b])
-            elif name[0] == "I":
-                spans[-1][2] = b
-        out[i] += [
-            (k, a, b) for k, a, b in spans if not any(a < y and x < b for _, x, y in found[i])
-        ]
+        if labels.any():
+            for token, label in zip(_TOKEN.finditer(text), labels.tolist(), strict=True):
+                name = LABELS[label]
+                if name[0] == "B":
+                    spans.append([name[2:], *token.span()])
+                elif name[0] == "I":
+                    spans[-1][2] = token.end()
+        out.append([(k, a, b) for k, a, b in spans if not any(a < y and x < b for _, x, y in known)])
     return out
 
 

@@ -35,18 +35,26 @@ END_ID = 1
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which this vocabulary splits a text before it merges bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 #: A run of white space that goes on over the space at which a text is split.
 _LONG_GAP = re.compile(r"\s (?:\s|$)")
 
 
+def vocabulary(name: str, folder: str | None = None) -> str:
+    """The place of a vocabulary file, on the machine that asks: in the installed package of public
+    tokenizers, or in ``folder``."""
+    if folder is not None:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @cache
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-    return loaded
+    return Tokenizer.from_file(path)
 
 
 @cache
@@ -63,14 +71,16 @@ class Encoder:
 
     The tokenizer never joins a word with what stands before its leading space, so
     texts are split there and equal words are encoded once, while they fit into
-    dictionaries of fixed size. Texts with longer gaps are encoded whole. Single words
-    go through the same vocabulary in its other form, which starts up faster on
+    dictionaries of fixed size. Texts with longer gaps, and those that hold the string of one of
+    the tokenizer's added tokens, are encoded whole. Single words go through the same vocabulary in its other form, which starts up faster on
     short strings; the ids are the same.
     """
 
     def __init__(self, path: str, ranks: str) -> None:
         self.tokenizer = _tokenizer(path)
         self.ranked = _ranked(ranks, PATTERN)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_LONG_GAP.pattern, *map(re.escape, added)]))
         self.known: dict[str, bytes] = {}  # words after a space
         self.first: dict[str, bytes] = {}  # words at the start of a text
 
@@ -90,7 +100,7 @@ class Encoder:
             self.first = {}
         split, fresh = [], set()
         for text in texts:
-            words = None if _LONG_GAP.search(text) else text.split(" ")
+            words = None if self.whole.search(text) else text.split(" ")
             split.append(words)
             if words:
                 if words[0] not in self.first:
@@ -110,12 +120,12 @@ def _powers(length: int) -> list[int]:
     return [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
 
 
-def _pieces(path: str, ranks: str, window: int, end_id: int):
+def _pieces(folder: str | None, window: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, ranks)
-        for frame, texts in text_blocks(frames, "text", 1 << 19):
+        encoder = Encoder(vocabulary(TOKENIZER, folder), vocabulary(RANKS, folder))
+        for frame, texts in text_blocks(frames, "text"):
             out = []
             for row, ids in zip(frame["row"], encoder.encode(texts), strict=True):
                 ids = memoryview(ids + end)
@@ -234,7 +244,7 @@ class Plan:
 
 def pack(
     docs: DataFrame,
-    folder: str,
+    folder: str | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     window: int = WINDOW,
@@ -244,7 +254,8 @@ def pack(
     id of every document once, in sequences of at most ``window`` (a power of two) tokens.
 
     A document is the ids of its text, then ``end_id``; null and empty texts are
-    that id alone. ``folder`` holds the vocabulary files. Every sequence has ``window`` tokens or, at the end, a power of two, so
+    that id alone. ``folder`` holds the vocabulary files, if not the installed package. A special
+    token's string in a text is that token, as the tokenizer has it. Every sequence has ``window`` tokens or, at the end, a power of two, so
     none needs padding. Rows that share a doc_id, or have none, are documents of
     their own. Other columns are ignored; no rows give no rows.
     """
@@ -253,7 +264,7 @@ def pack(
     given = docs.select(F.col(doc_id).cast("string").alias("row"), F.col(text).alias("text"))
     pieces = store(
         given.mapInPandas(
-            _pieces(f"{folder}/{TOKENIZER}", f"{folder}/{RANKS}", window, end_id),
+            _pieces(folder, window, end_id),
             "row string, start bigint, length bigint, crc bigint, total bigint, crcs array<bigint>",
         )
     )

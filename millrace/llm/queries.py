@@ -9,7 +9,7 @@ from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packin
 from millrace.llm.shared import held_out
 from millrace.operators.sizing import workspace
 
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = None  # a folder of vocabulary files; None: those of the installed package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

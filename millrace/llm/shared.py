@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 BLOCK_ROWS = 4096
 
 

@@ -30,7 +30,7 @@ V1_FIELDS = "URL IP-address Archive-date Content-type Archive-length"
 V2_FIELDS = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
-_RECORD = "url string, ip string, date string, mime string, block binary"
+_RECORD = "url string, ip string, date string, mime string, block binary, whole boolean"
 
 
 # --- ARC ------------------------------------------------------------------
@@ -54,30 +54,46 @@ def arc_record(version: int, url: str, ip: str, date: str, mime: str, block: byt
     return b"\n" + line.encode("utf-8", "surrogatepass") + b"\n" + block
 
 
-def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, str, bytes]]:
-    """(url, ip, date, mime, block) of every record but the version block.
+def _declared(line: bytes, names: list[str]) -> dict[str, str] | None:
+    """The fields of a header line, split from the right, as a URL may hold spaces; none if it has
+    too few or a length that is no number."""
+    parts = line.rstrip(b"\r").decode("utf-8", "surrogatepass" if _is_utf8(line) else "replace").rsplit(" ", len(names) - 1)
+    found = dict(zip(names, parts, strict=False))
+    return found if len(parts) == len(names) and found.get("Archive-length", "").isdecimal() else None
 
-    Lines are split from the right, as a URL may hold spaces. A file that ends
-    inside a record gives what it has of it.
+
+def _is_utf8(line: bytes) -> bool:
+    try:
+        line.decode("utf-8", "surrogatepass")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, str, bytes, bool]]:
+    """(url, ip, date, mime, block, whole) of every record but the version block.
+
+    A file without a readable version block has no records. One that ends inside a block gives what
+    it has of it, and ``whole`` is false. Behind a header line that is cut off, lacks fields or has
+    no length, records cannot be told apart, so the file ends there.
     """
-    end = data.index(b"\n")
-    length = int(data[:end].rsplit(b" ", 1)[1])
-    body = data[end + 1 : end + 1 + length].split(b"\n")
-    names = body[1].decode("ascii").split(" ")
-    at = end + 1 + length
+    top, _, rest = data.partition(b"\n")
+    length = top.rsplit(b" ", 1)[-1].strip()
+    lines = rest[: int(length)].split(b"\n") if length.isdigit() and len(length) < 10 else []
+    names = lines[1].decode("ascii", "replace").strip().split(" ") if len(lines) > 1 else []
+    if not {"URL", "IP-address", "Archive-date", "Content-type", "Archive-length"} <= set(names):
+        return
+    at = len(top) + 1 + int(length)
     while True:
         while data[at : at + 1] in (b"\n", b"\r"):
             at += 1
-        if at >= len(data):
+        end = data.find(b"\n", at)
+        found = _declared(data[at:end], names) if end >= 0 else None
+        if found is None:
             return
-        end = data.index(b"\n", at)
-        line = data[at:end].rstrip(b"\r").decode("utf-8", "surrogatepass").rsplit(" ", len(names) - 1)
-        found = dict(zip(names, line, strict=True))
         length = int(found["Archive-length"])
-        yield (
-            found["URL"], found["IP-address"], found["Archive-date"], found["Content-type"],
-            data[end + 1 : end + 1 + length],
-        )
+        block = data[end + 1 : end + 1 + length]
+        yield found["URL"], found["IP-address"], found["Archive-date"], found["Content-type"], block, len(block) == length
         at = end + 1 + length
 
 
@@ -94,9 +110,11 @@ def _files(records: Iterator[bytes], head: bytes) -> Iterator[bytes]:
 
 
 def _write(files: DataFrame, path: str) -> None:
-    """One file a row. The text writer takes the bytes as they are and adds one line break."""
+    """One file a row. The text writer takes the bytes as they are and adds one line break. At its
+    default level, gzip costs three times what all the rest does."""
     text = files.select(F.col("file").cast("string").alias("value"))
-    text.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    gzip = {"maxRecordsPerFile": 1, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    text.write.options(**gzip).text(path)
 
 
 def write_arc(records: DataFrame, path: str, version: int = 1) -> None:
@@ -129,11 +147,11 @@ def unzip(data: bytes) -> bytes:
 
 
 def _batched(rows: Iterator[tuple], columns: list[str], most: int = FILE_BYTES) -> Iterator[pd.DataFrame]:
-    """Frames of rows whose last field (bytes) sums up to about ``most``."""
-    out, size = [], 0
+    """Frames of rows whose field ``block`` sums up to about ``most``."""
+    out, size, block = [], 0, columns.index("block")
     for row in rows:
         out.append(row)
-        size += len(row[-1] or b"")
+        size += len(row[block] or b"")
         if size > most or len(out) >= 4096:
             yield pd.DataFrame(out, columns=columns)
             out, size = [], 0
@@ -142,11 +160,12 @@ def _batched(rows: Iterator[tuple], columns: list[str], most: int = FILE_BYTES)
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records (url, ip, date, mime, block) of ARC files of either version, gzipped or not."""
+    """The records (url, ip, date, mime, block, whole) of ARC files of either version, gzipped or not;
+    damaged files as :func:`parse_arc` has it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (r for f in frames for data in f["content"] for r in parse_arc(unzip(data)))
-        yield from _batched(rows, ["url", "ip", "date", "mime", "block"])
+        yield from _batched(rows, ["url", "ip", "date", "mime", "block", "whole"])
 
     return _archives(spark, path).mapInPandas(run, _RECORD)
 
@@ -215,7 +234,8 @@ def arc_to_warc(arc: DataFrame, key: str, path: str) -> None:
     ``key`` is the HTTP header that names a record with a number. Of records with
     equal payloads of at least 100 bytes the one with the smallest number becomes a
     response and the others revisits of it, without payload. Records without a
-    number are responses. Records that repeat number and payload fare alike.
+    number are responses. Records that repeat number and payload fare alike. A record cut off in the
+    ARC file is marked as truncated.
     """
 
     def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,27 +247,43 @@ def arc_to_warc(arc: DataFrame, key: str, path: str) -> None:
             found = pd.DataFrame(out, columns=["key", "digest", "size"])
             yield pd.concat([found, frame.reset_index(drop=True)], axis=1)
 
-    records = store(arc.mapInPandas(digests, f"key string, digest string, size bigint, {_RECORD}"))
-    large = records.where(F.col("size") >= LEAST_REVISIT).select(F.col("key").cast("bigint").alias("key"), "digest")
-    first = store(large.groupBy("digest").agg(F.min("key").alias("first")))
-    keys = large.where("key IS NOT NULL").distinct()
-    again = store(keys.join(first, "digest").where("key != first").select(F.col("key").cast("string").alias("key"), "digest", "first"))
+    records = arc.mapInPandas(digests, f"key string, digest string, size bigint, {_RECORD}")
+    # Stored without blocks: these are read once more from the archive.
+    narrow = store(records.select(F.col("key").cast("bigint").alias("key"), "digest", "size", "url", "date"))
+    large = narrow.where(F.col("size") >= LEAST_REVISIT)
+    named = large.where("key IS NOT NULL")
+    first = store(named.groupBy("digest").agg(F.min(F.struct("key", "url", "date")).alias("first")))
+    keys = named.select("key", "digest").distinct()
+    again = store(keys.join(first, "digest").where("key != first.key").select(F.col("key").cast("string").alias("key"), "digest", "first"))
     marked = records.join(again, ["key", "digest"], "left")
 
     def convert(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[bytes]:
             for frame in frames:
                 for r in frame.itertuples(index=False):
-                    yield _converted(r.key, r.digest, r.first, r.url, r.ip, r.date, r.block)
+                    first = None if r.first_key is None else (r.first_key, r.first_url, r.first_date)
+                    yield _converted(r.key, r.digest, first, r.url, r.ip, r.date, r.block, r.whole)
 
-        for file in _files(rows(), b""):
+        for file in _files(rows(), _info()):
             yield pd.DataFrame({"file": [file]})
 
-    columns = ["key", "digest", F.col("first").cast("string").alias("first"), "url", "ip", "date", "block"]
+    firsts = [F.col(f"first.{c}").cast("string").alias(f"first_{c}") for c in ("key", "url", "date")]
+    columns = ["key", "digest", *firsts, "url", "ip", "date", "block", "whole"]
     _write(marked.select(*columns).mapInPandas(convert, "file binary"), path)
 
 
-def _converted(key, digest, first, url, ip, date, block) -> bytes:
+def _info() -> bytes:
+    """The record that says what a file is."""
+    block = b"software: millrace\r\nformat: WARC File Format 1.1\r\ndescription: converted from ARC\r\n"
+    when = warc_date(DATE)
+    headers = [
+        ("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id("warcinfo:", when, hashlib.sha256(block).hexdigest(), "")),
+        ("WARC-Date", when), ("Content-Type", "application/warc-fields"),
+    ]
+    return warc_record(headers, block)
+
+
+def _converted(key, digest, first, url, ip, date, block, whole=True) -> bytes:
     when = warc_date(date)
     head, _ = split_http(block)
     headers = [
@@ -260,8 +296,17 @@ def _converted(key, digest, first, url, ip, date, block) -> bytes:
         ("Content-Type", "application/http; msgtype=response"),
     ]
     if first is not None:
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To-Number", first)]
+        number, first_url, first_date = first
+        headers += [
+            ("WARC-Profile", PROFILE),
+            ("WARC-Refers-To", record_id(first_url, warc_date(first_date), digest, number)),
+            ("WARC-Refers-To-Target-URI", first_url),
+            ("WARC-Refers-To-Date", warc_date(first_date)),
+            ("WARC-Refers-To-Number", number),
+        ]
         block = head
+    if not whole:
+        headers.append(("WARC-Truncated", "unspecified"))
     headers.append(("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"))
     return warc_record(headers, block)
 
@@ -280,6 +325,8 @@ def read_warc(spark: SparkSession, path: str, key: str) -> DataFrame:
                 for head, block in parse_warc(unzip(data)):
                     http, payload = split_http(block)
                     kind = header(head, "WARC-Type")
+                    if kind == "warcinfo":
+                        continue
                     if kind == "revisit":
                         size, digest = int(header(http, "Content-Length") or 0), header(head, "WARC-Payload-Digest")[7:]
                     else:
@@ -318,7 +365,7 @@ def page_records(pages: DataFrame, key: str, page_id: str = "page_id", url: str
                 for number, html in zip(frame["key"], frame["html"], strict=True)
             ]
             yield pd.DataFrame(
-                {"url": frame["url"], "ip": "0.0.0.0", "date": DATE, "mime": "text/html", "block": blocks}
+                {"url": frame["url"], "ip": "0.0.0.0", "date": DATE, "mime": "text/html", "block": blocks, "whole": True}
             )
 
     return given.mapInPandas(run, _RECORD)

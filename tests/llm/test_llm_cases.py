@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import anntree, crf, decontaminate, hyperlang, minhash, packing, toxicity, urlfilter, warc, wrapper
-from millrace.llm.queries import TOKENIZERS, URL_RULES
+from millrace.llm.queries import URL_RULES
 
 LONG = "word " * 30_000 + "end"
 TEXTS = [
@@ -161,23 +161,28 @@ def test_bundles_are_sums_of_bound_vectors():
 
 
 def test_encoder_equals_the_tokenizer():
-    encoder = packing.Encoder(f"{TOKENIZERS}/{packing.TOKENIZER}", f"{TOKENIZERS}/{packing.RANKS}")
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encoder = packing.Encoder(packing.vocabulary(packing.TOKENIZER), packing.vocabulary(packing.RANKS))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenizer.encode("a<|endoftext|>b c", add_special_tokens=False).ids[1] == 50256
     rng = random.Random(1)
-    texts = ["", " ", "a  b", "a\n\n b \n c", "  x", "x  ", "\n", "it's 12 3.4 <|endoftext|> z", "x\x1c y", "a\0 b", "\u00e9 \u4f60\u597d  \U0001f600"]
+    texts = ["", " ", "a  b", "a\n\n b \n c", "  x", "x  ", "\n", "it's 12 3.4 <|endoftext|> z", "<|endoftext|>", "a<|endoftext|>b c <|endoftext|>", "<|endoftext", "x <| endoftext|>", "x\x1c y", "a\0 b", "\u00e9 \u4f60\u597d  \U0001f600"]
     texts += ["".join(rng.choice("ab' \n\t1.é\u3000") for _ in range(30)) for _ in range(300)]
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_packing_cases(docs):
-    rows = packing.pack(docs, TOKENIZERS).collect()
+    rows = packing.pack(docs).collect()
     by_doc = {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
     assert set(by_doc) == {i for i, _ in TEXTS}
     assert [r.doc_tokens for r in by_doc[1]] == [1] and by_doc[1][0].ids_crc32 == zlib.crc32(b"\1\0\0\0")
     assert sum(r.length for r in by_doc[6]) == 2 * by_doc[6][0].doc_tokens
-    assert packing.pack(docs.limit(0), TOKENIZERS).count() == 0
+    assert packing.pack(docs.limit(0)).count() == 0
 
 
 def test_plan_places_every_piece_without_a_gap():
@@ -218,6 +223,42 @@ def test_arc_round_trip(spark, folder, version):
     assert found["http://a b/c"].date == "2001-02-03T00:00:00Z" and found["http://x/"].date == "2001-02-03T04:05:06Z"
     assert bytes(found["http://z/"].block) == rows[3][4] and found["http://y/"].payload_bytes == 0
     assert len({r.record_id for r in found.values()}) == 4
+    heads = {}
+    for data in warc._archives(spark, f"{folder}/warc").collect():
+        for head, _ in warc.parse_warc(warc.unzip(bytes(data.content))):
+            heads.setdefault(warc.header(head, "WARC-Type"), []).append(head)
+    assert heads["warcinfo"] and len(heads["revisit"]) == 1
+    refers = {n: warc.header(heads["revisit"][0], f"WARC-Refers-To{n}") for n in ("", "-Target-URI", "-Date")}
+    assert refers == {"": found["http://x/"].record_id, "-Target-URI": "http://x/", "-Date": "2001-02-03T04:05:06Z"}
+
+
+def test_broken_archives(spark, folder):
+    """No file ends the job: what can be told apart is read, and a cut block is marked."""
+    head = warc.arc_head(1)
+    good = warc.arc_record(1, "http://a/", "1.1.1.1", "2001", "text/plain", b"0123456789")
+    cases = {
+        "empty": (b"", []), "no line break": (b"filedesc://x 0.0.0.0 2001 text/plain 12", []),
+        "no version block": (b"hello\nworld\n", []), "no length": (b"filedesc://x 0 1 text/plain many\n1 0 x\n", []),
+        "short version block": (head[:-20], []), "only a version block": (head, []),
+        "header cut off": (head + good + b"\nhttp://b/ 1.1.1.1 20", [("http://a/", 10, True)]),
+        "fields missing": (head + good + b"\nhttp://b/ 5\nabcde" + good, [("http://a/", 10, True)]),
+        "length no number": (head + good + b"\nhttp://b/ 1.1.1.1 2001 text/plain five\nabcde" + good, [("http://a/", 10, True)]),
+        "negative length": (head + b"\nhttp://b/ 1.1.1.1 2001 text/plain -5\nabcde", []),
+        "block cut off": (head + good + good[:-4], [("http://a/", 10, True), ("http://a/", 6, False)]),
+        "bytes that are no text": (head + b"\nhttp://\xff/ 1.1.1.1 2001 text/plain 1\nx" + good, [("http://\ufffd/", 1, True), ("http://a/", 10, True)]),
+    }
+    import os
+
+    os.makedirs(f"{folder}/arc")
+    for n, (data, want) in enumerate(cases.values()):
+        assert [(r[0], len(r[4]), r[5]) for r in warc.parse_arc(data)] == want
+        with open(f"{folder}/arc/{n}.arc", "wb") as file:
+            file.write(data)
+    read = warc.read_arc(spark, f"{folder}/arc")
+    assert read.count() == sum(len(want) for _, want in cases.values())
+    warc.arc_to_warc(read, "X-Page-Id", f"{folder}/warc")
+    heads = [h for d in warc._archives(spark, f"{folder}/warc").collect() for h, _ in warc.parse_warc(warc.unzip(bytes(d.content)))]
+    assert sum(warc.header(h, "WARC-Truncated") is not None for h in heads) == 1
 
 
 def test_page_archive_cases(spark, folder):
@@ -248,6 +289,41 @@ def test_unusable_vectors_take_no_part(spark):
     assert anntree.neighbours(empty, empty, 20).count() == 0
 
 
+def test_search_through_many_leaves(spark, monkeypatch):
+    """Recall against brute force where a query visits a part of the leaves, in random and in skewed layouts."""
+    monkeypatch.setattr(anntree, "LEAF_SAMPLE", 60)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((25, 12)) * 3
+    vectors = centres[rng.integers(0, 25, 2000)] + rng.standard_normal((2000, 12))
+    rows = anntree.usable(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>"))
+    index = anntree.Index(rows)
+    leaves = index.calibrate(20)
+    assert index.tree.leaves > 30 and leaves < index.tree.leaves / 2
+    found = {}
+    for r in index.search(rows.where("id % 20 = 0"), 20, leaves).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q, listed in found.items():
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(set(listed) & set(np.argsort(-scores)[:20].tolist()))
+    assert len(found) == 100 and all(len(x) == 20 for x in found.values())
+    assert hits / 2000 >= 0.93
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lists_are_full_beside_dense_clusters(spark, monkeypatch, seed):
+    """A few dense clusters set the calibration; eight outliers lie in leaves of their own."""
+    monkeypatch.setattr(anntree, "LEAF_SAMPLE", 40)
+    rng = np.random.default_rng(seed)
+    dense = rng.standard_normal((4, 6))[rng.integers(0, 4, 800)] + 0.001 * rng.standard_normal((800, 6))
+    vectors = np.concatenate([dense, 50 * rng.standard_normal((8, 6))])
+    ids = [*range(1, 801), *range(820, 980, 20)]
+    rows = anntree.usable(spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id bigint, embedding array<double>"))
+    many = anntree.neighbours(rows, rows.where("id % 20 = 0"), 20).groupBy("query_id").count().collect()
+    assert len(many) == 48 and all(r["count"] == 20 for r in many)
+
+
 def test_toxicity_finds_the_sentence(spark):
     rng = random.Random(0)
     words = ["".join(rng.choices(string.ascii_lowercase, k=3)) for _ in range(80)]
@@ -334,6 +410,37 @@ def test_viterbi_against_all_paths():
     assert not field.viterbi([plain])[0].any()
 
 
+def test_long_chains_are_cut_where_nothing_changes(monkeypatch):
+    """Chains of every shape, odd ones in clusters, decoded in pieces and whole."""
+    field, rng = crf.default_field(), np.random.default_rng(1)
+    chains = [np.where(rng.random(n) < 0.85, rng.choice([13, 13, 13, 6, 12], n), rng.integers(1, crf.N_SHAPES, n)) for n in (0, 1, 40, 700, 2500, 6000)]
+    chains += [rng.integers(1, crf.N_SHAPES, 3000), np.full(2000, 13)]
+    monkeypatch.setattr(crf, "LONG", 1 << 30)
+    whole = field.viterbi(chains)
+    for long in (64, 300):
+        monkeypatch.setattr(crf, "LONG", long)
+        assert len(field.cuts(crf.emissions(chains[5], field.weights))) > 3000 / long
+        for a, b in zip(whole, field.viterbi(chains), strict=True):
+            assert a.tolist() == b.tolist()
+    assert [len(x) for x in whole] == [len(c) for c in chains] and whole[5].any()
+
+
+@pytest.mark.parametrize(("text", "span"), [
+    ('a token "QWERTYUIOP" here', "QWERTYUIOP"), ("tel ５５５-８６７-５３０９ now", "５５５-８６７-５３０９"), ("my secret key is QWERTY-ASDF and", "QWERTY-ASDF"),
+])
+def test_whole_texts_are_decoded(text, span):
+    """Also where no ASCII digit or mark of assignment stands near: as the field labels all tokens."""
+    field = crf.default_field()
+    marks = crf.shapes(crf._TOKEN.findall(text))
+    tokens = [m.span() for m in crf._TOKEN.finditer(text)]
+    inside = [t for t, label in zip(tokens, field.viterbi([marks])[0], strict=True) if label]
+    spans = crf.added_spans([text, "plain words"], [[], []], field)
+    assert spans[1] == [] and (spans[0] != []) == bool(inside)
+    assert [(a, b) for _, a, b in spans[0]] == ([(inside[0][0], inside[-1][1])] if inside else [])
+    if inside:
+        assert text[inside[0][0] : inside[-1][1]] in span or span in text[inside[0][0] : inside[-1][1]]
+
+
 def test_personal_data_cases(spark, docs):
     texts = [(1, "mail a.b@c.org, +1 (288) 555-5549; password=b7db7aa4a5fcc78305 ok"), (2, None), (3, ""), (1, "x" * 100_000 + " 10.0.0.1")]
     df = spark.createDataFrame([(*t, "z") for t in texts], "doc_id bigint, text string, base string")
@@ -373,7 +480,7 @@ def test_wrapper_cases(spark):
 ])
 def test_text_after_elements_that_are_not_read(part):
     page = f"<html><body><article><p>before</p>{part}<p>after</p></article></body></html>"
-    assert wrapper.main_text(page, None, frozenset()) == "before\nafter"
+    assert wrapper.main_text(*wrapper.observe(page, None)[:2]) == "before\nafter"
 
 
 def test_alignment_decides_on_marked_pages_too(spark):
@@ -407,12 +514,95 @@ def test_alignment_decides_on_marked_pages_too(spark):
     ("<div class='site-header'>no</div><div class='ad-300x250'>no</div><div class='share-price'>a</div>", "a"),
 ])
 def test_names_of_content_are_not_furniture(page, text):
-    found = wrapper.main_text(page, None, frozenset())
+    found = wrapper.main_text(*wrapper.observe(page, None)[:2])
     assert found == text.replace("|", "\n") if "|" in text else found.replace("\n", " ") == text
 
 
 def test_alignment_keeps_order():
     a, b = wrapper.parse("<ul><li>1<li>2</ul><p>x"), wrapper.parse("<ul><li>1</ul><div>new</div><p>x")
     matched = wrapper.align(a, b)
-    same = wrapper.constant_nodes(a, b)
+    same = wrapper.observe("<ul><li>1</ul><div>new</div><p>x", a)[2]
     assert len(same) == 2 and len(matched) == 6
+
+
+def plain_weight(a, b):
+    """Simple tree matching by its definition; equal texts count twice."""
+    if a.tag != b.tag or a.label != b.label:
+        return 0
+    table = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children, 1):
+        for j, y in enumerate(b.children, 1):
+            table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + plain_weight(x, y))
+    return 1 + (a.tag == "#" and a.text == b.text) + table[-1][-1]
+
+
+def test_alignment_against_plain_tree_matching():
+    rng = random.Random(31)
+
+    def some(depth):
+        parts = []
+        for _ in range(rng.randrange(0, 5)):
+            if depth == 0 or rng.random() < 0.3:
+                parts.append(rng.choice(["one ", "two ", "three "]))
+            else:
+                tag = rng.choice(["div", "span", "b"])
+                parts.append(f"<{tag}>{some(depth - 1)}</{tag}>")
+        return "".join(parts)
+
+    for _ in range(300):
+        a, b = wrapper.parse(some(3)), wrapper.parse(some(3))
+        matched = wrapper.align(a, b)
+        nodes, todo = {}, [a]
+        while todo:
+            node = todo.pop()
+            nodes[node.number] = node
+            todo += node.children
+        weight = sum(1 + (n.tag == "#" and n.text == matched[k].text) for k, n in nodes.items() if k in matched)
+        assert weight == plain_weight(a, b)
+        assert all(nodes[k].tag == m.tag and nodes[k].label == m.label for k, m in matched.items())
+        assert len({m.number for m in matched.values()}) == len(matched)
+
+
+def test_long_lists_and_deep_notices(spark):
+    items = lambda n: "".join(f"<li><a>item {i} of {n}</a> text</li>" for i in range(n))
+    import time
+
+    began = time.perf_counter()
+    a, b = wrapper.parse(f"<p>top</p><ul>{items(20_000)}</ul><p>end</p>"), wrapper.parse(f"<p>top</p><ul>{items(17_000)}</ul><p>end</p>")
+    matched = wrapper.align(a, b)
+    assert len(matched) > 4 * 17_000 and time.perf_counter() - began < 60
+    deep = lambda n: "<div>" * 70 + "<p>Site-wide notice</p>" + "</div>" * 70 + f"<div><p>Own story {n} of many words</p></div>"
+    pages = spark.createDataFrame([(n, f"http://h/{n}", f"<body>{deep(n)}</body>") for n in range(5)], "page_id bigint, url string, html string")
+    assert sorted(r.text for r in wrapper.extract(pages).collect()) == [f"Own story {n} of many words" for n in range(5)]
+
+
+def test_alignment_alone_removes_furniture(spark, monkeypatch):
+    """On the given pages, without one rule on tags or names: what all pages of a host have goes."""
+    import os
+
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    rows = spark.read.parquet(path).collect()
+    hosts = {}
+    for r in rows:
+        hosts.setdefault(r.url.split("/")[2], []).append(r.html or "")
+    monkeypatch.setattr(wrapper, "_furniture", lambda node, inside: node.tag in wrapper.UNREAD and node.ended)
+    monkeypatch.setattr(wrapper, "_articles", lambda root: [])
+    checked = 0
+    for pages in hosts.values():
+        if len(pages) < 6:
+            continue
+        reference = wrapper.parse(pages[0])
+        seen = [wrapper.observe(p, reference) for p in pages]
+        votes = {}
+        for _, _, same in seen:
+            for n in same:
+                votes[n] = votes.get(n, 0) + 1
+        template = frozenset(n for n, v in votes.items() if v >= len(pages) / 2)
+        constant = {wrapper.clean(t.text) for t in wrapper._texts(reference) if t.number in template}
+        for marked, events, _ in seen[1:]:
+            whole, cut = wrapper.main_text(marked, events), wrapper.main_text(marked, events, template, template, True)
+            assert len(cut) <= len(whole)
+            checked += sum(c in whole.split("\n") and c not in cut.split("\n") for c in constant)
+    assert checked > 50

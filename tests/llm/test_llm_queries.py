@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from millrace.llm import packing
-from millrace.llm.queries import ORACLES, QUERIES, TOKENIZERS
+from millrace.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -65,7 +64,10 @@ def test_packing_holds_every_id_once(spark):
 
 
 def check_pieces(rows, docs, window=2048):
-    tokenizer = packing._tokenizer(f"{TOKENIZERS}/{packing.TOKENIZER}")
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append(r)
