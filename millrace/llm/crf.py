@@ -131,7 +131,8 @@ def emissions(marks: np.ndarray, weights: np.ndarray) -> np.ndarray:
 #: Tokens, with padding, that are decoded at once.
 _CELLS = 1 << 17
 #: Chains are cut about every so many tokens, where ``_AROUND`` tokens on each side settle the label.
-LONG, _AROUND = 1024, 8
+LONG, _AROUND = 256, 8
+_TRIES, _STRIDE = 4, 9
 
 # --- the field ------------------------------------------------------------
 
@@ -151,13 +152,18 @@ class Field:
 
     def viterbi(self, chains: list[np.ndarray]) -> list[np.ndarray]:
         """The likeliest labels of each chain of shapes. Pieces of like lengths are decoded side by side."""
+        # All chains in a row, with so many marks beyond an end between them that windows never meet.
+        lengths = np.array([len(c) for c in chains], np.int64)
+        starts = np.cumsum(lengths + WINDOW) - lengths - WINDOW
+        edge = np.zeros(WINDOW, np.int64)
+        row = np.concatenate([part for c in chains for part in (c, edge)]) if len(chains) else edge
+        scores = emissions(row, self.weights)
         pieces, owner = [], []
-        for number, chain in enumerate(chains):
-            scores = emissions(chain, self.weights)
-            cuts = [0, *self.cuts(scores), len(chain)]
+        for number, (start, length, inner) in enumerate(zip(starts.tolist(), lengths.tolist(), self.cuts(scores, starts, lengths), strict=True)):
+            cuts = [0, *inner, length]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 # A piece before a cut ends in O, and the next one begins after an O.
-                pieces.append((scores[a:b], a > 0, b < len(chain)))
+                pieces.append((scores[start + a : start + b], a > 0, b < length))
                 owner.append(number)
         labels: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pieces)
         order = np.argsort([-len(p[0]) for p in pieces], kind="stable")
@@ -172,19 +178,20 @@ class Field:
             out[number].append(found)
         return [np.concatenate(parts) for parts in out]
 
-    def cuts(self, scores: np.ndarray) -> list[int]:
-        """Places of a long chain behind a token that is O on the best path, whatever the labels are
-        some tokens before and after it."""
-        n = len(scores)
-        if n <= LONG:
-            return []
-        aims = np.arange(LONG, n - LONG // 2, LONG)
-        tried = (aims[:, None] + 8 * np.arange(32)).ravel()
-        tried = tried[tried < n - _AROUND]
-        sure = tried[self._settled(scores, tried)]
-        at = np.searchsorted(sure, aims)
-        found = {int(sure[i]) for i, aim in zip(at, aims, strict=True) if i < len(sure) and sure[i] < aim + 256}
-        return [c + 1 for c in sorted(found)]
+    def cuts(self, scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
+        """Places in each long chain behind a token that is O on the best path, whatever the labels are
+        some tokens before and after it. The chains lie at ``starts`` in ``scores``."""
+        aims = [np.arange(LONG, n - LONG // 2, LONG) for n in lengths.tolist()]
+        owner = np.repeat(np.arange(len(aims)), [len(a) for a in aims])
+        aim = np.concatenate([*aims, np.zeros(0, np.int64)]).astype(np.int64)
+        tried = aim[:, None] + _STRIDE * np.arange(_TRIES)
+        inside = tried < lengths[owner][:, None] - _AROUND
+        sure = np.zeros(tried.shape, bool)
+        sure[inside] = self._settled(scores, (tried + starts[owner][:, None])[inside])
+        out: list[list[int]] = [[] for _ in aims]
+        for number, place in zip(owner[sure.any(axis=1)].tolist(), tried[np.arange(len(aim)), sure.argmax(axis=1)][sure.any(axis=1)].tolist(), strict=True):
+            out[number].append(place + 1)
+        return out
 
     def _settled(self, scores: np.ndarray, centres: np.ndarray) -> np.ndarray:
         def through(first: int, last: int) -> np.ndarray:
