@@ -94,11 +94,11 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="millrace-")
 
 
-def store(df: DataFrame, path: str | None = None) -> DataFrame:
+def store(df: DataFrame, path: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared workspace and read it back: a cut in the lineage
-    that outlives executors."""
+    that outlives executors. ``codec`` compresses texts better than the session's choice."""
     path = path or workspace(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**({"compression": codec} if codec else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

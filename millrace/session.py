@@ -37,7 +37,7 @@ _shipped: set[str] = set()  # application ids
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows go to Python in batches of about this size: ten thousand long texts would not fit a worker.
-ARROW_BATCH_BYTES = 4 << 20
+ARROW_BATCH_BYTES = 2 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
