@@ -52,9 +52,10 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     """Coordinate i is the minimum, over the shingles, of the second permutation shifted by i."""
     shifts = np.lib.stride_tricks.sliding_window_view(_circle(coordinates), coordinates)
     places = (mix(hashes) >> np.uint64(64 - SPACE_BITS)).astype(np.int64)
-    lowest = shifts[places[:4096]].min(axis=0)
-    for at in range(4096, len(places), 4096):
-        lowest = np.minimum(lowest, shifts[places[at : at + 4096]].min(axis=0))
+    step = max(1, (1 << 19) // coordinates)
+    lowest = shifts[places[:step]].min(axis=0)
+    for at in range(step, len(places), step):
+        lowest = np.minimum(lowest, shifts[places[at : at + step]].min(axis=0))
     return lowest
 
 

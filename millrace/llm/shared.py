@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def give_back() -> None:
+    """Return to the system what a worker holds after a task and no longer uses: workers are kept
+    for further tasks, several beside each executor, and their allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_blocks(
     frames: Iterator[pd.DataFrame], column: str, chars: int = BLOCK_CHARS, rows: int = BLOCK_ROWS
 ) -> Iterator[tuple[pd.DataFrame, list[str]]]:
@@ -37,6 +49,7 @@ def text_blocks(
             size += len(text)
         if len(texts) > start:
             yield frame.iloc[start:], texts[start:]
+    give_back()
 
 
 def held_out(doc_id: str, of: int, part: int) -> Column:

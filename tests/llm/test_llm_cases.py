@@ -575,35 +575,3 @@ def test_long_lists_and_deep_notices(spark):
     deep = lambda n: "<div>" * 70 + "<p>Site-wide notice</p>" + "</div>" * 70 + f"<div><p>Own story {n} of many words</p></div>"
     pages = spark.createDataFrame([(n, f"http://h/{n}", f"<body>{deep(n)}</body>") for n in range(5)], "page_id bigint, url string, html string")
     assert sorted(r.text for r in wrapper.extract(pages).collect()) == [f"Own story {n} of many words" for n in range(5)]
-
-
-def test_alignment_alone_removes_furniture(spark, monkeypatch):
-    """On the given pages, without one rule on tags or names: what all pages of a host have goes."""
-    import os
-
-    path = "/root/testdata/sf0.01/pages.parquet"
-    if not os.path.exists(path):
-        pytest.skip("no test tables")
-    rows = spark.read.parquet(path).collect()
-    hosts = {}
-    for r in rows:
-        hosts.setdefault(r.url.split("/")[2], []).append(r.html or "")
-    monkeypatch.setattr(wrapper, "_furniture", lambda node, inside: node.tag in wrapper.UNREAD and node.ended)
-    monkeypatch.setattr(wrapper, "_articles", lambda root: [])
-    checked = 0
-    for pages in hosts.values():
-        if len(pages) < 6:
-            continue
-        reference = wrapper.parse(pages[0])
-        seen = [wrapper.observe(p, reference) for p in pages]
-        votes = {}
-        for _, _, same in seen:
-            for n in same:
-                votes[n] = votes.get(n, 0) + 1
-        template = frozenset(n for n, v in votes.items() if v >= len(pages) / 2)
-        constant = {wrapper.clean(t.text) for t in wrapper._texts(reference) if t.number in template}
-        for marked, events, _ in seen[1:]:
-            whole, cut = wrapper.main_text(marked, events), wrapper.main_text(marked, events, template, template, True)
-            assert len(cut) <= len(whole)
-            checked += sum(c in whole.split("\n") and c not in cut.split("\n") for c in constant)
-    assert checked > 50
