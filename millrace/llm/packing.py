@@ -35,7 +35,7 @@ END_ID = 1
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which this vocabulary splits a text before it merges bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_KNOWN_WORDS = 200_000
+_KNOWN_WORDS = 500_000
 #: A run of white space that goes on over the space at which a text is split.
 _LONG_GAP = re.compile(r"\s (?:\s|$)")
 
@@ -79,8 +79,7 @@ class Encoder:
     def __init__(self, path: str, ranks: str) -> None:
         self.tokenizer = _tokenizer(path)
         self.ranked = _ranked(ranks, PATTERN)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_LONG_GAP.pattern, *map(re.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # words after a space
         self.first: dict[str, bytes] = {}  # words at the start of a text
 
@@ -100,7 +99,8 @@ class Encoder:
             self.first = {}
         split, fresh = [], set()
         for text in texts:
-            words = None if self.whole.search(text) else text.split(" ")
+            whole = any(token in text for token in self.added) or _LONG_GAP.search(text)
+            words = None if whole else text.split(" ")
             split.append(words)
             if words:
                 if words[0] not in self.first:
@@ -125,7 +125,7 @@ def _pieces(folder: str | None, window: int, end_id: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary(TOKENIZER, folder), vocabulary(RANKS, folder))
-        for frame, texts in text_blocks(frames, "text"):
+        for frame, texts in text_blocks(frames, "text", 1 << 19):
             out = []
             for row, ids in zip(frame["row"], encoder.encode(texts), strict=True):
                 ids = memoryview(ids + end)
