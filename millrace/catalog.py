@@ -19,7 +19,7 @@ from millrace.operators.ordering import index_by_file, index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
 from millrace.operators.sizing import first_rows, spread, store, workspace
 from millrace.plans import corpus, frontier, gather
-from millrace.sources import files, output
+from millrace.sources import archive, files, output
 from millrace.sources import pages as pages_source
 from millrace.sources.pages import accepted_pages, seed_frontier, with_response
 from millrace.streaming import gate, runs
@@ -147,6 +147,31 @@ def page_source(spark, sf_dir):
     return accepted_pages(answered.withColumn("content_type", kind)).select("page_id", "url")
 
 
+def _archived(spark, sf_dir):
+    path = workspace(spark)
+    archive.register(spark)
+    archive.write_archives(_pages(spark, sf_dir).withColumn("fetched_at", F.timestamp_seconds(F.lit(NOW))), path)
+    return path
+
+
+def _page_digest(pages):
+    return pages.select(
+        "url", "status", "content_type", F.sha2("html", 256).alias("html_sha256"), F.unix_seconds("fetched_at").alias("fetched")
+    )
+
+
+def page_archive(spark, sf_dir):
+    """Pages written as web archives and read back by the data source."""
+    return _page_digest(spark.read.format("page_archive").load(_archived(spark, sf_dir)))
+
+
+def page_archive_stream(spark, sf_dir):
+    path = workspace(spark)
+    found = _page_digest(spark.readStream.format("page_archive").load(_archived(spark, sf_dir)))
+    runs.start_files(found, path, f"{path}-checkpoint", once=True).awaitTermination()
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def page_text(spark, sf_dir):
     return extract(_pages(spark, sf_dir)).select("page_id", "text")
 
@@ -407,6 +432,16 @@ def crawl_state(spark, sf_dir):
     return state.visited()
 
 
+def visit_buckets(spark, sf_dir):
+    """The same in a table of buckets, of which an upsert rewrites those it touches."""
+    table = visits.VisitTable(spark, f"{workspace(spark)}-visits", 16)
+    events = _events(spark, sf_dir)
+    middle = events.agg(F.expr("(min(sec) + max(sec)) div 2").alias("m")).head().m
+    for part in (events.where(F.col("sec") > middle), events.where(F.col("sec") <= middle)):
+        table.upsert(part.select(F.col("user_id").cast("string").alias("url"), F.col("sec").alias("last_visited")))
+    return table.read()
+
+
 def reseed(spark, sf_dir):
     """An empty queue gets the seeds again, each once."""
     seeds = _page_urls(spark, sf_dir).where("url <> ''").select("url", F.lit(0).alias("depth"), F.col("page_id").alias("ord"))
@@ -482,7 +517,7 @@ def exact_length(spark, sf_dir):
 
 def pack_blocks(spark, sf_dir):
     docs = index_by_key(_documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
-    blocks = packing.pack_blocks(corpus.tokenize(docs), SEQ_LEN, BATCH_ROWS)
+    blocks = corpus.tokenize_dataset(docs, SEQ_LEN, True, batch_rows=BATCH_ROWS)
     return _digest(blocks, "batch_id", "block_id")
 
 
@@ -616,13 +651,13 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     norm_text, split_sentences, min_length, sentence_hash, script_ratio, script_filter,
     dedup_first, anti_seen,
     langid_fit, langid_profile, langid_predict, langid_predict_join, target_filter,
-    page_source, page_text, page_text_native, page_sentences, gather_pages,
+    page_source, page_archive, page_archive_stream, page_text, page_text_native, page_sentences, gather_pages,
     extract_links, extract_links_native,
     canonical_url, url_domain, distinct_urls, seed_domains,
     allow_all, allow_exact, allow_mixed_case, allow_subdomain, same_or_subdomain, robots_filter,
     visited_upsert, revisit_due, revisit_gate, not_queued, depth_cap, page_cap, queue_cap,
     cycle_report, frontier_visits, frontier_sentences, frontier_queue, frontier_ruled_visits,
-    text_column, read_text_column, list_files, read_seeds, crawl_state, reseed, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
+    text_column, read_text_column, list_files, read_seeds, crawl_state, visit_buckets, reseed, read_parquet, read_jsonl, read_csv, read_txt, read_dataset, write_sentences,
     tokenize_bytes, tokenize_bytes_native, truncate_tokens, exact_length,
     pack_blocks, pack_shards, build_corpus, corpus_dataset, corpus_stream, collate, shuffle_feed,
     stream_distinct, stream_gather, state_resume, stream_tokens, stream_gate, stream_gate_table,

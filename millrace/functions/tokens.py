@@ -43,6 +43,11 @@ def byte_tokens(text: Column) -> Column:
     return _byte_tokens(text)
 
 
+def ids_of_bytes(octets: Column) -> Column:
+    """The ids of a binary column."""
+    return _byte_tokens(octets)
+
+
 def byte_tokens_native(text: Column) -> Column:
     """The same ids with built-in functions only."""
     octets = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")
@@ -51,6 +56,10 @@ def byte_tokens_native(text: Column) -> Column:
     )
 
 
+#: Tokenizers of which every character gives an id at least: the first n ids lie in the first n characters.
+BYTE_TOKENIZERS = (byte_tokens, byte_tokens_native)
+
+
 def file_tokens(spark: SparkSession, tokenizer_json: str, max_length: int | None = None) -> Tokenizer:
     """Tokenizer from the JSON text of a ``tokenizers`` file.
 

@@ -28,9 +28,14 @@ def target_sentences(
     """
     c = F.col(text)
     kept = df.where(T.long_enough(c, min_chars)).where(T.in_script(c, script, min_ratio))
+    return in_language(kept, keys, target, model, text)
+
+
+def in_language(df: DataFrame, keys: Sequence[str], target: str | None, model: DataFrame | None, text: str) -> DataFrame:
+    """Rows whose ``text`` is predicted to be ``target``; all of them with ``target=None``."""
     if target is None:
-        return kept
+        return df
     if model is None:
         raise ValueError("a target language needs a model (see langid.fit and langid.profile)")
-    scored = langid.predict(kept.select(*df.columns), model, keys, text)
+    scored = langid.predict(df.select(*df.columns), model, keys, text)
     return scored.where(F.col("lang") == target).select(df.columns)

@@ -17,8 +17,10 @@ from millrace.operators.sizing import store
 
 
 NGRAM = 3
-# Profiles up to this many rows are scored from a table in each task; longer ones by a join.
+# Profiles up to this many rows, and bytes as a table of n-grams by labels, are scored from such a table
+# in each task; larger ones by a join.
 PROFILE_ROWS = 2_000_000
+PROFILE_BYTES = 64 << 20
 _SCALE = 1_000_000
 # An empty match before each character; the class keeps a match from starting inside a surrogate pair.
 _OVERLAPPING = r"(?s)(?=([^\x{dc00}-\x{dfff}]" + "." * (NGRAM - 1) + "))"
@@ -97,7 +99,8 @@ def _scorer(rows: pd.DataFrame, spark):
             }
         )
 
-    return score
+    # So that a test on the language is not pushed below a deduplication that left fewer texts.
+    return score.asNondeterministic()
 
 
 def _runs(group: np.ndarray) -> list[tuple[int, int]]:
@@ -136,15 +139,20 @@ def predict(
     keys: Sequence[str],
     text: str = "text",
     max_rows: int = PROFILE_ROWS,
+    max_bytes: int = PROFILE_BYTES,
 ) -> DataFrame:
     """``df`` with ``lang`` and ``score``; null where the text has no n-gram.
 
-    ``keys`` identify a row. A profile of at most ``max_rows`` rows goes to the
-    tasks and the data is not shuffled; a longer one is joined.
+    ``keys`` identify a row. A profile of at most ``max_rows`` rows and ``max_bytes`` goes to the
+    tasks and the data is not shuffled; a larger one is joined. Its size is counted before any of
+    it comes to the driver.
     """
     model = model.select("label", "gram", "score")
-    rows = model.limit(max_rows + 1).toPandas()
-    if len(rows) <= max_rows:
+    size = model.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("gram").alias("grams"), F.count_if(F.col("gram") == "").alias("labels")
+    ).head()
+    if size.rows <= max_rows and 8 * size.grams * (size.labels + 1) <= max_bytes:
+        rows = model.toPandas()
         scored = df.withColumn("_best", _scorer(rows, df.sparkSession)(F.col(text)))
         return scored.select(*df.columns, "_best.lang", "_best.score")
     return df.join(_predict_by_join(df, model, keys, text), list(keys), "left")

@@ -44,6 +44,24 @@ def index_read(df: DataFrame, name: str = "row_idx") -> DataFrame:
     return _number(df, F.split(decoded(F.col("_file")), "/"), name)
 
 
+def index_lines(df: DataFrame, order: str, name: str = "row_idx") -> DataFrame:
+    """A read of text files with a dense row number instead of ``order``, as
+    :func:`read_text_files` gives it: (path, start of the split, place).
+
+    Rows stay where they are. A first pass counts the rows of each split, and where its places begin;
+    one row a split is gathered. Both passes cut the files into the same splits.
+    """
+    place = F.col(f"{order}.row")
+    splits = df.groupBy(F.col(f"{order}.path").alias("_path"), F.col(f"{order}.start").alias("_from")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(place).alias("_first")
+    )
+    before = Window.orderBy("_path", "_from").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("_path", "_from", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = (F.col(f"{order}.path") == F.col("_path")) & (F.col(f"{order}.start") == F.col("_from"))
+    placed = df.join(broadcast_if_small(starts), same).withColumn(name, F.col("_shift") + place)
+    return placed.select(name, *[c for c in df.columns if c != order])
+
+
 def index_by_key(df: DataFrame, *order: Column | str, name: str = "row_idx") -> DataFrame:
     """``df`` with a dense row number in ``order``, which has to be a total order.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from millrace.functions.tokens import attention_mask
 from millrace.operators.permute import permuted
@@ -41,7 +42,7 @@ def pack_blocks(
     total: int | None = None,
     row_idx: str = "row_idx",
 ) -> DataFrame:
-    """Blocks of exactly ``seq_len`` ids from ``(row_idx, input_ids)``.
+    """Blocks of exactly ``seq_len`` ids from ``(row_idx, input_ids)``, or of bytes if those are binary.
 
     Rows are joined end to end inside each batch of ``batch_rows`` (counted
     from the start of the shard) with nothing between them, and what is left
@@ -52,12 +53,14 @@ def pack_blocks(
     """
     shard, place = _shard(F.col(row_idx), shards, total)
     batch = _div(place, batch_rows)
+    binary = isinstance(df.schema["input_ids"].dataType, BinaryType)
+    size = F.octet_length if binary else F.size
     placed = df.select(
         F.col(row_idx).alias("_row"),
         shard.alias("shard"),
         batch.alias("batch_id"),
         F.col("input_ids").alias("_ids"),
-        F.size("input_ids").cast("bigint").alias("_n"),
+        size(F.col("input_ids")).cast("bigint").alias("_n"),
     )
     before = Window.partitionBy("shard", "batch_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     offset = placed.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).where("_n > 0")
@@ -66,7 +69,8 @@ def pack_blocks(
     def piece(block: Column) -> Column:
         begin = F.greatest(start, block * seq_len)
         length = F.least(end, (block + 1) * seq_len) - begin
-        ids = F.slice("_ids", (begin - start + 1).cast("int"), length.cast("int"))
+        first, many = (begin - start + 1).cast("int"), length.cast("int")
+        ids = F.col("_ids").substr(first, many) if binary else F.slice("_ids", first, many)
         return F.struct(block.alias("block_id"), ids.alias("ids"))
 
     touched = F.sequence(_div(start, seq_len), _div(end - 1, seq_len))
@@ -75,13 +79,15 @@ def pack_blocks(
     )
     blocks = pieces.groupBy("shard", "batch_id", F.col("_piece.block_id").alias("block_id")).agg(
         F.array_sort(F.collect_list(F.struct("_row", "_piece.ids"))).alias("_pieces"),
-        F.sum(F.size("_piece.ids")).alias("_length"),
+        F.sum(size(F.col("_piece.ids"))).alias("_length"),
     )
+    parts = F.col("_pieces.ids")
+    joined = F.aggregate(parts, F.lit(b""), lambda whole, part: F.concat(whole, part)) if binary else F.flatten(parts)
     return blocks.where(F.col("_length") == seq_len).select(
         "shard",
         "batch_id",
         "block_id",
-        F.flatten(F.col("_pieces.ids")).alias("input_ids"),
+        joined.alias("input_ids"),
         F.array_repeat(F.lit(1).cast("tinyint"), seq_len).alias("attention_mask"),
     )
 

@@ -7,10 +7,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_by_key
+from millrace.operators.sizing import store
 
 
 def upsert_visits(visited: DataFrame, new: DataFrame, seq: str | None = None) -> DataFrame:
@@ -29,6 +31,46 @@ def upsert_visits(visited: DataFrame, new: DataFrame, seq: str | None = None) ->
     return both.groupBy("url").agg(F.max_by("last_visited", at).alias("last_visited"))
 
 
+class VisitTable:
+    """``(url, last_visited)`` in buckets of the URL's hash, each a folder of its own.
+
+    An upsert reads and rewrites the buckets that new visits fall into and no other, and a lookup
+    reads those its URLs fall into. Only bucket numbers come to the driver. A bucket is replaced as a
+    whole, and an upsert that is repeated changes nothing, so one that was cut short is run again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64) -> None:
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    def _bucket(self, url: str = "url") -> Column:
+        return F.pmod(F.xxhash64(url), F.lit(self.buckets)).cast("int")
+
+    def _stored(self) -> DataFrame:
+        schema = "url STRING, last_visited BIGINT, bucket INT"
+        try:
+            return self.spark.read.schema(schema).parquet(self.root)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def read(self) -> DataFrame:
+        return self._stored().select("url", "last_visited")
+
+    def of(self, urls: DataFrame) -> DataFrame:
+        """The visits of the buckets that ``urls(url)``, a stored table, fall into."""
+        wanted = [r.bucket for r in urls.select(self._bucket().alias("bucket")).distinct().collect()]
+        return self._stored().where(F.col("bucket").isin(wanted)).select("url", "last_visited")
+
+    def upsert(self, new: DataFrame) -> None:
+        """Write ``new(url, last_visited)`` over what is stored; the latest time stays."""
+        new = store(new.groupBy("url").agg(F.max("last_visited").alias("last_visited")))
+        merged = store(upsert_visits(self.of(new), new))  # read before its buckets are replaced
+        dealt = merged.withColumn("bucket", self._bucket()).repartition("bucket")
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("bucket").parquet(self.root)
+
+
 def admit_run(times: np.ndarray, every: int, last: int | None) -> tuple[list[int], int | None]:
     """Positions admitted from sorted ``times`` of one key, and the time last admitted."""
     picked, at = [], 0 if last is None else int(np.searchsorted(times, last + every))

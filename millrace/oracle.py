@@ -280,6 +280,9 @@ def sql() -> dict[str, str]:
         "langid_predict_join": predicted,
         "target_filter": f"WITH {_target(_DOC, 'doc_id, pos', 'doc_id, pos, sentence')}",
         "page_source": "SELECT page_id, url FROM pages WHERE NOT starts_with(url, 'http:') AND NOT ends_with(url, '.html')",
+        "page_archive": f"""
+            SELECT url, CAST(200 AS INTEGER) AS status, 'text/html' AS content_type, sha256(coalesce(html, '')) AS html_sha256,
+                   CAST({NOW} AS BIGINT) AS fetched FROM pages""",
         "page_text": f"SELECT page_id, text FROM ({_page_text()})",
         "page_sentences": f"SELECT page_id, pos, sentence FROM ({_PAGE})",
         "gather_pages": f"""
@@ -368,6 +371,8 @@ def sql() -> dict[str, str]:
             FROM ({_first(f'SELECT * FROM ({_PAGE}) WHERE {long_latin}', 'page_id, pos', 'sentence, url')})""",
     }
     same = {
+        "page_archive_stream": "page_archive",
+        "visit_buckets": "crawl_state",
         "page_text_native": "page_text",
         "extract_links_native": "extract_links",
         "tokenize_bytes_native": "tokenize_bytes",

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.tokens import Tokenizer, attention_mask, byte_tokens, truncate_tokens
-from millrace.operators.ordering import index_by_file, index_by_key, index_read
+from millrace.functions.tokens import (
+    BYTE_TOKENIZERS,
+    Tokenizer,
+    attention_mask,
+    byte_tokens,
+    ids_of_bytes,
+    truncate_tokens,
+)
+from millrace.operators.ordering import index_by_file, index_lines, index_read
 from millrace.operators.packing import BATCH_ROWS, pack_blocks
 from millrace.sources.files import read_dataset, read_text_column, reader_options, text_column
 
@@ -42,8 +49,10 @@ def truncated(
     """Token rows of at most ``seq_len`` ids with their mask. Works on streams.
 
     A tokenizer that adds special tokens has to be built with ``max_length``,
-    so that it can make room for them.
+    so that it can make room for them. For byte tokens a text is cut before it is turned to ids.
     """
+    if tokenizer in BYTE_TOKENIZERS:
+        df = df.withColumn("text", F.substring("text", 1, seq_len))
     ids = tokenize(df, tokenizer, on_null)
     rest = [c for c in ids.columns if c != "input_ids"]
     return ids.select(*rest, truncate_tokens(F.col("input_ids"), seq_len).alias("input_ids")).withColumn(
@@ -67,8 +76,12 @@ def tokenize_dataset(
         return truncated(df, seq_len, tokenizer, on_null)
     if shards > 1 and total is None:
         total = df.count()
-    ids = tokenize(df, tokenizer, on_null)
-    return pack_blocks(ids, seq_len, batch_rows, shards, total)
+    if tokenizer is not byte_tokens:
+        return pack_blocks(tokenize(df, tokenizer, on_null), seq_len, batch_rows, shards, total)
+    # Bytes are shuffled as they are, a quarter of what their ids take, and become ids in the blocks.
+    octets = tokenize(df, lambda text: F.encode(text, "UTF-8"), on_null)
+    blocks = pack_blocks(octets, seq_len, batch_rows, shards, total)
+    return blocks.withColumn("input_ids", ids_of_bytes(F.col("input_ids")))
 
 
 def build_corpus(
@@ -85,8 +98,8 @@ def build_corpus(
 ) -> DataFrame:
     """Load, reduce to the text column, tokenize, then pack or truncate.
 
-    Rows are numbered in file order. Parquet knows the place of a row in its
-    file, so nothing is moved for that; other types are range-partitioned once.
+    Rows are numbered in file order, where they lie: Parquet knows the place of a row in its file;
+    for other types the rows of each split are counted first.
     """
     if not pack:
         rows = read_text_column(spark, path, file_type, column)
@@ -96,10 +109,8 @@ def build_corpus(
         indexed = index_by_file(spark, path, **options)
         rows = text_column(indexed, column, keep=("row_idx",))
     else:
-        rows = read_text_column(spark, path, file_type, column, order="_order")
-        if on_null == "drop":
-            rows = rows.where("text is not null")
-        rows = index_by_key(rows, "_order").select("row_idx", "text")
+        rows = read_text_column(spark, path, file_type, column, order="_order", drop_null=on_null == "drop")
+        rows = index_lines(rows, "_order")
     return tokenize_dataset(rows, seq_len, True, tokenizer, on_null, batch_rows, shards)
 
 

@@ -25,7 +25,7 @@ from millrace.operators.admission import (
     visits_of,
 )
 from millrace.operators.dedup import first_by_key, first_sentences, with_hash
-from millrace.operators.filters import target_sentences
+from millrace.operators.filters import in_language, target_sentences
 from millrace.operators.ordering import index_by_key
 from millrace.operators.pages import explode_links, explode_sentences, extract
 from millrace.operators.robots import robots_rule
@@ -185,11 +185,11 @@ def _sentences(parsed: list[DataFrame], options: CycleOptions, model, seen, spar
         return spark.createDataFrame([], "text string, url string, timestamp timestamp, hash string")
     found = explode_sentences(_union(parsed).drop("depth"))
     kept = target_sentences(
-        found, ["url", "pos"], options.target, model,
-        min_chars=options.min_chars, script=options.script, min_ratio=options.min_ratio,
+        found, ["url", "pos"], None, min_chars=options.min_chars, script=options.script, min_ratio=options.min_ratio
     ).withColumnRenamed("sentence", "text")
+    # The language is looked up once a text.
     first = first_sentences(kept, ["pass", "ord", "pos"], seen)
-    return first.select("text", "url", "timestamp", "hash")
+    return in_language(first, ["hash"], options.target, model, "text").select("text", "url", "timestamp", "hash")
 
 
 def reseed(frontier: DataFrame, seeds: DataFrame) -> DataFrame:

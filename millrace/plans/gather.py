@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import html as H
 from millrace.functions import text as T
 from millrace.operators.dedup import first_sentences
-from millrace.operators.filters import target_sentences
+from millrace.operators.filters import in_language, target_sentences
 from millrace.operators.history import History
 from millrace.operators.packed import can_pack
 from millrace.operators.pages import explode_sentences, extract
@@ -62,15 +62,18 @@ def gather(
 ) -> DataFrame:
     """New sentences of ``pages``, each at its first place in crawl order and not in ``seen``.
 
-    Where the order is of whole numbers, sentences go through deduplication with their place alone,
-    and URL and time of the first page are joined to what is left.
+    The language is looked up for what deduplication leaves, once a text. Where the order is of whole
+    numbers, sentences go through deduplication with their place alone, and URL and time of the
+    first page are joined to what is left.
     """
-    found = page_sentences(pages, order, target, model, timestamp, **options)
+    if target is not None and model is None:
+        raise ValueError("a target language needs a model (see langid.fit and langid.profile)")
+    found = page_sentences(pages, order, None, None, timestamp, **options)
     places = [*order, "pos"]
     carried = [c for c in ("url", "timestamp") if c not in order]
     if not carried or not can_pack(found, places):
-        return first_sentences(found, places, seen)
-    first = first_sentences(found.select(*places, "text"), places, seen)
+        return in_language(first_sentences(found, places, seen), ["hash"], target, model, "text")
+    first = in_language(first_sentences(found.select(*places, "text"), places, seen), ["hash"], target, model, "text")
     source = accepted_pages(pages).select(
         *(F.col(c).alias(f"_{n}") for n, c in enumerate(order)), "url", page_time(pages, timestamp).alias("timestamp")
     )

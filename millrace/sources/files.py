@@ -17,6 +17,9 @@ EXTENSIONS = {
     "txt": ("txt",),
 }
 
+#: Keys that an error names at most.
+NAMED_KEYS = 100
+
 
 def _any_case(extension: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
@@ -78,13 +81,15 @@ def read_text_files(
     schema: StructType | str | None = None,
     order: str | None = None,
     infer: bool = True,
+    present: str | None = None,
 ) -> DataFrame:
     """Rows of all files. Text files give one row per line in ``text``.
 
     Without ``schema`` the types of JSON and CSV are inferred, which reads the
     data once more; pass one for large inputs, or ``infer=False`` to keep CSV
     values as strings. ``order`` names an extra column
-    that sorts rows by file (part by part of the path), then by place in it.
+    that sorts rows by file (part by part of the path), then by place in it. ``present`` names a
+    column whose nulls are left out before rows get their places.
     """
     source, options = format_options(file_type)
     options = {**options, **reader_options(spark, path, file_type)}
@@ -94,6 +99,8 @@ def read_text_files(
     if schema is not None and file_type != "txt":
         reader = reader.schema(schema)
     df = reader.load(path)
+    if present is not None:
+        df = df.where(F.col(f"`{present}`").isNotNull())
     columns = [F.col("value").alias("text")] if file_type == "txt" else [F.col(c) for c in df.columns]
     if order:
         # Rows of one split are read in order by one task; splits are ordered by their start.
@@ -110,7 +117,8 @@ def read_text_files(
 
 
 def read_text_column(
-    spark: SparkSession, path: str, file_type: str, column: str = "text", order: str | None = None
+    spark: SparkSession, path: str, file_type: str, column: str = "text", order: str | None = None,
+    drop_null: bool = False,
 ) -> DataFrame:
     """Only ``column``, as ``text``, without reading the data once more to infer types.
 
@@ -122,10 +130,11 @@ def read_text_column(
         lines = spark.read.options(**reader_options(spark, path, file_type)).text(path)
         keys = lines.select(F.explode(F.json_object_keys("value")).alias("key"))
         if keys.where(F.col("key") == column).isEmpty():
-            names = sorted(r.key for r in keys.distinct().collect())
+            names = sorted(r.key for r in keys.distinct().limit(NAMED_KEYS).collect())
             raise ValueError(f"no column '{column}' for the text; there are {names}")
         schema = StructType().add(column, "string")
-    df = read_text_files(spark, path, file_type, schema, order, infer=False)
+    present = None if not drop_null or file_type == "txt" else column
+    df = read_text_files(spark, path, file_type, schema, order, infer=False, present=present)
     return text_column(df, column, keep=(order,) if order else ())
 
 

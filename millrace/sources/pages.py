@@ -18,12 +18,12 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     try:
         lines = spark.read.text(path)
     except AnalysisException as e:
-        raise FileNotFoundError(f"Seeds file not found: {path}") from e
+        raise FileNotFoundError(f"no file or folder of seeds at {path}") from e
     seed = F.regexp_replace("value", rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
     kept = lines.select(seed.alias("seed"), F.monotonically_increasing_id().alias("ord"))
     kept = kept.where("seed <> '' and not startswith(seed, '#')")
     if kept.isEmpty():
-        raise ValueError(f"No seeds in: {path}")
+        raise ValueError(f"{path} holds no seed, only comments and blank lines")
     return kept
 
 
@@ -48,6 +48,15 @@ def accepted_pages(pages: DataFrame) -> DataFrame:
     return with_response(pages).where((F.col("status") < 400) & html)
 
 
+def save_pages(pages: DataFrame, table: str, buckets: int) -> None:
+    """Store pages in a table bucketed by ``url``.
+
+    A crawl cycle over ``spark.table(table)`` with as many buckets as shuffle partitions joins the
+    admitted URLs to the pages where these lie: HTML is never shuffled, however many are admitted.
+    """
+    pages.write.mode("overwrite").bucketBy(buckets, "url").sortBy("url").saveAsTable(table)
+
+
 def stream_pages(
     spark: SparkSession,
     path: str,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedup import first_sentences, with_hash
+from millrace.operators.filters import in_language
 from millrace.operators.visits import revisit_gate, upsert_visits
 from millrace.plans.gather import page_sentences
 from millrace.sources.output import TIMESTAMP_FORMAT, CrawlState, sentence_records, write_sentences
@@ -121,9 +122,10 @@ def start_gather(
         if state.has_batch(run, batch_id):
             return  # committed before the checkpoint was
         cycle = state.last_cycle() + 1
-        found = page_sentences(batch, order, target, model, **options)
+        found = page_sentences(batch, order, None, None, **options)
+        new = in_language(first_sentences(found, [*order, "pos"], state.history()), ["hash"], target, model, "text")
         folder = f"{path.rstrip('/')}/cycle={cycle}"
-        write_sentences(first_sentences(found, [*order, "pos"], state.history()), folder, mode="overwrite")
+        write_sentences(new, folder, mode="overwrite")
         written = batch.sparkSession.read.schema("text string").json(folder)
         state.commit(cycle, hashes=with_hash(written).select("hash"), run=run, batch=batch_id)
 

@@ -203,3 +203,137 @@ def test_suffix_allowlist_is_one_lookup(spark, monkeypatch, small):
     found = rule(urls)
     assert plan(found).count("Join ") <= (1 if small else 2)
     assert sorted(r.n for r in found.collect()) == want and found.columns == ["n", "url"]
+
+
+# --- bytes, lines and language ------------------------------------------------------
+
+
+def test_text_is_cut_before_it_is_tokenized(spark):
+    from millrace.functions.tokens import byte_tokens, byte_tokens_native
+    from millrace.plans.corpus import tokenize, truncated
+
+    rows = [("",), ("abc",), ("é" * 40,), ("𝒳y" * 20,), ("x" * 1000,)]
+    df = spark.createDataFrame(rows, "text string")
+    for tokenizer in (byte_tokens, byte_tokens_native):
+        short = [r.input_ids for r in truncated(df, 16, tokenizer).collect()]
+        assert short == [r.input_ids[:16] for r in tokenize(df, tokenizer).collect()]
+        assert "substring" in plan(truncated(df, 16, tokenizer))
+
+
+def test_packing_shuffles_bytes(spark):
+    from millrace.plans.corpus import tokenize, tokenize_dataset
+    from millrace.operators.packing import pack_blocks
+
+    df = spark.range(60).selectExpr("id AS row_idx", "repeat(concat('ü', id, ' '), int(id % 9)) AS text")
+    blocks = tokenize_dataset(df, 16, True, batch_rows=7)
+    whole = pack_blocks(tokenize(df), 16, 7)
+    order = ["batch_id", "block_id"]
+    assert blocks.orderBy(order).collect() == whole.orderBy(order).collect() and blocks.columns == whole.columns
+    text = plan(blocks)
+    assert text.index("ArrowEvalPython") < text.index("Exchange")  # above it: ids are made after the shuffle
+
+
+@pytest.mark.parametrize("kind", ["json", "csv", "text"])
+def test_lines_are_numbered_where_they_lie(spark, folder, kind):
+    from millrace.operators.ordering import index_lines
+    from millrace.sources.files import read_text_column
+
+    values = [f"line {n}" + " x" * (n % 25) for n in range(3000)]
+    df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, text string")
+    for part in range(3):
+        chosen = df.where((F.col("n") >= 1000 * part) & (F.col("n") < 1000 * part + 1000)).coalesce(1).sortWithinPartitions("n")
+        chosen = chosen.select("text")
+        writer = chosen.write.option("header", "true") if kind == "csv" else chosen.write
+        writer.format(kind).save(f"{folder}/in/{part}")
+    file_type = {"json": "jsonl", "text": "txt"}.get(kind, kind)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # several splits a file
+    try:
+        rows = index_lines(read_text_column(spark, f"{folder}/in", file_type, order="_order"), "_order")
+        text = plan(rows)
+        assert "RangePartitioning" not in text.replace(" ", "").replace("rangepartitioning", "RangePartitioning")
+        got = {r.row_idx: r.text for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == dict(enumerate(values))
+
+
+def test_dropped_nulls_leave_no_gap(spark, folder):
+    from millrace.plans.corpus import build_corpus
+
+    texts = [None if n % 3 == 0 else f"words of line {n}" for n in range(90)]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, text string").coalesce(1).sortWithinPartitions("n")
+    df.select("text").write.option("ignoreNullFields", "false").json(f"{folder}/in")
+    blocks = build_corpus(spark, f"{folder}/in", "jsonl", seq_len=16, batch_rows=10, on_null="drop").orderBy("batch_id", "block_id").collect()
+    kept = [t for t in texts if t]
+    want = []
+    for batch in range(6):
+        joined = "".join(kept[10 * batch : 10 * batch + 10]).encode()
+        want += [(batch, i, list(joined[16 * i : 16 * i + 16])) for i in range(len(joined) // 16)]
+    assert [(r.batch_id, r.block_id, r.input_ids) for r in blocks] == want
+
+
+def test_language_profile_is_bounded_in_bytes(spark):
+    from millrace.operators import langid
+
+    labelled = spark.createDataFrame([("the cat sat there", "a"), ("le chat est la", "b")] * 3, "text string, lang string")
+    model = langid.profile(langid.fit(labelled))
+    docs = spark.createDataFrame([(0, "the cat"), (1, "le chat"), (2, "")], "k int, text string")
+    dense, joined = (langid.predict(docs, model, ["k"], max_bytes=most) for most in (1 << 20, 100))
+    assert "ArrowEvalPython" in plan(dense) and "ArrowEvalPython" not in plan(joined)
+    assert sorted(map(tuple, dense.collect())) == sorted(map(tuple, joined.select(dense.columns).collect()))
+
+
+def test_language_is_looked_up_after_deduplication(spark):
+    from millrace.operators import langid
+
+    labelled = spark.createDataFrame([("the cat sat there", "a"), ("le chat est la", "b")] * 3, "text string, lang string")
+    model = langid.profile(langid.fit(labelled))
+    rows = [(n, f"http://h/{n}", "<p>The cat sat there today again. Le chat est la encore ici.</p>") for n in range(8)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = gather(pages, ["page_id"], "a", model, timestamp=F.timestamp_seconds(F.lit(0)), script=LATIN)
+    text = plan(found)
+    assert text.index("score(") < text.index("HashAggregate")  # above the aggregate
+    assert [(r.page_id, r.text) for r in found.collect()] == [(0, "The cat sat there today again.")]
+
+
+# --- buckets ------------------------------------------------------------------------
+
+
+def test_an_upsert_rewrites_the_buckets_it_touches(spark, folder):
+    import os
+
+    from millrace.operators.visits import VisitTable
+
+    table = VisitTable(spark, f"{folder}/visits", 8)
+    table.upsert(spark.range(200).selectExpr("concat('u', id) AS url", "id AS last_visited"))
+    files = lambda: {n: sorted(os.listdir(f"{folder}/visits/{n}")) for n in os.listdir(f"{folder}/visits") if n.startswith("bucket=")}
+    before = files()
+    assert len(before) == 8
+    table.upsert(spark.createDataFrame([("u3", 900), ("u3", 1), ("new", 5), ("u7", 2)], "url string, last_visited bigint"))
+    after = files()
+    changed = {n for n in before if before[n] != after[n]}
+    assert 1 <= len(changed) <= 3
+    want = {f"u{n}": n for n in range(200)} | {"u3": 900, "new": 5}
+    assert {r.url: r.last_visited for r in table.read().collect()} == want
+    few = table.of(sizing.store(spark.createDataFrame([("u3",)], "url string")))
+    assert ("u3", 900) in [tuple(r) for r in few.collect()] and "PartitionFilters: [isnotnull(bucket" in plan(few)
+    assert few.count() < 60 and VisitTable(spark, f"{folder}/none").read().count() == 0
+
+
+def test_no_html_is_shuffled_from_bucketed_pages(spark, monkeypatch):
+    from millrace.plans import frontier
+    from millrace.sources.pages import save_pages
+
+    rows = [(f"http://h/{n}", f"<p>Words of page {n} stand here.</p>") for n in range(40)]
+    pages = spark.createDataFrame(rows, "url string, html string").withColumn("fetched_at", F.timestamp_seconds(F.lit(0)))
+    save_pages(pages, "bucketed_pages", 4)
+    admitted = sizing.store(pages.select("url", F.lit(0).alias("depth"), F.array(F.lit(1).cast("bigint")).alias("ord")))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        parsed = frontier._parse(spark.table("bucketed_pages"), admitted, ())
+        text = plan(parsed)
+        assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in text  # of the admitted URLs
+        assert parsed.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table bucketed_pages")
