@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import text_blocks
+from millrace.llm.shared import give_back, text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("secret", "number")
@@ -109,7 +109,7 @@ class _Shapes(dict):
 
     def __missing__(self, token: str) -> int:
         value = shape(token)
-        if len(self) < 500_000:
+        if len(self) < 200_000:
             self[token] = value
         return value
 
@@ -354,6 +354,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", field: Fie
             yield pd.DataFrame(
                 {"doc_id": frame["doc_id"].to_numpy(), "base": list(map(named, base)), "added": list(map(named, more))}
             )
+        _shapes.clear()
+        give_back()
 
     span = "array<struct<kind: string, start: bigint, end: bigint>>"
     given = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
@@ -377,6 +379,8 @@ def redact(docs: DataFrame, text: str = "text", field: Field | None = None) -> D
                 for given, t, a, b in zip(block["text"], texts, base, added_spans(texts, base, field), strict=True):
                     out.append(None if given is None else _replaced(t, a + b))
             yield pd.Series(out, dtype=object)
+        _shapes.clear()
+        give_back()
 
     return docs.withColumn(text, F.pandas_udf(run, "string")(F.col(text)))
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import text_blocks
+from millrace.llm.shared import give_back, text_blocks
 from millrace.operators.sizing import broadcast_if_small
 
 DIMENSIONS = 1024
@@ -187,6 +187,8 @@ def predict(
                     "variety": variety,
                 }
             )
+        del bundler
+        give_back()
 
     found = F.pandas_udf(score, "lang_pred string, score double, variety double")(F.col(text))
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "variety", "_found")]

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import text_blocks
+from millrace.llm.shared import give_back, text_blocks
 from millrace.operators.ordering import index_by_key
 from millrace.operators.sizing import store
 
@@ -35,7 +35,8 @@ END_ID = 1
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which this vocabulary splits a text before it merges bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_KNOWN_WORDS = 500_000
+#: Words that a task remembers the ids of, and where memory is scarce.
+KNOWN_WORDS, FEW_WORDS = 500_000, 100_000
 #: A run of white space that goes on over the space at which a text is split.
 _LONG_GAP = re.compile(r"\s (?:\s|$)")
 
@@ -76,7 +77,8 @@ class Encoder:
     short strings; the ids are the same.
     """
 
-    def __init__(self, path: str, ranks: str) -> None:
+    def __init__(self, path: str, ranks: str, words: int = KNOWN_WORDS) -> None:
+        self.words = words
         self.tokenizer = _tokenizer(path)
         self.ranked = _ranked(ranks, PATTERN)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -93,9 +95,9 @@ class Encoder:
             self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > _KNOWN_WORDS:
+        if len(self.known) > self.words:
             self.known = {}
-        if len(self.first) > _KNOWN_WORDS:
+        if len(self.first) > self.words:
             self.first = {}
         split, fresh = [], set()
         for text in texts:
@@ -120,11 +122,11 @@ def _powers(length: int) -> list[int]:
     return [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
 
 
-def _pieces(folder: str | None, window: int, end_id: int):
+def _pieces(folder: str | None, window: int, end_id: int, lean: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary(TOKENIZER, folder), vocabulary(RANKS, folder))
+        encoder = Encoder(vocabulary(TOKENIZER, folder), vocabulary(RANKS, folder), FEW_WORDS if lean else KNOWN_WORDS)
         for frame, texts in text_blocks(frames, "text", 1 << 19):
             out = []
             for row, ids in zip(frame["row"], encoder.encode(texts), strict=True):
@@ -139,6 +141,11 @@ def _pieces(folder: str | None, window: int, end_id: int):
                         at += size
                     out.append((row, start, length, zlib.crc32(part), total, crcs))
             yield pd.DataFrame(out, columns=["row", "start", "length", "crc", "total", "crcs"])
+        del encoder
+        if lean:
+            _tokenizer.cache_clear()
+            _ranked.cache_clear()
+        give_back()
 
     return run
 
@@ -249,6 +256,7 @@ def pack(
     text: str = "text",
     window: int = WINDOW,
     end_id: int = END_ID,
+    lean: bool = False,
 ) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) that hold every
     id of every document once, in sequences of at most ``window`` (a power of two) tokens.
@@ -264,7 +272,7 @@ def pack(
     given = docs.select(F.col(doc_id).cast("string").alias("row"), F.col(text).alias("text"))
     pieces = store(
         given.mapInPandas(
-            _pieces(folder, window, end_id),
+            _pieces(folder, window, end_id, lean),
             "row string, start bigint, length bigint, crc bigint, total bigint, crcs array<bigint>",
         )
     )

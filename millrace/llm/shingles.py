@@ -12,7 +12,7 @@ _BASE = int(_RNG.integers(1, 2**62)) * 4 + 1
 _PLACES = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LEAST = 1 << 20
+_LEAST = 1 << 19
 
 
 def mix(h: np.ndarray) -> np.ndarray:
