@@ -580,8 +580,11 @@ def shuffle_feed(spark, sf_dir):
 
 def _stream(spark, sf_dir, name):
     path = f"{sf_dir}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    # A file source streams a folder: the table's own, or that of a table which is one file.
+    if files.is_file(spark, path):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def stream_distinct(spark, sf_dir):

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import catalog
 from millrace.functions.text import LATIN
 from millrace.operators.pages import explode_sentences
 from millrace.plans.corpus import tokenize_dataset
@@ -231,3 +232,20 @@ def test_distinct_stream_forgets(spark, folder):
     assert sorted(texts) == sorted([*(f"own {n}" for n in range(5)), *["same words"] * 2])
     with pytest.raises(ValueError):
         runs.distinct_stream(sentences, forget_after="60 seconds")
+
+
+def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
+    texts = [(n, f"First sentence of document {n} here. Shared sentence of {n % 3} here.", n) for n in range(9)]
+    documents = spark.createDataFrame(texts, "doc_id bigint, text string, n_chars bigint")
+    events = spark.createDataFrame([(n, n % 2, n * catalog.DAY // 2) for n in range(12)], "event_id bigint, user_id bigint, sec bigint")
+    events = events.select("event_id", "user_id", F.timestamp_seconds("sec").cast("timestamp_ntz").alias("ts"))
+    tables = {"documents": documents, "events": events, "pages": pages_of(spark, 0, 9)}
+    for name, table in tables.items():
+        table.repartition(3).write.parquet(f"{folder}/many/{name}.parquet")
+        table.coalesce(1).write.parquet(f"{folder}/written/{name}")
+        part = next(f for f in os.listdir(f"{folder}/written/{name}") if f.endswith(".parquet"))
+        os.makedirs(f"{folder}/one", exist_ok=True)
+        os.rename(f"{folder}/written/{name}/{part}", f"{folder}/one/{name}.parquet")
+    for query in (catalog.state_resume,):
+        one, many = (sorted(map(tuple, query(spark, f"{folder}/{kind}").collect())) for kind in ("one", "many"))
+        assert one == many and one
