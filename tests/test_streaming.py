@@ -246,6 +246,9 @@ def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
         part = next(f for f in os.listdir(f"{folder}/written/{name}") if f.endswith(".parquet"))
         os.makedirs(f"{folder}/one", exist_ok=True)
         os.rename(f"{folder}/written/{name}/{part}", f"{folder}/one/{name}.parquet")
-    for query in (catalog.state_resume,):
+    for query in (
+        catalog.stream_gather, catalog.state_resume, catalog.stream_distinct, catalog.stream_tokens,
+        catalog.stream_gate, catalog.stream_gate_table,
+    ):
         one, many = (sorted(map(tuple, query(spark, f"{folder}/{kind}").collect())) for kind in ("one", "many"))
         assert one == many and one
