@@ -30,8 +30,7 @@ BATCH_ROWS = 100
 DAY = 86_400
 NOW = 1_706_745_600  # 2024-02-01, just after the last event
 SEED = 42
-PAGE_CAP = 10  # both caps bind on the smallest tables
-QUEUE_CAP = 100
+PAGE_CAP = 10  # binds on the smallest tables
 SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS sec"
 # Every link of the test pages is inside <nav>, which the default removes.
 KEEP_NAV = tuple(t for t in H.DROP_TAGS if t != "nav")
@@ -296,7 +295,7 @@ def page_cap(spark, sf_dir):
 
 
 def queue_cap(spark, sf_dir):
-    return first_rows(store(_page_links(spark, sf_dir)), QUEUE_CAP, F.col("page_id"), F.col("pos"))
+    return first_rows(store(_page_links(spark, sf_dir)), frontier.MAX_QUEUE, F.col("page_id"), F.col("pos"))
 
 
 def _crawl_pages(spark, sf_dir):

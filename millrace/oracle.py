@@ -6,7 +6,7 @@ from __future__ import annotations
 TARGET = "fr"
 SEQ_LEN, BATCH_ROWS = 512, 100
 DAY, NOW = 86_400, 1_706_745_600
-MAX_PAGES, PAGE_CAP, QUEUE_CAP = 200, 10, 100
+MAX_PAGES, PAGE_CAP, MAX_QUEUE = 200, 10, 3_000
 DROP_TAGS = ("script", "style", "noscript", "svg", "header", "footer", "nav", "form", "button", "input")
 NATIVE_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0", "copy": "©", "middot": "·", "amp": "&"}
 LATIN = "A-Za-z"
@@ -315,7 +315,7 @@ def sql() -> dict[str, str]:
         "page_cap": f"""
             SELECT url, CAST(0 AS INTEGER) AS depth, page_id AS ord FROM ({_URLS}) WHERE url <> ''
             ORDER BY page_id LIMIT {MAX_PAGES}""",
-        "queue_cap": f"SELECT * FROM ({_LINKS}) ORDER BY page_id, pos LIMIT {QUEUE_CAP}",
+        "queue_cap": f"SELECT * FROM ({_LINKS}) ORDER BY page_id, pos LIMIT {MAX_QUEUE}",
         "cycle_report": f"""
             WITH {ruled}, written AS ({_first(
                 f"SELECT * FROM ({nav_text}) WHERE page_id IN (SELECT page_id FROM admitted) AND {long_latin}",

@@ -5,12 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import catalog
 from millrace.functions.text import LATIN
 from millrace.operators import admission, history, sizing
 from millrace.operators.dedup import first_by_key, first_sentences, with_hash
 from millrace.operators.packed import can_pack, pack, unpack
 from millrace.operators.packing import training_order
 from millrace.operators.permute import permuted
+from millrace.plans.frontier import MAX_QUEUE
 from millrace.plans.gather import gather
 from millrace.sources.output import CrawlState
 
@@ -184,6 +186,13 @@ def test_equal_keys_end_the_selection(spark, monkeypatch):
     assert sizing.first_rows(df, 10, "k").count() == 40  # no total order: all that are equal to the tenth
 
 
+def test_queue_cap_is_the_crawl_s(spark, folder):
+    pages = [(n, f"http://h/{n}", "".join(f"<a href='/{n}/{i}'>to</a>" for i in range(400))) for n in range(9)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    got = sorted((r.page_id, r.pos) for r in catalog.queue_cap(spark, folder).collect())
+    assert got == [(n, i) for n in range(9) for i in range(400)][:MAX_QUEUE]
+
+
 # --- suffixes ---------------------------------------------------------------------
 
 
