@@ -407,7 +407,8 @@ def read_text_column(spark, sf_dir):
 def list_files(spark, sf_dir):
     """Which languages have a file, from documents written in a folder for each."""
     path = workspace(spark)
-    _documents(spark, sf_dir).select("lang", "text").repartition("lang").write.partitionBy("lang").json(path)
+    # Each task writes a file for each of its languages: no task gets all texts of one.
+    _documents(spark, sf_dir).select("lang", "text").write.partitionBy("lang").json(path)
     found = files.list_text_files(spark, path, "jsonl")
     names = spark.createDataFrame([(f,) for f in found], "file string")
     return names.select(F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang")).distinct()

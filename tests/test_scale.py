@@ -14,6 +14,7 @@ from millrace.operators.packing import training_order
 from millrace.operators.permute import permuted
 from millrace.plans.frontier import MAX_QUEUE
 from millrace.plans.gather import gather
+from millrace.sources import files
 from millrace.sources.output import CrawlState
 
 
@@ -193,6 +194,21 @@ def test_queue_cap_is_the_crawl_s(spark, folder):
     assert got == [(n, i) for n in range(9) for i in range(400)][:MAX_QUEUE]
 
 
+# --- folders -----------------------------------------------------------------------
+
+
+def test_no_task_writes_all_texts_of_a_language(spark, folder, monkeypatch):
+    rows = [(n, f"text {n}", "en" if n % 8 else None) for n in range(80)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    documents.repartition(4).write.parquet(f"{folder}/documents.parquet")
+    listed = []
+    names = files.list_text_files
+    monkeypatch.setattr(files, "list_text_files", lambda *a: listed.append(names(*a)) or listed[-1])
+    found = sorted(r.lang for r in catalog.list_files(spark, folder).collect())
+    assert found == ["__HIVE_DEFAULT_PARTITION__", "en"]
+    assert sum("lang=en/" in f for f in listed[0]) > 1
+
+
 # --- suffixes ---------------------------------------------------------------------
 
 
