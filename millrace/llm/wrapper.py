@@ -17,9 +17,12 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Generator, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,9 +173,9 @@ def clean(text: str) -> str:
 
 # --- simple tree matching -------------------------------------------------
 
-#: Cells of a whole table of two lists of children. Longer lists are aligned near their diagonal, at least
-#: so many places to each side.
-CELLS, NEAR = 250_000, 16
+#: Cells of a table of two lists of children that is kept whole. A larger one is gone through row by
+#: row, and again where it is traced: the same alignment in less memory.
+CELLS = 250_000
 
 
 def _between(a: Node, b: Node) -> tuple[int, int, int]:
@@ -187,54 +190,148 @@ def _between(a: Node, b: Node) -> tuple[int, int, int]:
     return start, end, other
 
 
-def _columns(i: int, n: int, m: int) -> tuple[int, int]:
-    """The columns of row ``i`` (from 0) that are looked at in a table of n by m."""
-    if n * m <= CELLS:
-        return 0, m
-    near = max(NEAR, CELLS // (2 * n))
-    return max(0, i * m // n - near), min(m, (i + 1) * m // n + near)
-
-
 def _alike(a: Node, b: Node) -> bool:
     return a.tag == b.tag and a.label == b.label
 
 
-def _table(
-    a: Node, b: Node, start: int, end: int, other: int, weights: dict[tuple[int, int], int]
-) -> list[tuple[int, list[int]]]:
-    """The table of the children that differ: (first column, values) a row."""
-    n, m = end - start, other - start
-    rows = [(0, [0] * (m + 1))]
-    if n * m <= CELLS:
-        theirs = [(y.tag, y.label, y) for y in b.children[start:other]]
-        above = rows[0][1]
-        for x in a.children[start:end]:
-            value, row, tag, label = 0, [0], x.tag, x.label
-            for j, (their_tag, their_label, y) in enumerate(theirs):
-                if above[j + 1] > value:
-                    value = above[j + 1]
-                if tag == their_tag and label == their_label and (gain := above[j] + _weight(x, y, weights)) > value:
-                    value = gain
-                row.append(value)
-            rows.append((0, row))
-            above = row
-        return rows
-    for i in range(n):
-        low, high = _columns(i, n, m)
-        x, (base, above) = a.children[start + i], rows[-1]
-        last = len(above) - 1
-        value = above[min(max(low - base, 0), last)]
-        row = [value]
-        for j in range(low, high):
-            y = b.children[start + j]
-            value = max(value, above[min(j + 1 - base, last)])
-            if _alike(x, y):
-                value = max(value, above[min(j - base, last)] + _weight(x, y, weights))
+def _table(a: Node, b: Node, start: int, end: int, other: int, weights: dict[tuple[int, int], int]) -> list[list[int]]:
+    """The table of the children that differ."""
+    theirs = [(y.tag, y.label, y) for y in b.children[start:other]]
+    rows = [above := [0] * (len(theirs) + 1)]
+    for x in a.children[start:end]:
+        value, row, tag, label = 0, [0], x.tag, x.label
+        for j, (their_tag, their_label, y) in enumerate(theirs):
+            if above[j + 1] > value:
+                value = above[j + 1]
+            if tag == their_tag and label == their_label and (gain := above[j] + _weight(x, y, weights)) > value:
+                value = gain
             row.append(value)
-        rows.append((low, row))
+        rows.append(row)
+        above = row
     return rows
 
 
+class _Rows:
+    """The same table where it is large: some rows are kept, those between found again from them.
+
+    A weight depends on the shapes of two nodes and on the texts that both hold. Texts that many children
+    on both sides hold are part of the shape; two children that share no other text weigh what any two
+    of their shapes do, and only those that share one are aligned by themselves.
+    """
+
+    def __init__(self, a: Node, b: Node, start: int, end: int, other: int) -> None:
+        self.xs, self.ys = a.children[start:end], b.children[start:other]
+        ours, theirs = ([{t.look for t in _texts(n)} for n in nodes] for nodes in (self.xs, self.ys))
+        counts, others = (Counter(look for looks in each for look in looks) for each in (ours, theirs))
+        common = {look for look, n in counts.items() if n * others[look] > len(self.xs) + len(self.ys)}
+        holders: dict[int, list[int]] = {}
+        for j, looks in enumerate(theirs):
+            for look in looks - common:
+                if look in counts:
+                    holders.setdefault(look, []).append(j)
+        self.near = [{j for look in looks if look in holders for j in holders[look]} for looks in ours]
+        names: dict[tuple, int] = {}
+        self.ours = [_shape(x, common, names) for x in self.xs]
+        shapes = [_shape(y, common, names) for y in self.ys]
+        self.members: dict[int, list[int]] = {}
+        for j, shape in enumerate(shapes):
+            self.members.setdefault(shape, []).append(j)
+        self.place = {shape: k for k, shape in enumerate(self.members)}
+        self.theirs = np.array([self.place[shape] for shape in shapes])
+        #: By shape of ``xs``: weights by shape of ``ys``, and the shapes not weighed yet.
+        self.known: dict[int, tuple[np.ndarray, set[int]]] = {}
+        self.step = math.isqrt(len(self.xs)) + 1
+        self.kept: list[np.ndarray] = []
+
+    def _gains(self, i: int) -> Generator:
+        """The weights of a child with each of the other's, 0 where they are not alike."""
+        x, near = self.xs[i], self.near[i]
+        if self.ours[i] not in self.known:
+            self.known[self.ours[i]] = np.zeros(len(self.place), np.int32), set(self.place)
+        weights, missing = self.known[self.ours[i]]
+        for shape in list(missing):
+            j = next((j for j in self.members[shape] if j not in near), None)
+            if j is not None:
+                weights[self.place[shape]] = yield _gain(x, self.ys[j])
+                missing.discard(shape)
+        gains = weights[self.theirs]
+        for j in near:
+            gains[j] = yield _gain(x, self.ys[j])
+        return gains
+
+    def _next(self, above: np.ndarray, gains: np.ndarray) -> np.ndarray:
+        row = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + gains), out=row[1:])
+        return row
+
+    def last(self) -> Generator:
+        """The last value of the table."""
+        row = np.zeros(len(self.ys) + 1, np.int32)
+        for i in range(len(self.xs)):
+            if i % self.step == 0:
+                self.kept.append(row)
+            row = self._next(row, (yield self._gains(i)))
+        return int(row[-1])
+
+    def traced(self) -> Iterator[tuple[Node, Node]]:
+        j = len(self.ys)
+        for n in reversed(range(len(self.kept))):
+            xs, rows, gains = self.xs[n * self.step : (n + 1) * self.step], [self.kept[n]], []
+            for i in range(len(xs)):
+                gains.append(_run(self._gains(n * self.step + i)))
+                rows.append(self._next(rows[-1], gains[-1]))
+            i = len(xs)
+            while i:
+                here, above, gain = rows[i], rows[i - 1], gains[i - 1]
+                if j and gain[j - 1] and here[j] == above[j - 1] + gain[j - 1]:
+                    i, j = i - 1, j - 1
+                    yield xs[i], self.ys[j]
+                elif here[j] == above[j]:
+                    i -= 1
+                else:
+                    j -= 1
+
+
+def _shape(node: Node, common: set[int], names: dict[tuple, int]) -> int:
+    """A number for what ``node`` is without its texts other than those in ``common``."""
+    order, todo = [], [node]
+    while todo:
+        here = todo.pop()
+        order.append(here)
+        todo += here.children
+    found: dict[int, int] = {}
+    for here in reversed(order):
+        text = here.look if here.tag == "#" and here.look in common else 0
+        name = (here.tag, here.label, text, *[found[c.number] for c in here.children])
+        found[here.number] = names.setdefault(name, len(names))
+    return found[node.number]
+
+
+def _gain(x: Node, y: Node) -> Generator:
+    """The weight of two nodes, 0 if they are not alike."""
+    if not _alike(x, y):
+        return 0
+    weights: dict[tuple[int, int], int] = {}
+    if x.look != y.look and x.children and y.children and not (x.flat and y.flat):
+        weights, _ = yield _weighed(x, y)
+    return _weight(x, y, weights)
+
+
+def _run(steps: Generator):
+    """What a generator returns that waits for the generators it yields: recursion as deep as pages nest."""
+    stack, value = [steps], None
+    while stack:
+        try:
+            inner = stack[-1].send(value)
+        except StopIteration as end:
+            value = end.value
+            stack.pop()
+        else:
+            value = None
+            stack.append(inner)
+    return value
+
+
 def _weight(a: Node, b: Node, weights: dict[tuple[int, int], int]) -> int:
     """Nodes of the largest order-keeping alignment of two alike nodes; equal texts count twice."""
     if a.look == b.look:
@@ -246,8 +343,9 @@ def _weight(a: Node, b: Node, weights: dict[tuple[int, int], int]) -> int:
     return weights[a.number, b.number]
 
 
-def align(a: Node, b: Node) -> dict[int, Node]:
-    """Nodes of ``b`` by the number of the node of ``a`` that each is matched with.
+def _weighed(a: Node, b: Node) -> Generator:
+    """Weights and tables of two alike nodes and of the pairs below that their alignment looks at; pairs
+    inside a large table are left to it.
 
     Pairs of alike nodes are listed level by level and weighed from the deepest level up, so trees
     may be as deep as they like.
@@ -257,13 +355,12 @@ def align(a: Node, b: Node) -> dict[int, Node]:
         spans, below = [], []
         for x, y in level:
             start, end, other = _between(x, y)
-            spans.append((x, y, start, end, other))
-            for i in range(end - start if other > start else 0):
-                p = x.children[start + i]
+            large = (end - start) * (other - start) > CELLS
+            spans.append((x, y, start, end, other, large))
+            for p in x.children[start:end] if other > start and not large else ():
                 if p.children:
                     look, flat, tag, label = p.look, p.flat, p.tag, p.label
-                    low, high = _columns(i, end - start, other - start)
-                    for q in y.children[start + low : start + high]:
+                    for q in y.children[start:other]:
                         if q.tag == tag and q.label == label and q.children and q.look != look and not (flat and q.flat):
                             below.append((p, q))
         levels.append(spans)
@@ -271,11 +368,22 @@ def align(a: Node, b: Node) -> dict[int, Node]:
     weights: dict[tuple[int, int], int] = {}
     tables = {}
     for spans in reversed(levels):
-        for x, y, start, end, other in spans:
+        for x, y, start, end, other, large in spans:
             equal = sum([c.full for c in x.children[:start]]) + sum([c.full for c in x.children[end:]])
-            rows = _table(x, y, start, end, other, weights) if end > start and other > start else [(0, [0])]
-            weights[x.number, y.number] = 1 + equal + rows[-1][1][-1]
+            if large:
+                rows = _Rows(x, y, start, end, other)
+                most = yield rows.last()
+            else:
+                rows = _table(x, y, start, end, other, weights) if end > start and other > start else [[0]]
+                most = rows[-1][-1]
+            weights[x.number, y.number] = 1 + equal + most
             tables[x.number, y.number] = start, len(x.children) - end, rows
+    return weights, tables
+
+
+def align(a: Node, b: Node) -> dict[int, Node]:
+    """Nodes of ``b`` by the number of the node of ``a`` that each is matched with."""
+    weights, tables = _run(_weighed(a, b))
     out: dict[int, Node] = {}
     todo = [(a, b)]
     while todo:
@@ -284,26 +392,31 @@ def align(a: Node, b: Node) -> dict[int, Node]:
         if x.look == y.look or x.flat and y.flat:
             todo += zip(x.children, y.children, strict=True)
         elif x.children and y.children:
-            todo += _traced(x, y, *tables[x.number, y.number], weights)
+            if (x.number, y.number) not in tables:  # matched inside a large table
+                for known, more in zip((weights, tables), _run(_weighed(x, y)), strict=True):
+                    known.update(more)
+            todo += _traced(x, y, *tables.pop((x.number, y.number)), weights)
     return out
 
 
-def _traced(a: Node, b: Node, start: int, after: int, rows: list, weights: dict) -> Iterator[tuple[Node, Node]]:
+def _traced(a: Node, b: Node, start: int, after: int, rows: list | _Rows, weights: dict) -> Iterator[tuple[Node, Node]]:
     """Pairs of matched children: those that begin and end the lists alike, and those of the table."""
-    i, j = len(rows) - 1, rows[-1][0] + len(rows[-1][1]) - 1
     yield from zip(a.children[:start], b.children[:start], strict=True)
     if after:
         yield from zip(a.children[-after:], b.children[-after:], strict=True)
-    while i and j >= 0:
-        (low, row), (base, above) = rows[i], rows[i - 1]
-        here, last = row[j - low] if j - low < len(row) else row[-1], len(above) - 1
-        if j > low:
+    if isinstance(rows, _Rows):
+        yield from rows.traced()
+        return
+    i, j = len(rows) - 1, len(rows[-1]) - 1
+    while i:
+        here, above = rows[i], rows[i - 1]
+        if j:
             x, y = a.children[start + i - 1], b.children[start + j - 1]
-            if _alike(x, y) and here == above[min(max(j - 1 - base, 0), last)] + _weight(x, y, weights):
+            if _alike(x, y) and here[j] == above[j - 1] + _weight(x, y, weights):
                 yield x, y
                 i, j = i - 1, j - 1
                 continue
-        if here == above[min(max(j - base, 0), last)] or j <= low:
+        if here[j] == above[j]:
             i -= 1
         else:
             j -= 1

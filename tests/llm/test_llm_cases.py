@@ -575,3 +575,34 @@ def test_long_lists_and_deep_notices(spark):
     deep = lambda n: "<div>" * 70 + "<p>Site-wide notice</p>" + "</div>" * 70 + f"<div><p>Own story {n} of many words</p></div>"
     pages = spark.createDataFrame([(n, f"http://h/{n}", f"<body>{deep(n)}</body>") for n in range(5)], "page_id bigint, url string, html string")
     assert sorted(r.text for r in wrapper.extract(pages).collect()) == [f"Own story {n} of many words" for n in range(5)]
+
+
+def _page_of(rng, depth):
+    if depth == 0 or rng.random() < 0.2:
+        return rng.choice("abc")
+    inside = "".join(_page_of(rng, depth - 1) for _ in range(rng.randrange(5)))
+    tag = rng.choice(["div", "b", "ul"])
+    return f"<{tag}>{inside}</{tag}>"
+
+
+def test_large_tables_align_as_small_ones_do(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(150):
+        one, other = (wrapper.parse("".join(_page_of(rng, 5) for _ in range(rng.randrange(7)))) for _ in range(2))
+        found = []
+        for cells in (10**9, 0, 6):
+            monkeypatch.setattr(wrapper, "CELLS", cells)
+            found.append({n: node.number for n, node in wrapper.align(one, other).items()})
+        assert found[0] == found[1] == found[2]
+
+
+def test_long_lists_match_far_from_their_diagonal():
+    shared = "".join(f"<p>kept {n}</p>" for n in range(300))
+    one, other = ("".join(f"<{tag}>{tag} {n}<b>{n}</b></{tag}>" for n in range(500)) for tag in ("div", "ul"))
+    reference = wrapper.parse(f"{shared}{one}")
+    assert len(wrapper.constant_nodes(reference, wrapper.parse(f"{other}{shared}"))) == 300
+    # Rows of the same kind, whose own children have to be aligned, too.
+    row = "<div><i>row</i><b>{}</b>{}</div>"
+    rows = wrapper.parse("".join(row.format(n, "x") for n in range(520)))
+    moved = wrapper.parse("<hr>" + "".join(row.format(n, "y") for n in range(490, 1010)) + "<br>")
+    assert len(wrapper.constant_nodes(rows, moved)) >= 520
