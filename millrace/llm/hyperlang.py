@@ -17,19 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import give_back, text_blocks
-from millrace.operators.sizing import broadcast_if_small
 
 DIMENSIONS = 1024
 GRAM = 3
-#: Upper bound of the training texts of one language; they are chosen by a hash.
-TRAIN_TEXTS = 4000
 UNKNOWN = "und"
 #: Below this ``variety``, scores of own and foreign texts overlap: such texts cannot be judged.
 LEAST_VARIETY = 64
 #: A text is foreign below this share of the score that 1 per cent of its own language's texts stay under.
 OWN_SHARE, OWN_QUANTILE = 0.75, 0.01
-#: Labelled texts that scores are learned from, and how many of one variety at least.
-SCORED_TEXTS, SCORED_LEAST = 16_000, 10
+#: How many labelled texts of one variety scores are learned from at least.
+SCORED_LEAST = 10
 _SPACE = 0
 _KNOWN_GRAMS = 40_000
 _SLICE = 2_048
@@ -118,20 +115,13 @@ class Bundler:
         return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
 
 
-def train(
-    labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", texts: int = TRAIN_TEXTS
-) -> dict[str, np.ndarray]:
-    """Unit prototypes from the labelled texts, at most about ``texts`` of each language.
+def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
+    """Unit prototypes from all labelled texts.
 
     Null labels and texts teach nothing. What is collected is one vector a language.
     """
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("_place")
-    )
-    many = rows.groupBy("lang").count().withColumnRenamed("count", "_n")
-    place = F.pmod("_place", F.lit(1_000_000))
-    chosen = rows.join(broadcast_if_small(many), "lang").where(place * F.col("_n") < texts * 1_000_000)
-    chosen = chosen.select("lang", "text")
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bundler, sums = Bundler(), {}
@@ -140,10 +130,12 @@ def train(
             for name in frame["lang"].unique():
                 part = vectors[(frame["lang"] == name).to_numpy()].sum(axis=0, dtype=np.float64)
                 sums[name] = sums.get(name, 0) + part
+        del bundler
+        give_back()
         for name, vector in sums.items():
             yield pd.DataFrame({"lang": name, "place": np.arange(DIMENSIONS), "value": vector})
 
-    parts = chosen.mapInPandas(run, "lang string, place int, value double")
+    parts = rows.mapInPandas(run, "lang string, place int, value double")
     summed = parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).toPandas()
     prototypes = {}
     for name, part in summed.groupby("lang"):
@@ -201,12 +193,10 @@ def _band(variety: Column) -> Column:
 
 
 def least_scores(labelled: DataFrame, prototypes: dict[str, np.ndarray]) -> dict[int, float]:
-    """Per band of variety the least score of a text in a known language, from texts that taught
+    """Per band of variety the least score of a text in a known language, from all texts that taught
     nothing: scores grow with the variety, so a band asks at least what the one below does."""
     rows = labelled.where(F.col("lang").isin(list(prototypes)) & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    share = min(1.0, SCORED_TEXTS / max(rows.count(), 1))
-    some = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    own = predict(some, prototypes).where((F.col("variety") >= LEAST_VARIETY) & (F.col("lang") == F.col("lang_pred")))
+    own = predict(rows, prototypes).where((F.col("variety") >= LEAST_VARIETY) & (F.col("lang") == F.col("lang_pred")))
     found = own.groupBy(_band(F.col("variety")).alias("band")).agg(
         F.count(F.lit(1)).alias("n"), F.percentile_approx("score", OWN_QUANTILE).alias("least")
     )

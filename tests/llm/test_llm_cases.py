@@ -160,6 +160,22 @@ def test_bundles_are_sums_of_bound_vectors():
     assert np.allclose(hyperlang.Bundler().bundle([text])[0], want / np.linalg.norm(want), atol=1e-6)
 
 
+def test_every_labelled_text_teaches_and_bounds(spark):
+    common, rare = (" ".join("".join(random.Random(seed).choices("abcdeilmnorstu", k=6 * n))[i * 6 : i * 6 + 6] for i in range(n)) for seed, n in ((1, 15), (2, 60)))
+    copies = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit(common).alias("text"))
+    few = spark.range(10).select((F.col("id") + 30_000).alias("doc_id"), F.lit("en").alias("lang"), F.lit(rare).alias("text"))
+    rows = copies.unionByName(few)
+    known = hyperlang.train(rows)
+    one, other = hyperlang.Bundler().bundle([common, rare]).astype(float)
+    want = 30_000 * one + 10 * other
+    assert np.allclose(known["en"], want / np.linalg.norm(want), atol=1e-6)
+    bundler = hyperlang.Bundler()
+    bundler.bundle([common, rare])
+    bands = [int(np.floor(2 * np.log2(v))) for v in bundler.variety]
+    # Ten texts give a band its bound, if each of them counts.
+    assert sorted(hyperlang.least_scores(rows, known)) == sorted(bands) and len(set(bands)) == 2
+
+
 def test_encoder_equals_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
