@@ -22,13 +22,17 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     Where keys and whole-number order columns are all there is, the order is packed into one
     number and the aggregate hashes. With other columns the first row's values have to be carried,
     which sorts; pass narrow rows and join those columns back on the order where that is cheaper.
+    Columns that ``order`` names are carried once, others beside it.
     """
     rest = [c for c in df.columns if c not in keys]
-    places = [c for c in order if c not in keys]
-    if rest and set(rest) == set(places) and can_pack(df, places):
-        firsts = df.groupBy(*keys).agg(F.min(pack(df, places)).alias("_first"))
-        return firsts.select(*keys, *unpack("_first", df, places)).select(df.columns)
-    first = F.min_by(F.struct(*rest), F.struct(*order))
+    places = [c for c in dict.fromkeys(order) if c not in keys]
+    if rest and set(rest) == set(places):
+        if can_pack(df, places):
+            firsts = df.groupBy(*keys).agg(F.min(pack(df, places)).alias("_first"))
+            return firsts.select(*keys, *unpack("_first", df, places)).select(df.columns)
+        first = F.min(F.struct(*places))
+    else:
+        first = F.min_by(F.struct(*rest), F.struct(*order))
     return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*").select(df.columns)
 
 

@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,3 +253,45 @@ def test_streams_read_tables_of_one_file_and_of_many(spark, folder):
     ):
         one, many = (sorted(map(tuple, query(spark, f"{folder}/{kind}").collect())) for kind in ("one", "many"))
         assert one == many and one
+
+
+def test_stream_gather_reads_a_table_of_one_file_whatever_the_slashes(spark, folder):
+    pages_of(spark, 0, 5).coalesce(1).write.parquet(f"{folder}/written")
+    part = next(f for f in os.listdir(f"{folder}/written") if f.endswith(".parquet"))
+    os.makedirs(f"{folder}/one")
+    os.rename(f"{folder}/written/{part}", f"{folder}/one/pages.parquet")
+    want = sorted(map(tuple, catalog.stream_gather(spark, f"{folder}/one").collect()))
+    for same in (f"{folder}/one/", f"{folder}//one", os.path.relpath(f"{folder}/one")):
+        assert sorted(map(tuple, catalog.stream_gather(spark, same).collect())) == want and want
+
+
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return sum(os.path.getsize(f) for f in files.split("\n") if "/shuffle_" in f and os.path.exists(f))
+
+
+def test_gather_frees_shuffled_texts_before_it_writes_hashes(spark, folder):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+    rows = [(n, f"http://h/{n}", f"<p>{' '.join(word() for _ in range(300))}.</p>") for n in range(400)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    pages.write.parquet(f"{folder}/in")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept, left = shuffled_bytes(spark), spark.conf.get(setting, None), []
+
+    class State(CrawlState):
+        def commit(self, *args, **changes):
+            for _ in range(50):  # files go in the background
+                if shuffled_bytes(spark) - before < 500_000:
+                    break
+                time.sleep(0.2)
+            left.append(shuffled_bytes(spark) - before)
+            super().commit(*args, **changes)
+
+    runs.start_gather(
+        spark.readStream.schema(pages.schema).parquet(f"{folder}/in"), ["page_id"], f"{folder}/out",
+        State(spark, f"{folder}/state"), f"{folder}/check", None, once=True, script=LATIN, timestamp=STAMP(F.lit(0)),
+    ).awaitTermination()
+    assert spark.read.json(f"{folder}/out").count() == 400  # 1.5 MB of texts
+    assert len(left) == 1 and left[0] < 500_000
+    assert spark.conf.get(setting, None) == kept

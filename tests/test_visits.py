@@ -67,6 +67,15 @@ def test_first_occurrence_wins(spark):
     assert not_seen(seen, seen).isEmpty()
 
 
+def test_first_by_key_with_every_column_in_the_order(spark):
+    rows = [("a", 2, 0, "u2"), ("a", 1, 1, "u1"), ("a", 1, 1, "u0"), ("b", None, 3, None), ("b", 0, 0, "u"), (None, 5, 5, "v")]
+    df = spark.createDataFrame(rows, "text string, page bigint, pos int, url string")
+    first = first_by_key(df, ["text"], ["page", "pos", "url"])
+    assert set(map(tuple, first.collect())) == {("a", 1, 1, "u0"), ("b", None, 3, None), (None, 5, 5, "v")}
+    # The place is carried once through the shuffle.
+    assert "min_by" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_dedup_combines_before_the_shuffle(spark):
     df = spark.range(10).selectExpr("id", "cast(id % 2 as string) hash")
     plan = first_by_key(df, ["hash"], ["id"])._jdf.queryExecution().executedPlan().toString()
